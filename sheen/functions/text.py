@@ -27,7 +27,6 @@ def _portable(py_regex: str) -> str:
 
 INGREDIENT_SPLIT_RE = "|".join(_portable(d) for d in INGREDIENT_DELIMITERS)
 
-EMPTY_STRINGS = F.array().cast("array<string>")
 
 
 def ustrip(c: Column) -> Column:
@@ -68,7 +67,7 @@ def ingredient_tokens(c: Column, min_len: int = 4) -> Column:
     toks = F.transform(toks, oil_rule)
     toks = F.transform(toks, extract_rule)
     toks = F.filter(toks, lambda t: F.length(t) >= min_len)
-    return F.coalesce(toks, EMPTY_STRINGS)
+    return F.coalesce(toks, F.array().cast("array<string>"))
 
 
 def consonant_key(t: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheen.functions.constants import TRAITS
+from sheen.session import ensure_checkpoint_dir
 
 RATING_COLS = ["pro_ids", "users", "lipies"]
 CONTENT_COLS = ["names", "pro_ids", "ratings", "repurchases", "pkg_quals", "prices",
@@ -28,22 +29,30 @@ def distinct_users(reviews: DataFrame, col: str = "users") -> DataFrame:
 def dense_index(df: DataFrame, order_col: str, out_col: str) -> DataFrame:
     """Number rows 0..n-1 in ``order_col`` order without a single-task window.
 
-    Rows are range-partitioned on the key, numbered inside each partition, and
-    shifted by the sizes of the partitions before them. Only the per-partition
-    counts (one row per partition) meet in one place.
+    Rows are range-partitioned on the key (an explicit partition count, which
+    AQE never coalesces), sorted inside each partition and tagged with
+    ``monotonically_increasing_id`` (partition number in the high bits, local
+    position in the low 33). That tagging is frozen with a reliable checkpoint,
+    so the per-partition counts and the rows read the same partitioning even if
+    an executor is lost. Only the counts - one row per partition - meet in one
+    place to become offsets.
     """
-    ranged = (df.repartitionByRange(order_col)
-              .withColumn("_pid", F.spark_partition_id()))
-    local = ranged.withColumn(
-        "_ln", F.row_number().over(Window.partitionBy("_pid").orderBy(order_col)))
-    sizes = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tagged = (df.repartitionByRange(n, order_col).sortWithinPartitions(order_col)
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    low = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    tagged = tagged.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_ln", low)
+    sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_pid",
         F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offsets), "_pid")
-            .withColumn(out_col, (F.col("_off") + F.col("_ln") - 1).cast("int"))
-            .drop("_pid", "_ln", "_off"))
+    return (tagged.join(F.broadcast(offsets), "_pid")
+            .withColumn(out_col, (F.col("_off") + F.col("_ln")).cast("int"))
+            .drop("_pid", "_ln", "_off", "_mid"))
 
 
 def assign_uid(reviews: DataFrame, col: str = "users") -> DataFrame:

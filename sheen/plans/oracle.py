@@ -133,3 +133,69 @@ SQL["histogram_series"] = with_fx(["ratings_fx", "catalog_fx"]) + (
     f"SELECT names, lipies AS x, n AS y FROM ({_HIST})")
 SQL["product_options"] = with_fx(["catalog_fx"]) + (
     "SELECT pro_ids, names AS label, names AS value FROM catalog_fx")
+
+# ----------------------------------------------------------------------------- §2.5
+from sheen.functions.text import INGREDIENT_SPLIT_RE  # noqa: E402
+
+_SPLIT = f"regexp_split_to_array(lower(coalesce(ingredients, '')), {lit(INGREDIENT_SPLIT_RE)})"
+_STRIPPED = f"list_filter(list_transform({_SPLIT}, lambda t: {strip('lower(t)')}), lambda t: t <> '')"
+_WATER = "CASE WHEN contains(t, 'water') AND NOT contains(t, 'water-binding') THEN 'water' ELSE t END"
+_OIL = "CASE WHEN contains(t, ' oil') AND NOT contains(t, 'mineral oil') THEN 'oil' ELSE t END"
+_EXTRACT = "CASE WHEN contains(t, ' extract') THEN 'extract' ELSE t END"
+_TOKENS = (f"list_filter(list_transform(list_transform(list_transform({_STRIPPED}, lambda t: {_WATER}), "
+           f"lambda t: {_OIL}), lambda t: {_EXTRACT}), lambda t: length(t) >= 4)")
+
+TOKENS_CTE = f"toks AS (SELECT pro_ids, {_TOKENS} AS tokens FROM catalog_fx)"
+VOCAB_CTE = """vocab AS (
+  SELECT token, first_pro_ids, first_pos,
+         CAST(row_number() OVER (ORDER BY first_pro_ids, first_pos) - 1 AS INTEGER) AS token_idx
+  FROM (SELECT token, min(pro_ids) AS first_pro_ids, arg_min(pos, CAST(pro_ids AS BIGINT) * 100000000 + pos) AS first_pos
+        FROM (SELECT pro_ids, unnest(tokens) AS token, CAST(generate_subscripts(tokens, 1) - 1 AS INTEGER) AS pos
+              FROM toks)
+        GROUP BY token))"""
+GROUPS_CTE = """grp AS (
+  SELECT token, regexp_replace(token, '[aeiouy ]', '', 'g') AS "group" FROM vocab),
+groups AS (
+  SELECT g."group", token, exemplar FROM grp g
+  JOIN (SELECT "group", min(token) AS exemplar FROM grp GROUP BY "group") e USING ("group"))"""
+
+
+def tok_sql(body: str, extra: list[str] | None = None) -> str:
+    return with_fx(["catalog_fx"], [TOKENS_CTE] + (extra or [])) + body
+
+
+def _arr_sql(arr: str) -> str:
+    return tok_sql(f"SELECT pro_ids, array_to_string({arr}, '|') AS tokens, "
+                   f"CAST(len({arr}) AS INTEGER) AS n_tokens FROM catalog_fx")
+
+
+SQL["split_ingredients"] = _arr_sql(_SPLIT)
+SQL["strip_tokens"] = _arr_sql(_STRIPPED)
+SQL["water_rule"] = _arr_sql(f"list_transform({_STRIPPED}, lambda t: {_WATER})")
+SQL["oil_rule"] = _arr_sql(f"list_transform({_STRIPPED}, lambda t: {_OIL})")
+SQL["extract_rule"] = _arr_sql(f"list_transform({_STRIPPED}, lambda t: {_EXTRACT})")
+SQL["length_filter"] = _arr_sql(f"list_filter({_STRIPPED}, lambda t: length(t) > 3)")
+SQL["ingredient_tokens"] = tok_sql(
+    "SELECT pro_ids, array_to_string(tokens, '|') AS tokens, CAST(len(tokens) AS INTEGER) AS n_tokens FROM toks")
+SQL["token_vocabulary"] = tok_sql("SELECT token, first_pro_ids, first_pos, token_idx FROM vocab", [VOCAB_CTE])
+
+# DuckDB's levenshtein counts bytes; the eleven lower-case non-ASCII letters that occur
+# in the documents are mapped to single control bytes first, so it counts characters.
+_WIDE = "éóèñçüêäößí"
+_NARROW = " || ".join(f"chr({i})" for i in [1, 2, 3, 4, 5, 6, 7, 8, 11, 12, 14])
+SQL["token_edit_distance"] = tok_sql(f"""SELECT a.token AS token_a, b.token AS token_b,
+       CAST(levenshtein(a.bt, b.bt) AS INTEGER) AS dist, -CAST(levenshtein(a.bt, b.bt) AS INTEGER) AS similarity
+FROM v a JOIN v b ON a.token < b.token AND b.n BETWEEN a.n - 2 AND a.n + 2
+WHERE levenshtein(a.bt, b.bt) <= 2""", [VOCAB_CTE, f"""v AS (
+  SELECT token, translate(token, '{_WIDE}', {_NARROW}) AS bt, length(token) AS n FROM vocab)"""])
+SQL["group_lookup"] = tok_sql(
+    'SELECT t.token, t.pro_ids, g."group" FROM (SELECT pro_ids, unnest(tokens) AS token FROM toks) t '
+    "JOIN groups g USING (token)", [VOCAB_CTE, GROUPS_CTE])
+SQL["group_members"] = tok_sql(
+    'SELECT "group", exemplar, token, count(*) OVER (PARTITION BY "group") AS n_members FROM groups',
+    [VOCAB_CTE, GROUPS_CTE])
+SQL["product_groups"] = tok_sql(
+    """SELECT pro_ids, array_to_string(list_sort(list("group")), '|') AS groups,
+       CAST(count(*) AS INTEGER) AS n_groups
+FROM (SELECT DISTINCT t.pro_ids, g."group" FROM (SELECT pro_ids, unnest(tokens) AS token FROM toks) t
+      JOIN groups g USING (token)) GROUP BY pro_ids""", [VOCAB_CTE, GROUPS_CTE])

@@ -220,3 +220,101 @@ def q_histogram_series(spark, sf):
 @query("product_options")
 def q_product_options(spark, sf):
     return S.product_options(FX.catalog_fx(spark, sf))
+
+
+# ----------------------------------------------------------------------------- §2.5 ingredients
+from sheen.functions import text as T  # noqa: E402
+from sheen.operators import ingredients as I  # noqa: E402
+
+
+def tokens_fx(spark, sf) -> DataFrame:
+    return I.product_tokens(FX.catalog_fx(spark, sf))
+
+
+def vocab_fx(spark, sf) -> DataFrame:
+    return I.token_vocabulary(tokens_fx(spark, sf))
+
+
+def tokens_only_fx(spark, sf) -> DataFrame:
+    return I.token_vocabulary(tokens_fx(spark, sf), with_index=False)
+
+
+def groups_fx(spark, sf) -> DataFrame:
+    return I.stand_in_groups(tokens_only_fx(spark, sf))
+
+
+def _arr_out(df, arr):
+    return df.select("pro_ids", joined(arr).alias("tokens"), F.size(arr).alias("n_tokens"))
+
+
+@query("split_ingredients")
+def q_split_ingredients(spark, sf):
+    c = FX.catalog_fx(spark, sf)
+    return _arr_out(c, T.split_ingredients(F.coalesce(F.col("ingredients"), F.lit(""))))
+
+
+@query("strip_tokens")
+def q_strip_tokens(spark, sf):
+    c = FX.catalog_fx(spark, sf)
+    return _arr_out(c, T.strip_tokens(T.split_ingredients(F.coalesce(F.col("ingredients"), F.lit("")))))
+
+
+def _one_rule(spark, sf, rule):
+    c = FX.catalog_fx(spark, sf)
+    base = T.strip_tokens(T.split_ingredients(F.coalesce(F.col("ingredients"), F.lit(""))))
+    return _arr_out(c, F.transform(base, rule))
+
+
+@query("water_rule")
+def q_water_rule(spark, sf):
+    return _one_rule(spark, sf, T.water_rule)
+
+
+@query("oil_rule")
+def q_oil_rule(spark, sf):
+    return _one_rule(spark, sf, T.oil_rule)
+
+
+@query("extract_rule")
+def q_extract_rule(spark, sf):
+    return _one_rule(spark, sf, T.extract_rule)
+
+
+@query("length_filter")
+def q_length_filter(spark, sf):
+    c = FX.catalog_fx(spark, sf)
+    base = T.strip_tokens(T.split_ingredients(F.coalesce(F.col("ingredients"), F.lit(""))))
+    return _arr_out(c, F.filter(base, lambda t: F.length(t) > 3))
+
+
+@query("ingredient_tokens")
+def q_ingredient_tokens(spark, sf):
+    t = tokens_fx(spark, sf)
+    return _arr_out(t, F.col("tokens"))
+
+
+@query("token_vocabulary")
+def q_token_vocabulary(spark, sf):
+    return vocab_fx(spark, sf).withColumnRenamed("first_key", "first_pro_ids")
+
+
+@query("token_edit_distance")
+def q_token_edit_distance(spark, sf):
+    pairs = I.edit_distance_pairs(tokens_only_fx(spark, sf), max_dist=2)
+    return pairs.withColumn("similarity", -F.col("dist"))
+
+
+@query("group_lookup")
+def q_group_lookup(spark, sf):
+    return I.group_lookup(tokens_fx(spark, sf), groups_fx(spark, sf))
+
+
+@query("group_members")
+def q_group_members(spark, sf):
+    return I.group_members(groups_fx(spark, sf))
+
+
+@query("product_groups")
+def q_product_groups(spark, sf):
+    pg = I.product_groups(tokens_fx(spark, sf), groups_fx(spark, sf))
+    return pg.select("pro_ids", joined("groups").alias("groups"), "n_groups")
