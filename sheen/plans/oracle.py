@@ -199,3 +199,114 @@ SQL["product_groups"] = tok_sql(
        CAST(count(*) AS INTEGER) AS n_groups
 FROM (SELECT DISTINCT t.pro_ids, g."group" FROM (SELECT pro_ids, unnest(tokens) AS token FROM toks) t
       JOIN groups g USING (token)) GROUP BY pro_ids""", [VOCAB_CTE, GROUPS_CTE])
+
+# ----------------------------------------------------------------------------- §2.6
+from sheen.functions.constants import SLOT_OFFSETS, TRAIT_DOMAINS  # noqa: E402
+
+PGROUPS_CTE = """pgroups AS (
+  SELECT pro_ids, list_sort(list("group")) AS groups FROM (
+    SELECT DISTINCT t.pro_ids, g."group" FROM (SELECT pro_ids, unnest(tokens) AS token FROM toks) t
+    JOIN groups g USING (token)) GROUP BY pro_ids),
+feat AS (
+  SELECT c.pro_ids, c.names, c.ratings, c.repurchases, c.pkg_quals, c.prices,
+         coalesce(pg.groups, CAST([] AS VARCHAR[])) AS groups, len(coalesce(pg.groups, CAST([] AS VARCHAR[]))) AS n_groups
+  FROM catalog_fx c LEFT JOIN pgroups pg USING (pro_ids)),
+qprod AS (
+  SELECT r.req_id, r.product_name, min(c.pro_ids) AS pro_ids
+  FROM requests_fx r JOIN catalog_fx c ON r.product_name = c.names GROUP BY r.req_id, r.product_name)"""
+
+MULTIHOT_CTE = """mh AS (
+  SELECT pro_ids, "group", CAST(dense_rank() OVER (ORDER BY "group") - 1 AS INTEGER) AS feature_idx, CAST(1.0 AS DOUBLE) AS value
+  FROM (SELECT pro_ids, unnest(groups) AS "group" FROM pgroups))"""
+
+
+def feat_sql(body: str, extra: list[str] | None = None) -> str:
+    return with_fx(["catalog_fx", "requests_fx"], [TOKENS_CTE, VOCAB_CTE, GROUPS_CTE, PGROUPS_CTE]
+                   + (extra or [])) + body
+
+
+SQL["multi_hot_groups"] = feat_sql('SELECT pro_ids, "group", feature_idx, value FROM mh', [MULTIHOT_CTE])
+_NUM = ["ratings", "repurchases", "pkg_quals", "prices"]
+SQL["assemble_features"] = feat_sql(
+    'SELECT pro_ids, "group", feature_idx, value FROM mh UNION ALL '
+    + " UNION ALL ".join(
+        f"SELECT pro_ids, '{c}', CAST((SELECT coalesce(max(feature_idx) + 1, 0) FROM mh) + {j} AS INTEGER), "
+        f"CAST({c} AS DOUBLE) FROM catalog_fx" for j, c in enumerate(_NUM)), [MULTIHOT_CTE])
+SQL["feature_by_name"] = feat_sql("SELECT req_id, product_name, pro_ids FROM qprod")
+
+_D2 = ("CAST(qf.n_groups + f.n_groups - 2 * len(list_intersect(qf.groups, f.groups)) AS DOUBLE)"
+       + "".join(f" + (CAST(qf.{c} AS DOUBLE) - CAST(f.{c} AS DOUBLE)) * (CAST(qf.{c} AS DOUBLE) - CAST(f.{c} AS DOUBLE))"
+                 for c in _NUM))
+SQL["similar_products"] = feat_sql(f"""SELECT req_id, CAST(rank AS INTEGER) AS rank, pro_ids, dist2 FROM (
+  SELECT q.req_id, f.pro_ids, {_D2} AS dist2,
+         row_number() OVER (PARTITION BY q.req_id ORDER BY {_D2}, f.pro_ids) AS rank
+  FROM qprod q JOIN feat qf ON qf.pro_ids = q.pro_ids JOIN feat f ON f.pro_ids <> q.pro_ids)
+WHERE rank <= 10""")
+
+_UNPIVOT_TRAITS = "UNPIVOT (value FOR trait IN (" + ", ".join(TRAITS) + "))"
+_T_ORD = "CASE trait " + " ".join(f"WHEN '{t}' THEN {j}" for j, t in enumerate(TRAITS)) + " END"
+ONEHOT_CTE = f"""tlong AS (SELECT uid, trait, value FROM traits_fx {_UNPIVOT_TRAITS}),
+cats AS (SELECT trait, value, {_T_ORD} AS t_ord,
+                row_number() OVER (PARTITION BY trait ORDER BY value) - 1 AS local
+         FROM (SELECT DISTINCT trait, value FROM tlong)),
+offs AS (SELECT t_ord, coalesce(sum(n) OVER (ORDER BY t_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+         FROM (SELECT t_ord, count(*) AS n FROM cats GROUP BY t_ord)),
+slots AS (SELECT trait, value, CAST(off + local AS INTEGER) AS slot FROM cats JOIN offs USING (t_ord)),
+onehot AS (SELECT uid, trait, value, slot FROM tlong JOIN slots USING (trait, value))"""
+SQL["one_hot_traits"] = with_fx(["traits_fx"], [ONEHOT_CTE]) + "SELECT uid, trait, value, slot FROM onehot"
+SQL["feature_names"] = with_fx(["traits_fx"], [ONEHOT_CTE]) + (
+    f"SELECT DISTINCT slot, 'x' || CAST({_T_ORD} AS VARCHAR) || '_' || value AS name FROM onehot")
+
+_DOMAIN_ROWS = ", ".join(f"({lit(t)}, {lit(v)}, {SLOT_OFFSETS[t] + i})"
+                         for t in TRAITS for i, v in enumerate(TRAIT_DOMAINS[t]))
+DOMAINS_CTE = f"domains AS (SELECT * FROM (VALUES {_DOMAIN_ROWS}) AS d(trait, value, slot))"
+SQL["trait_domains"] = with_fx(["traits_fx"], [DOMAINS_CTE]) + f"""SELECT d.trait, d.value, CAST(d.slot AS INTEGER) AS slot,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS n_users
+FROM domains d LEFT JOIN (SELECT trait, value, count(*) AS n FROM (SELECT uid, trait, value FROM traits_fx {_UNPIVOT_TRAITS})
+                          GROUP BY trait, value) c USING (trait, value)"""
+SQL["request_vector"] = with_fx(["requests_fx"], [DOMAINS_CTE]) + (
+    f"SELECT req_id, trait, CAST(slot AS INTEGER) AS slot FROM (SELECT req_id, trait, value FROM requests_fx "
+    f"{_UNPIVOT_TRAITS}) JOIN domains USING (trait, value)")
+
+_MATCH = " + ".join(f"CASE WHEN r.{t} = t.{t} THEN 1 ELSE 0 END" for t in TRAITS)
+_QSET = " + ".join(f"CASE WHEN r.{t} IS NOT NULL THEN 1 ELSE 0 END" for t in TRAITS)
+_RSET = " + ".join(f"CASE WHEN t.{t} IS NOT NULL THEN 1 ELSE 0 END" for t in TRAITS)
+SIMUSERS_CTE = f"""simusers AS (
+  SELECT req_id, CAST(rank AS INTEGER) AS rank, uid, dist2 FROM (
+    SELECT r.req_id, t.uid, CAST(({_QSET}) + ({_RSET}) - 2 * ({_MATCH}) AS DOUBLE) AS dist2,
+           row_number() OVER (PARTITION BY r.req_id ORDER BY ({_QSET}) + ({_RSET}) - 2 * ({_MATCH}), t.uid) AS rank
+    FROM requests_fx r CROSS JOIN traits_fx t)
+  WHERE rank <= 10)"""
+SQL["similar_users"] = with_fx(["requests_fx", "traits_fx"], [SIMUSERS_CTE]) + (
+    "SELECT req_id, rank, uid, dist2 FROM simusers")
+
+RM_CTE = "rm AS (SELECT pro_ids, uid, sum(lipies) AS value FROM ratings_fx GROUP BY pro_ids, uid)"
+SQL["rating_matrix"] = with_fx(["ratings_fx"], [RM_CTE]) + "SELECT pro_ids, uid, value FROM rm"
+_TOPU = """topu AS (SELECT uid, 'u' || lpad(CAST(rn AS VARCHAR), 2, '0') AS label FROM (
+  SELECT uid, row_number() OVER (ORDER BY count(*) DESC, uid) AS rn FROM ratings_fx GROUP BY uid) WHERE rn <= 10)"""
+SQL["rating_pivot"] = with_fx(["ratings_fx"], [_TOPU]) + (
+    "SELECT pro_ids, " + ", ".join(
+        f"coalesce(avg(CASE WHEN label = 'u{i:02d}' THEN lipies END), 0.0) AS u{i:02d}" for i in range(1, 11))
+    + " FROM ratings_fx JOIN topu USING (uid) GROUP BY pro_ids")
+SQL["max_abs_scale"] = with_fx(["ratings_fx"], [RM_CTE]) + (
+    "SELECT pro_ids, uid, CASE WHEN m = 0 THEN 0.0 ELSE value / m END AS value FROM "
+    "(SELECT pro_ids, uid, value, max(abs(value)) OVER (PARTITION BY uid) AS m FROM rm)")
+
+UNIT_CTE = """unit AS (
+  SELECT vec_id, label, list_transform(e, lambda x: CASE WHEN nrm = 0 THEN 0.0 ELSE x / nrm END) AS vec FROM (
+    SELECT vec_id, label, e, sqrt(list_reduce(list_transform(e, lambda x: x * x), lambda a, b: a + b)) AS nrm
+    FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings))),
+cq AS (SELECT label AS req_id, min(vec_id) AS q_id FROM embeddings GROUP BY label),
+cscores AS (
+  SELECT cq.req_id, cq.q_id, u.vec_id,
+         list_reduce(list_transform(range(1, len(u.vec) + 1), lambda i: u.vec[i] * q.vec[i]), lambda a, b: a + b) AS score
+  FROM cq JOIN unit q ON q.vec_id = cq.q_id CROSS JOIN unit u)"""
+SQL["l2_normalize"] = f"WITH {UNIT_CTE}\n" + (
+    "SELECT vec_id, CAST(generate_subscripts(vec, 1) - 1 AS INTEGER) AS pos, round(unnest(vec), 9) AS value FROM unit")
+SQL["name_factors"] = with_fx(["catalog_fx"]) + (
+    "SELECT vec_id, names FROM embeddings LEFT JOIN catalog_fx ON CAST(pro_ids AS BIGINT) = vec_id")
+SQL["cosine_scores"] = f"WITH {UNIT_CTE}\n" + (
+    "SELECT req_id, q_id AS query_id, vec_id, round(score, 9) AS score FROM cscores")
+SQL["cosine_top_k"] = f"WITH {UNIT_CTE}\n" + """SELECT req_id, vec_id, round(score, 9) AS score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT req_id, vec_id, score, row_number() OVER (PARTITION BY req_id ORDER BY score DESC, vec_id) AS rank
+  FROM cscores WHERE vec_id <> q_id) WHERE rank <= 10"""

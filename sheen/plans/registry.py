@@ -318,3 +318,137 @@ def q_group_members(spark, sf):
 def q_product_groups(spark, sf):
     pg = I.product_groups(tokens_fx(spark, sf), groups_fx(spark, sf))
     return pg.select("pro_ids", joined("groups").alias("groups"), "n_groups")
+
+
+# ----------------------------------------------------------------------------- §2.6 features
+from sheen.operators import factors as FA  # noqa: E402
+from sheen.operators import features as FE  # noqa: E402
+from sheen.session import table  # noqa: E402
+
+
+def pgroups_fx(spark, sf) -> DataFrame:
+    return I.product_groups(tokens_fx(spark, sf), groups_fx(spark, sf))
+
+
+def features_fx(spark, sf) -> DataFrame:
+    return FE.product_features(FX.catalog_fx(spark, sf), pgroups_fx(spark, sf))
+
+
+def query_products_fx(spark, sf) -> DataFrame:
+    return FE.feature_by_name(FX.catalog_fx(spark, sf), FX.requests_fx(spark, sf))
+
+
+@query("multi_hot_groups")
+def q_multi_hot_groups(spark, sf):
+    return FE.multi_hot_groups(pgroups_fx(spark, sf))
+
+
+@query("assemble_features")
+def q_assemble_features(spark, sf):
+    return FE.assemble_features(FE.multi_hot_groups(pgroups_fx(spark, sf)), FX.catalog_fx(spark, sf))
+
+
+@query("feature_by_name")
+def q_feature_by_name(spark, sf):
+    return query_products_fx(spark, sf)
+
+
+@query("similar_products")
+def q_similar_products(spark, sf):
+    return FE.similar_products(features_fx(spark, sf), query_products_fx(spark, sf), k=10)
+
+
+@query("one_hot_traits")
+def q_one_hot_traits(spark, sf):
+    return FE.one_hot_traits(FX.traits_fx(spark, sf))
+
+
+@query("feature_names")
+def q_feature_names(spark, sf):
+    return FE.feature_names(FE.one_hot_traits(FX.traits_fx(spark, sf)))
+
+
+@query("trait_domains")
+def q_trait_domains(spark, sf):
+    counts = FE.unpivot_traits(FX.traits_fx(spark, sf), "uid").groupBy("trait", "value").agg(
+        F.count(F.lit(1)).alias("n_users"))
+    return (FE.trait_domains(spark).join(counts, ["trait", "value"], "left")
+            .withColumn("n_users", F.coalesce("n_users", F.lit(0).cast("bigint"))))
+
+
+@query("request_vector")
+def q_request_vector(spark, sf):
+    return FE.request_vector(FX.requests_fx(spark, sf), FE.trait_domains(spark))
+
+
+@query("similar_users")
+def q_similar_users(spark, sf):
+    return FE.similar_users(FX.traits_fx(spark, sf), FX.requests_fx(spark, sf), k=10)
+
+
+@query("rating_matrix")
+def q_rating_matrix(spark, sf):
+    return FA.rating_matrix(FX.ratings_fx(spark, sf))
+
+
+def top_users_fx(spark, sf, n=10) -> DataFrame:
+    """The n users with the most ratings (ties to the smaller uid), labelled u01.."""
+    counts = FX.ratings_fx(spark, sf).groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.orderBy(F.desc("n"), "uid").limit(n)
+    from pyspark.sql import Window
+    return top.select("uid", F.concat(F.lit("u"), F.lpad(F.row_number().over(
+        Window.orderBy(F.desc("n"), "uid")).cast("string"), 2, "0")).alias("label"))
+
+
+@query("rating_pivot")
+def q_rating_pivot(spark, sf):
+    return FA.rating_pivot(FX.ratings_fx(spark, sf), top_users_fx(spark, sf))
+
+
+@query("max_abs_scale")
+def q_max_abs_scale(spark, sf):
+    return FA.max_abs_scale(FA.rating_matrix(FX.ratings_fx(spark, sf)))
+
+
+@query("nmf_factors")
+def q_nmf_factors(spark, sf):
+    w, _ = FA.nmf_factors(FA.rating_matrix(FX.ratings_fx(spark, sf)), k=20)
+    return w
+
+
+def unit_embeddings_fx(spark, sf) -> DataFrame:
+    e = table(spark, sf, "embeddings").select(F.col("vec_id"), F.col("embedding").alias("vec"))
+    return FA.l2_normalize(e)
+
+
+def cosine_queries_fx(spark, sf) -> DataFrame:
+    """One query vector per label: its smallest vec_id."""
+    return table(spark, sf, "embeddings").groupBy(F.col("label").alias("req_id")).agg(
+        F.min("vec_id").alias("vec_id"))
+
+
+@query("l2_normalize")
+def q_l2_normalize(spark, sf):
+    u = unit_embeddings_fx(spark, sf)
+    return u.select("vec_id", F.posexplode("vec").alias("pos", "value")).withColumn(
+        "value", F.round("value", 9))
+
+
+@query("name_factors")
+def q_name_factors(spark, sf):
+    e = table(spark, sf, "embeddings").select("vec_id")
+    c = FX.catalog_fx(spark, sf).select(F.col("pro_ids").cast("bigint").alias("vec_id"), "names")
+    return e.join(c, "vec_id", "left")
+
+
+@query("cosine_scores")
+def q_cosine_scores(spark, sf):
+    s = FA.cosine_scores(unit_embeddings_fx(spark, sf), cosine_queries_fx(spark, sf), key="vec_id")
+    return s.select("req_id", F.col("q_id").alias("query_id"), "vec_id",
+                    F.round("score", 9).alias("score"))
+
+
+@query("cosine_top_k")
+def q_cosine_top_k(spark, sf):
+    s = FA.cosine_scores(unit_embeddings_fx(spark, sf), cosine_queries_fx(spark, sf), key="vec_id")
+    return FA.cosine_top_k(s, 10, key="vec_id").withColumn("score", F.round("score", 9))
