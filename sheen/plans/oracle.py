@@ -310,3 +310,60 @@ SQL["cosine_scores"] = f"WITH {UNIT_CTE}\n" + (
 SQL["cosine_top_k"] = f"WITH {UNIT_CTE}\n" + """SELECT req_id, vec_id, round(score, 9) AS score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT req_id, vec_id, score, row_number() OVER (PARTITION BY req_id ORDER BY score DESC, vec_id) AS rank
   FROM cscores WHERE vec_id <> q_id) WHERE rank <= 10"""
+
+# ----------------------------------------------------------------------------- §2.7
+SQL["als_rmse"] = with_fx(["ratings_fx"]) + """SELECT round(sqrt(avg((lipies - prediction) * (lipies - prediction))), 9) AS rmse
+FROM ratings_fx JOIN (SELECT pro_ids, avg(lipies) AS prediction FROM ratings_fx GROUP BY pro_ids) USING (pro_ids)"""
+SQL["recs_to_columns"] = with_fx(["recs_fx"]) + "SELECT * FROM recs_fx"
+
+# ----------------------------------------------------------------------------- §2.8 hybrid
+SIMPROD_CTE = f"""simprod AS (
+  SELECT req_id, CAST(rank AS INTEGER) AS rank, pro_ids, dist2 FROM (
+    SELECT q.req_id, f.pro_ids, {_D2} AS dist2,
+           row_number() OVER (PARTITION BY q.req_id ORDER BY {_D2}, f.pro_ids) AS rank
+    FROM qprod q JOIN feat qf ON qf.pro_ids = q.pro_ids JOIN feat f ON f.pro_ids <> q.pro_ids)
+  WHERE rank <= 10)"""
+_DET = "names, ratings, repurchases, pkg_quals, prices, brands"
+SERVE_CTES = [TOKENS_CTE, VOCAB_CTE, GROUPS_CTE, PGROUPS_CTE, SIMUSERS_CTE, SIMPROD_CTE, f"""nrecs AS (
+  SELECT s.req_id, s.rank, s.uid, r.rec1 FROM simusers s LEFT JOIN recs_fx r USING (uid)),
+details AS (
+  SELECT n.req_id, n.rank, n.uid, n.rec1, c.pro_ids, c.names, c.ratings, c.repurchases, c.pkg_quals,
+         c.prices, c.brands
+  FROM nrecs n LEFT JOIN catalog_fx c ON CAST(n.rec1 AS INTEGER) = c.pro_ids),
+dedup AS (SELECT DISTINCT req_id, pro_ids, {_DET} FROM details),
+content AS (
+  SELECT s.req_id, s.rank, s.pro_ids, {", ".join("c." + x for x in _DET.split(", "))}
+  FROM simprod s JOIN catalog_fx c USING (pro_ids)),
+hybrid AS (
+  SELECT req_id, pro_ids, {_DET}, 'users' AS half FROM dedup
+  UNION ALL SELECT req_id, pro_ids, {_DET}, 'content' AS half FROM content),
+picked AS (
+  SELECT * FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY req_id ORDER BY
+             md5(concat_ws('|', '123', CAST(coalesce(pro_ids, -1) AS VARCHAR), half)), half,
+             pro_ids NULLS FIRST) AS INTEGER) AS pick
+    FROM hybrid) WHERE pick <= 10)"""]
+
+
+def serve_sql(body: str, extra: list[str] | None = None) -> str:
+    return with_fx(["catalog_fx", "requests_fx", "traits_fx", "recs_fx"], SERVE_CTES + (extra or [])) + body
+
+
+SQL["neighbor_recs"] = serve_sql("SELECT req_id, rank, uid, rec1 FROM nrecs")
+SQL["rec_details"] = serve_sql("SELECT * FROM details")
+SQL["rec_dedup"] = serve_sql("SELECT * FROM dedup")
+SQL["content_recs"] = serve_sql("SELECT * FROM content")
+SQL["hybrid_union"] = serve_sql("SELECT * FROM hybrid")
+SQL["seeded_sample"] = serve_sql("SELECT * FROM picked")
+UNKNOWN_CTE = """unknown AS (
+  SELECT req_id, product_name FROM requests_fx WHERE product_name IS NULL
+     OR product_name NOT IN (SELECT names FROM catalog_fx WHERE names IS NOT NULL))"""
+SQL["unknown_product"] = with_fx(["catalog_fx", "requests_fx"], [UNKNOWN_CTE]) + "SELECT * FROM unknown"
+SQL["recommend_sql"] = with_fx(["catalog_fx", "requests_fx", "traits_fx", "recs_fx"], SERVE_CTES + [
+    UNKNOWN_CTE.replace("unknown AS", "unk AS"), """known_pick AS (
+  SELECT * FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY req_id ORDER BY
+             md5(concat_ws('|', '123', CAST(coalesce(pro_ids, -1) AS VARCHAR), half)), half,
+             pro_ids NULLS FIRST) AS INTEGER) AS pick
+    FROM hybrid WHERE req_id IN (SELECT req_id FROM qprod)) WHERE pick <= 10)"""]) + """SELECT req_id, pick, pro_ids, names AS label, names AS value FROM known_pick
+UNION ALL SELECT req_id, 1, CAST(NULL AS INTEGER), '', '' FROM unk"""

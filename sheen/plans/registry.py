@@ -452,3 +452,137 @@ def q_cosine_scores(spark, sf):
 def q_cosine_top_k(spark, sf):
     s = FA.cosine_scores(unit_embeddings_fx(spark, sf), cosine_queries_fx(spark, sf), key="vec_id")
     return FA.cosine_top_k(s, 10, key="vec_id").withColumn("score", F.round("score", 9))
+
+
+# ----------------------------------------------------------------------------- §2.7 collaborative filtering
+from sheen.operators import collab as CO  # noqa: E402
+
+
+def _ratings_for_als(spark, sf):
+    return FX.ratings_fx(spark, sf)
+
+
+@query("als_fit")
+def q_als_fit(spark, sf):
+    r = _ratings_for_als(spark, sf)
+    model = CO.als_fit(r, rank=10, reg=0.1)
+    return model.transform(r).select("uid", "pro_ids", "lipies", "prediction")
+
+
+@query("als_grid")
+def q_als_grid(spark, sf):
+    """Training RMSE of every grid point (rank x regParam)."""
+    r = _ratings_for_als(spark, sf)
+    als = CO.als_estimator()
+    rows = []
+    for pm in CO.als_grid(als):
+        m = als.fit(r, pm)
+        d = {p.name: v for p, v in pm.items()}
+        rows.append((int(d["rank"]), float(d["regParam"]),
+                     float(CO.rmse_evaluator().evaluate(m.transform(r)))))
+    return spark.createDataFrame(rows, "rank int, reg_param double, train_rmse double")
+
+
+def _mean_predictions(spark, sf):
+    r = FX.ratings_fx(spark, sf)
+    mean = r.groupBy("pro_ids").agg(F.avg("lipies").alias("prediction"))
+    return r.join(mean, "pro_ids")
+
+
+@query("als_rmse")
+def q_als_rmse(spark, sf):
+    """RMSE formula on stand-in predictions (each product's mean rating)."""
+    return CO.rmse(_mean_predictions(spark, sf)).select(F.round("rmse", 9).alias("rmse"))
+
+
+@query("als_cross_validate")
+def q_als_cross_validate(spark, sf):
+    cv = CO.als_cross_validate(_ratings_for_als(spark, sf), parallelism=4)
+    return CO.cv_metrics(spark, cv)
+
+
+@query("als_top_n")
+def q_als_top_n(spark, sf):
+    model = CO.als_fit(_ratings_for_als(spark, sf), rank=10, reg=0.1)
+    recs = CO.als_top_n(model, 10)
+    return recs.select("uid", F.posexplode("recommendations").alias("pos", "r")).select(
+        "uid", (F.col("pos") + 1).alias("rank"), F.col("r.pro_ids").alias("pro_ids"),
+        F.col("r.rating").alias("rating"))
+
+
+def stand_in_recommendations(spark, sf) -> DataFrame:
+    """(uid, recommendations) shaped like ALS output: each user's ten products by
+    summed rating, best first."""
+    from pyspark.sql import Window
+    s = FX.ratings_fx(spark, sf).groupBy("uid", "pro_ids").agg(F.sum("lipies").alias("rating"))
+    w = Window.partitionBy("uid").orderBy(F.desc("rating"), "pro_ids")
+    top = s.withColumn("rn", F.row_number().over(w)).where("rn <= 10")
+    return top.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("rn", "pro_ids", "rating")))
+                                  .alias("r")).select(
+        "uid", F.transform("r", lambda x: F.struct(x["pro_ids"].alias("pro_ids"),
+                                                   x["rating"].alias("rating"))).alias("recommendations"))
+
+
+@query("recs_to_columns")
+def q_recs_to_columns(spark, sf):
+    return CO.recs_to_columns(stand_in_recommendations(spark, sf))
+
+
+# ----------------------------------------------------------------------------- §2.8 serving
+def neighbours_fx(spark, sf):
+    return FE.similar_users(FX.traits_fx(spark, sf), FX.requests_fx(spark, sf), k=10)
+
+
+def similar_fx(spark, sf):
+    return FE.similar_products(features_fx(spark, sf), query_products_fx(spark, sf), k=10)
+
+
+@query("neighbor_recs")
+def q_neighbor_recs(spark, sf):
+    return S.neighbor_recs(neighbours_fx(spark, sf), FX.recs_fx(spark, sf))
+
+
+@query("rec_details")
+def q_rec_details(spark, sf):
+    d = S.rec_details(S.neighbor_recs(neighbours_fx(spark, sf), FX.recs_fx(spark, sf)),
+                      FX.catalog_fx(spark, sf))
+    return d.drop("ingredients")
+
+
+@query("rec_dedup")
+def q_rec_dedup(spark, sf):
+    d = S.rec_details(S.neighbor_recs(neighbours_fx(spark, sf), FX.recs_fx(spark, sf)),
+                      FX.catalog_fx(spark, sf))
+    return S.rec_dedup(d).drop("ingredients")
+
+
+@query("content_recs")
+def q_content_recs(spark, sf):
+    return S.content_recs(similar_fx(spark, sf), FX.catalog_fx(spark, sf)).drop("ingredients")
+
+
+def hybrid_fx(spark, sf):
+    cat = FX.catalog_fx(spark, sf)
+    users = S.rec_dedup(S.rec_details(S.neighbor_recs(neighbours_fx(spark, sf), FX.recs_fx(spark, sf)), cat))
+    return S.hybrid_union(users, S.content_recs(similar_fx(spark, sf), cat))
+
+
+@query("hybrid_union")
+def q_hybrid_union(spark, sf):
+    return hybrid_fx(spark, sf).drop("ingredients")
+
+
+@query("seeded_sample")
+def q_seeded_sample(spark, sf):
+    return S.seeded_sample(hybrid_fx(spark, sf)).drop("ingredients")
+
+
+@query("unknown_product")
+def q_unknown_product(spark, sf):
+    return S.unknown_product(FX.requests_fx(spark, sf), FX.catalog_fx(spark, sf))
+
+
+@query("recommend_sql")
+def q_recommend_sql(spark, sf):
+    return S.recommend(FX.requests_fx(spark, sf), FX.traits_fx(spark, sf), FX.recs_fx(spark, sf),
+                       FX.catalog_fx(spark, sf), features_fx(spark, sf))
