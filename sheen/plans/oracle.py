@@ -367,3 +367,68 @@ SQL["recommend_sql"] = with_fx(["catalog_fx", "requests_fx", "traits_fx", "recs_
              pro_ids NULLS FIRST) AS INTEGER) AS pick
     FROM hybrid WHERE req_id IN (SELECT req_id FROM qprod)) WHERE pick <= 10)"""]) + """SELECT req_id, pick, pro_ids, names AS label, names AS value FROM known_pick
 UNION ALL SELECT req_id, 1, CAST(NULL AS INTEGER), '', '' FROM unk"""
+
+# ----------------------------------------------------------------------------- §2.2 pages
+import re as _re  # noqa: E402
+
+from sheen.functions.constants import PRODUCT_LINK_MARKER, SKIPPED_REVIEW_URL  # noqa: E402
+from sheen.operators.pages import HREF_RE, TITLE_RE  # noqa: E402
+
+_HOST = "https://reviews.example.com"
+_SEARCH = "/product/searching.asp/CategoryId="
+_SEARCH_TAIL = "/NumberOfReviews=5/SD=DESC/SC=HOWMANY/page="
+CATS_CTE = """cats AS (
+  SELECT CAST(701 + pro_ids % 9 AS VARCHAR) AS cat_id,
+         CAST(ceil(count(*) / CAST(10 AS DOUBLE)) AS INTEGER) AS n_pages
+  FROM catalog_fx GROUP BY 1)"""
+SQL["frontier_urls"] = with_fx(["catalog_fx"], [CATS_CTE]) + f"""SELECT cat_id, CAST(page AS INTEGER) AS page,
+       '{_HOST}{_SEARCH}' || cat_id || '{_SEARCH_TAIL}' || CAST(page AS VARCHAR) AS url
+FROM (SELECT cat_id, unnest(range(1, n_pages + 1)) AS page FROM cats)"""
+SQL["cap_pages"] = with_fx(["catalog_fx"], [CATS_CTE]) + f"""SELECT cat_id,
+  CASE WHEN starts_with(last, prefix) AND contains(tail, '/') AND TRY_CAST(split_part(tail, '/', 1) AS INTEGER) IS NOT NULL
+       THEN least(TRY_CAST(split_part(tail, '/', 1) AS INTEGER), 66) ELSE 1 END AS n_search_pages
+FROM (SELECT cat_id, prefix, links[-2] AS last, substr(links[-2], length(prefix) + 1) AS tail FROM (
+  SELECT cat_id, prefix, [prefix || '1/', prefix || '2/', prefix || CAST(n_pages AS VARCHAR) || '/', prefix || '2/'] AS links
+  FROM (SELECT cat_id, n_pages, '{_HOST}{_SEARCH}' || cat_id || '{_SEARCH_TAIL}' AS prefix FROM cats)))"""
+_LINKS = f"list_filter(regexp_extract_all(html, {lit(HREF_RE)}, 1), lambda h: contains(h, '/'))"
+SQL["page_links"] = (f"SELECT page_id, array_to_string({_LINKS}, '|') AS links, "
+                     f"CAST(len({_LINKS}) AS INTEGER) AS n_links FROM pages")
+SQL["every_second"] = (f"SELECT page_id, array_to_string(list_filter({_LINKS}, lambda x, i: i % 2 = 1), '|') AS even, "
+                       f"array_to_string(list_filter({_LINKS}, lambda x, i: i % 2 = 0), '|') AS odd FROM pages")
+SQL["flatten_lists"] = f"SELECT page_id, unnest({_LINKS}) AS link FROM pages"
+SQL["title_guard"] = f"SELECT page_id, url FROM pages WHERE regexp_matches(html, {lit(TITLE_RE)})"
+
+_M = _re.escape(PRODUCT_LINK_MARKER)
+LINKS_CTE = f"""lk AS (
+  SELECT pro_ids, '{PRODUCT_LINK_MARKER}' || CAST(pro_ids AS VARCHAR) || '/page=1/' AS link,
+         format('{{:,}}', count(*)) AS n_reviews
+  FROM ratings_fx GROUP BY pro_ids),
+lkp AS (
+  SELECT pro_ids, link, n_reviews, regexp_extract(link, {lit('^(.*?' + _M + '[^/]*)')}, 1) || '/page=' AS canonical,
+         CAST(ceil(CAST(regexp_replace(n_reviews, '\\D', '', 'g') AS BIGINT) / CAST(10 AS DOUBLE)) AS INTEGER) AS n_pages
+  FROM lk),
+expanded AS (
+  SELECT pro_ids, CAST(page AS INTEGER) AS page, canonical || CAST(page AS VARCHAR) AS url
+  FROM (SELECT pro_ids, canonical, unnest(range(1, greatest(n_pages, 1) + 1)) AS page FROM lkp WHERE n_pages >= 1))"""
+
+
+def links_sql(body: str) -> str:
+    return with_fx(["ratings_fx"], [LINKS_CTE]) + body
+
+
+SQL["canonical_link"] = links_sql("SELECT pro_ids, canonical FROM lkp")
+SQL["extract_id"] = links_sql(f"SELECT pro_ids, regexp_extract(link, {lit(_M + '([^/]*)/')}, 1) AS item_id FROM lk")
+SQL["review_page_count"] = links_sql("SELECT pro_ids, n_reviews, n_pages FROM lkp")
+SQL["expand_review_pages"] = links_sql("SELECT * FROM expanded")
+SQL["skip_bad_pages"] = links_sql(f"SELECT * FROM expanded WHERE url <> '{SKIPPED_REVIEW_URL}'")
+SQL["page_text_fields"] = raw_sql(
+    "SELECT DISTINCT pro_ids, names, ratings, repurchases, pkg_quals, prices, ingredients, brands, brand_ids "
+    "FROM reviews_raw_fx")
+SQL["page_review_arrays"] = raw_sql(
+    "SELECT pro_ids, count(*) AS n_users, count(*) AS n_chars, count(*) AS n_reviews, count(*) AS n_lipies, "
+    "count(*) AS n_dates FROM reviews_raw_fx GROUP BY pro_ids")
+SQL["explode_reviews"] = raw_sql(
+    "SELECT pro_ids, names, ratings, repurchases, pkg_quals, prices, nullif(ingredients, '') AS ingredients, "
+    "brands, brand_ids, users, chars, reviews, lipies, dates, cat_id FROM reviews_raw_fx")
+SQL["quarantine_pages"] = raw_sql("SELECT 'good' AS status, count(*) AS n_reviews FROM reviews_raw_fx")
+SQL["tag_category"] = raw_sql("SELECT pro_ids, users, lipies, cat_id FROM reviews_raw_fx")

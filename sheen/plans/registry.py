@@ -586,3 +586,140 @@ def q_unknown_product(spark, sf):
 def q_recommend_sql(spark, sf):
     return S.recommend(FX.requests_fx(spark, sf), FX.traits_fx(spark, sf), FX.recs_fx(spark, sf),
                        FX.catalog_fx(spark, sf), features_fx(spark, sf))
+
+
+# ----------------------------------------------------------------------------- §2.2 pages
+from sheen.functions.constants import PRODUCT_LINK_MARKER, SKIPPED_REVIEW_URL  # noqa: E402
+from sheen.operators import pages as PG  # noqa: E402
+
+HOST = "https://reviews.example.com"
+
+
+def categories_fx(spark, sf) -> DataFrame:
+    """Search pages per category: products of the category, ten to a page."""
+    c = FX.catalog_fx(spark, sf).select((F.lit(701) + F.col("pro_ids") % 9).cast("string").alias("cat_id"))
+    return c.groupBy("cat_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(10.0)).cast("int").alias("n_pages"))
+
+
+def links_fx(spark, sf) -> DataFrame:
+    """A product link and its review count text ('1,399') for every rated product."""
+    n = FX.ratings_fx(spark, sf).groupBy("pro_ids").agg(F.count(F.lit(1)).alias("n"))
+    return n.select("pro_ids", F.concat(F.lit(PRODUCT_LINK_MARKER), F.col("pro_ids").cast("string"),
+                                        F.lit("/page=1/")).alias("link"),
+                    F.format_number("n", 0).alias("n_reviews"))
+
+
+def rendered_pages_fx(spark, sf) -> DataFrame:
+    return PG.render_review_pages(FX.reviews_raw_fx(spark, sf))
+
+
+@query("frontier_urls")
+def q_frontier_urls(spark, sf):
+    return PG.frontier_urls(categories_fx(spark, sf), HOST)
+
+
+@query("cap_pages")
+def q_cap_pages(spark, sf):
+    f = categories_fx(spark, sf)
+    prefix = F.concat(F.lit(HOST), F.lit("/product/searching.asp/CategoryId="), F.col("cat_id"),
+                      F.lit("/NumberOfReviews=5/SD=DESC/SC=HOWMANY/page="))
+    link = lambda p: F.concat(prefix, p.cast("string"), F.lit("/"))
+    links = F.array(link(F.lit(1)), link(F.lit(2)), link(F.col("n_pages")), link(F.lit(2)))
+    return f.select("cat_id", PG.cap_pages(links, prefix).alias("n_search_pages"))
+
+
+@query("page_links")
+def q_page_links(spark, sf):
+    p = table(spark, sf, "pages")
+    links = PG.page_links(F.col("html"), "/")
+    return p.select("page_id", joined(links).alias("links"), F.size(links).alias("n_links"))
+
+
+@query("every_second")
+def q_every_second(spark, sf):
+    p = table(spark, sf, "pages")
+    links = PG.page_links(F.col("html"), "/")
+    return p.select("page_id", joined(PG.every_second(links, 0)).alias("even"),
+                    joined(PG.every_second(links, 1)).alias("odd"))
+
+
+@query("flatten_lists")
+def q_flatten_lists(spark, sf):
+    p = table(spark, sf, "pages")
+    return p.select("page_id", F.explode(PG.page_links(F.col("html"), "/")).alias("link"))
+
+
+@query("title_guard")
+def q_title_guard(spark, sf):
+    return PG.title_guard(table(spark, sf, "pages")).select("page_id", "url")
+
+
+@query("canonical_link")
+def q_canonical_link(spark, sf):
+    return links_fx(spark, sf).select("pro_ids", P.canonical_link(F.col("link"), PRODUCT_LINK_MARKER)
+                                      .alias("canonical"))
+
+
+@query("extract_id")
+def q_extract_id(spark, sf):
+    return links_fx(spark, sf).select("pro_ids", P.extract_id(F.col("link"), PRODUCT_LINK_MARKER)
+                                      .alias("item_id"))
+
+
+@query("review_page_count")
+def q_review_page_count(spark, sf):
+    return links_fx(spark, sf).select("pro_ids", "n_reviews",
+                                      P.review_page_count(F.col("n_reviews")).alias("n_pages"))
+
+
+@query("expand_review_pages")
+def q_expand_review_pages(spark, sf):
+    return PG.expand_review_pages(links_fx(spark, sf)).select("pro_ids", "page", "url")
+
+
+@query("skip_bad_pages")
+def q_skip_bad_pages(spark, sf):
+    urls = PG.expand_review_pages(links_fx(spark, sf)).select("pro_ids", "page", "url")
+    block = spark.createDataFrame([(SKIPPED_REVIEW_URL,)], "url string")
+    return PG.skip_bad_pages(urls, block)
+
+
+@query("page_text_fields")
+def q_page_text_fields(spark, sf):
+    f = PG.page_text_fields(PG.title_guard(rendered_pages_fx(spark, sf)))
+    return f.select(*PG.SCALARS).distinct()
+
+
+@query("page_review_arrays")
+def q_page_review_arrays(spark, sf):
+    a = PG.page_review_arrays(PG.page_text_fields(rendered_pages_fx(spark, sf)))
+    return a.groupBy("pro_ids").agg(*[F.sum(F.size(c)).alias("n_" + c[:-2]) for c in PG.REVIEW_ARRAYS])
+
+
+@query("explode_reviews")
+def q_explode_reviews(spark, sf):
+    rows, _ = PG.extract_reviews(rendered_pages_fx(spark, sf))
+    return rows.select(*PG.SCALARS, "users", "chars", "reviews", "lipies", "dates", "cat_id")
+
+
+@query("quarantine_pages")
+def q_quarantine_pages(spark, sf):
+    pages = rendered_pages_fx(spark, sf).select("page_id", "url", "html").unionByName(
+        table(spark, sf, "pages").select("page_id", "url", "html"))
+    good, rejected = PG.quarantine_pages(PG.page_review_arrays(pages))
+    g = good.select(F.lit("good").alias("status"), F.size("users_a").alias("n"))
+    r = rejected.select(F.lit("rejected").alias("status"), F.col("n_users").alias("n"))
+    return g.unionByName(r).groupBy("status").agg(F.sum("n").cast("bigint").alias("n_reviews"))
+
+
+@query("tag_category")
+def q_tag_category(spark, sf):
+    from sheen.functions.constants import CATEGORY_IDS
+    from sheen.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    pages = rendered_pages_fx(spark, sf).checkpoint(eager=True)  # rendered once, read per category
+    frames = {}
+    for cid in CATEGORY_IDS:
+        rows, _ = PG.extract_reviews(pages.where(F.col("cat_id") == cid).drop("cat_id"))
+        frames[cid] = rows.select("pro_ids", "users", "lipies")
+    return PG.tag_category(frames)
