@@ -432,3 +432,13 @@ SQL["explode_reviews"] = raw_sql(
     "brands, brand_ids, users, chars, reviews, lipies, dates, cat_id FROM reviews_raw_fx")
 SQL["quarantine_pages"] = raw_sql("SELECT 'good' AS status, count(*) AS n_reviews FROM reviews_raw_fx")
 SQL["tag_category"] = raw_sql("SELECT pro_ids, users, lipies, cat_id FROM reviews_raw_fx")
+
+# ----------------------------------------------------------------------------- §2.1
+SQL["sink_ratings_csv"] = with_fx(["ratings_fx"]) + "SELECT pro_ids, uid, lipies FROM ratings_fx"
+SQL["scan_ratings_csv"] = SQL["sink_ratings_csv"]
+SQL["sink_by_category"] = clean_sql("SELECT pro_ids, users, lipies, cat_id FROM clean_fx")
+SQL["load_categories"] = clean_sql("SELECT cat_id, count(*) AS n FROM clean_fx GROUP BY cat_id")
+SQL["save_clean"] = clean_sql("SELECT pro_ids, users, lipies, dates, " + ", ".join(TRAITS) + " FROM clean_fx")
+SQL["ratings_marts"] = clean_sql("SELECT pro_ids, lipies, uid FROM clean_fx JOIN uid_fx USING (users)",
+                                 [UID_CTE])
+SQL["load_artifacts"] = SQL["recommend_sql"]

@@ -723,3 +723,100 @@ def q_tag_category(spark, sf):
         rows, _ = PG.extract_reviews(pages.where(F.col("cat_id") == cid).drop("cat_id"))
         frames[cid] = rows.select("pro_ids", "users", "lipies")
     return PG.tag_category(frames)
+
+
+# ----------------------------------------------------------------------------- §2.1 sources and sinks
+from sheen.sources import io as IO  # noqa: E402
+
+
+@query("sink_ratings_csv")
+def q_sink_ratings_csv(spark, sf):
+    path = IO.sink_ratings_csv(FX.ratings_fx(spark, sf), IO.shared_path(spark, "ratings-csv"))
+    return IO.scan_ratings_csv(spark, path)
+
+
+@query("scan_ratings_csv")
+def q_scan_ratings_csv(spark, sf):
+    path = IO.shared_path(spark, "ratings-csv")
+    FX.ratings_fx(spark, sf).select("pro_ids", "uid", "lipies").write.option("header", True).csv(path)
+    return IO.scan_ratings_csv(spark, path).select("pro_ids", "uid", "lipies")
+
+
+@query("sink_by_category")
+def q_sink_by_category(spark, sf):
+    path = IO.sink_by_category(clean_fx(spark, sf).select("pro_ids", "users", "lipies", "cat_id"),
+                               IO.shared_path(spark, "by-category"))
+    return IO.load_categories(spark, path)
+
+
+@query("load_categories")
+def q_load_categories(spark, sf):
+    path = IO.sink_by_category(clean_fx(spark, sf).select("pro_ids", "users", "lipies", "cat_id"),
+                               IO.shared_path(spark, "by-category"))
+    return IO.load_categories(spark, path).groupBy("cat_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("save_clean")
+def q_save_clean(spark, sf):
+    cols = ["pro_ids", "users", "lipies", "dates", *TRAITS]
+    path = IO.save_table(clean_fx(spark, sf).select(*cols), IO.shared_path(spark, "clean"))
+    return IO.load_table(spark, path)
+
+
+@query("ratings_marts")
+def q_ratings_marts(spark, sf):
+    j = R.join_uid(clean_fx(spark, sf), uid_fx(spark, sf))
+    paths = IO.ratings_marts(j, IO.shared_path(spark, "marts"))
+    return IO.load_table(spark, paths["prod_ratings_no_rev"])
+
+
+def stand_in_artifacts(spark, sf) -> dict[str, DataFrame]:
+    return {"catalog": FX.catalog_fx(spark, sf), "features": features_fx(spark, sf),
+            "recs": FX.recs_fx(spark, sf), "traits": FX.traits_fx(spark, sf)}
+
+
+@query("save_artifacts")
+def q_save_artifacts(spark, sf):
+    paths = IO.save_artifacts(IO.shared_path(spark, "artifacts"), stand_in_artifacts(spark, sf))
+    loaded = IO.load_artifacts(spark, paths)
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("artifact"), "n_rows")
+             for name, df in loaded.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("load_artifacts")
+def q_load_artifacts(spark, sf):
+    """The serving query over artifacts saved and loaded back."""
+    paths = IO.save_artifacts(IO.shared_path(spark, "artifacts"), stand_in_artifacts(spark, sf))
+    a = IO.load_artifacts(spark, paths)
+    return S.recommend(FX.requests_fx(spark, sf), a["traits"], a["recs"], a["catalog"], a["features"])
+
+
+# ----------------------------------------------------------------------------- iterative / model keys
+from sheen.operators import affinity as AF  # noqa: E402
+
+
+def ap_groups_fx(spark, sf, **kw) -> DataFrame:
+    vocab = vocab_fx(spark, sf)
+    pairs = I.edit_distance_pairs(vocab, max_dist=2)
+    return AF.token_groups(vocab, pairs, **kw)
+
+
+@query("token_groups")
+def q_token_groups(spark, sf):
+    return ap_groups_fx(spark, sf)
+
+
+@query("recommend")
+def q_recommend(spark, sf):
+    """The full pipeline on real models: affinity-propagation ingredient groups
+    for content features, ALS recommendations for the similar-users half."""
+    cat = FX.catalog_fx(spark, sf)
+    groups = ap_groups_fx(spark, sf).checkpoint(eager=True)
+    feats = FE.product_features(cat, I.product_groups(tokens_fx(spark, sf), groups))
+    model = CO.als_fit(_ratings_for_als(spark, sf), rank=10, reg=0.1)
+    recs = CO.recs_to_columns(CO.als_top_n(model, 10))
+    return S.recommend(FX.requests_fx(spark, sf), FX.traits_fx(spark, sf), recs, cat, feats)
