@@ -9,10 +9,31 @@ from sheen.functions import text as T
 from sheen.operators.relational import dense_index
 
 
-def product_tokens(catalog: DataFrame, col: str = "ingredients", key: str = "pro_ids"
-                   ) -> DataFrame:
-    """(key, tokens array) for every product; the whole text is tokenised."""
-    return catalog.select(key, T.ingredient_tokens(F.col(col)).alias("tokens"))
+def product_tokens(catalog: DataFrame, col: str = "ingredients", key: str = "pro_ids",
+                   parallelism: int | None = None) -> DataFrame:
+    """(key, tokens array) for every product; the whole text is tokenised.
+
+    Tokenising is CPU-bound regex work on long texts, while text tables often
+    arrive in few, large input splits. Rows are hash-partitioned on the product
+    key first (an explicit count, default ``spark.sql.shuffle.partitions``):
+    the work spreads over all cores, and the product-keyed aggregations that
+    follow reuse that partitioning.
+    """
+    n = parallelism or int(catalog.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (catalog.select(key, col).repartition(n, key)
+            .select(key, T.ingredient_tokens(F.col(col)).alias("tokens")))
+
+
+def explode_tokens(tokens: DataFrame, key: str = "pro_ids", with_pos: bool = False) -> DataFrame:
+    """(key, [pos,] token) rows. The ``_outer`` generator plus a null filter
+    keeps Catalyst from inferring ``size(tokens) > 0`` and pushing that copy of
+    the tokenizer expression below the repartition (it would run twice, the
+    second time on the few unbalanced input splits)."""
+    if with_pos:
+        rows = tokens.select(key, F.posexplode_outer("tokens").alias("pos", "token"))
+    else:
+        rows = tokens.select(key, F.explode_outer("tokens").alias("token"))
+    return rows.where(F.col("token").isNotNull())
 
 
 def token_vocabulary(tokens: DataFrame, key: str = "pro_ids", with_index: bool = True
@@ -23,10 +44,18 @@ def token_vocabulary(tokens: DataFrame, key: str = "pro_ids", with_index: bool =
     task, so a token that appears in a third of all products costs one row per
     task before the shuffle.
     """
-    exploded = tokens.select(key, F.posexplode("tokens").alias("pos", "token"))
-    first = (exploded.groupBy("token")
-             .agg(F.min(F.struct(F.col(key), F.col("pos"))).alias("f"))
-             .select("token", F.col(f"f.{key}").alias("first_key"), F.col("f.pos").alias("first_pos")))
+    exploded = explode_tokens(tokens, key, with_pos=True)
+    key_type = tokens.schema[key].dataType.simpleString()
+    if key_type in ("int", "smallint", "tinyint"):
+        # (key, pos) packed in one bigint: a hash aggregate instead of a sort-based one
+        packed = F.shiftleft(F.col(key).cast("bigint"), 32) + F.col("pos")
+        first = (exploded.groupBy("token").agg(F.min(packed).alias("f"))
+                 .select("token", F.shiftright("f", 32).cast(key_type).alias("first_key"),
+                         (F.col("f").bitwiseAND(F.lit(0xFFFFFFFF))).cast("int").alias("first_pos")))
+    else:
+        first = (exploded.groupBy("token")
+                 .agg(F.min(F.struct(F.col(key), F.col("pos"))).alias("f"))
+                 .select("token", F.col(f"f.{key}").alias("first_key"), F.col("f.pos").alias("first_pos")))
     if not with_index:
         return first
     ordered = first.withColumn("_ord", F.struct("first_key", "first_pos"))
@@ -67,8 +96,11 @@ def edit_distance_pairs(vocab: DataFrame, max_dist: int = 2, col: str = "token")
         for i in range(k + 1)])).alias("seg")).select(
         F.col("t").alias("a"), F.col("n").alias("len"), "seg.i", "seg.s")
 
-    # probe: for each target length L in [n-k, n+k], each segment i of a string of
-    # length L, each shift of its start by -k..k that fits inside the probe token
+    # probe: for each target length L in [n-k, n+k] and each segment i of a string
+    # of length L, the starts q allowed by the position-aware bound: at most i
+    # edits before segment i (|q - start| <= i) and at most k - i after it
+    # (|(q - start) - (n - L)| <= k - i); some segment satisfies both when the
+    # distance is at most k (pass-join lemma).
     probe = (v.select("t", "n", F.explode(F.sequence(F.greatest(F.col("n") - k, F.lit(1)),
                                                       F.col("n") + k)).alias("len"))
              .select("t", "n", "len", F.explode(F.sequence(F.lit(0), F.lit(k))).alias("i")))
@@ -77,11 +109,13 @@ def edit_distance_pairs(vocab: DataFrame, max_dist: int = 2, col: str = "token")
     extra = (F.col("len") % parts).cast("int")
     start = F.col("i") * base + F.greatest(F.lit(0), F.col("i") - (F.lit(parts) - extra))
     seg_len = base + F.when(F.col("i") >= F.lit(parts) - extra, 1).otherwise(0)
+    delta = F.col("n") - F.col("len")
+    lo = F.greatest(F.col("st") - F.col("i"), F.col("st") + delta - (F.lit(k) - F.col("i")), F.lit(0))
+    hi = F.least(F.col("st") + F.col("i"), F.col("st") + delta + (F.lit(k) - F.col("i")),
+                 F.col("n") - F.col("sl"))
     probe = (probe.withColumn("st", start).withColumn("sl", seg_len)
-             .select("t", "n", "len", "i", "sl", F.explode(F.sequence(
-                 F.greatest(F.col("st") - k, F.lit(0)),
-                 F.least(F.col("st") + k, F.col("n") - F.col("sl")))).alias("q"))
-             .where(F.col("q") >= 0)
+             .withColumn("_lo", lo).withColumn("_hi", hi).where(F.col("_lo") <= F.col("_hi"))
+             .select("t", "n", "len", "i", "sl", F.explode(F.sequence(F.col("_lo"), F.col("_hi"))).alias("q"))
              .select(F.col("t").alias("b"), "len", "i", F.substring("t", F.col("q") + 1, F.col("sl")).alias("s")))
 
     cand = (index.join(probe, ["len", "i", "s"])
@@ -94,7 +128,7 @@ def edit_distance_pairs(vocab: DataFrame, max_dist: int = 2, col: str = "token")
 
 def group_lookup(tokens: DataFrame, groups: DataFrame, key: str = "pro_ids") -> DataFrame:
     """(key, token, group) for every token of every product."""
-    exploded = tokens.select(key, F.explode("tokens").alias("token"))
+    exploded = explode_tokens(tokens, key)
     return exploded.join(groups.select("token", "group"), "token")
 
 
