@@ -330,8 +330,17 @@ def pgroups_fx(spark, sf) -> DataFrame:
     return I.product_groups(tokens_fx(spark, sf), groups_fx(spark, sf))
 
 
-def features_fx(spark, sf) -> DataFrame:
-    return FE.product_features(FX.catalog_fx(spark, sf), pgroups_fx(spark, sf))
+def features_fx(spark, sf, groups: DataFrame | None = None) -> DataFrame:
+    """Catalog features, materialised once: the token table is reused by the
+    vocabulary and the product groups, and the features by both sides of the
+    neighbour search (request products and candidates)."""
+    from sheen.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    tokens = tokens_fx(spark, sf).checkpoint(eager=True)
+    if groups is None:
+        groups = I.stand_in_groups(I.token_vocabulary(tokens, with_index=False))
+    feats = FE.product_features(FX.catalog_fx(spark, sf), I.product_groups(tokens, groups))
+    return feats.checkpoint(eager=True)
 
 
 def query_products_fx(spark, sf) -> DataFrame:
@@ -816,7 +825,7 @@ def q_recommend(spark, sf):
     for content features, ALS recommendations for the similar-users half."""
     cat = FX.catalog_fx(spark, sf)
     groups = ap_groups_fx(spark, sf).checkpoint(eager=True)
-    feats = FE.product_features(cat, I.product_groups(tokens_fx(spark, sf), groups))
+    feats = features_fx(spark, sf, groups)
     model = CO.als_fit(_ratings_for_als(spark, sf), rank=10, reg=0.1)
     recs = CO.recs_to_columns(CO.als_top_n(model, 10))
     return S.recommend(FX.requests_fx(spark, sf), FX.traits_fx(spark, sf), recs, cat, feats)
