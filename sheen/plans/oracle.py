@@ -220,9 +220,9 @@ MULTIHOT_CTE = """mh AS (
   FROM (SELECT pro_ids, unnest(groups) AS "group" FROM pgroups))"""
 
 
-def feat_sql(body: str, extra: list[str] | None = None) -> str:
-    return with_fx(["catalog_fx", "requests_fx"], [TOKENS_CTE, VOCAB_CTE, GROUPS_CTE, PGROUPS_CTE]
-                   + (extra or [])) + body
+def feat_sql(body: str, extra: list[str] | None = None, fx: list[str] | None = None) -> str:
+    return with_fx(["catalog_fx", "requests_fx"] + (fx or []),
+                   [TOKENS_CTE, VOCAB_CTE, GROUPS_CTE, PGROUPS_CTE] + (extra or [])) + body
 
 
 SQL["multi_hot_groups"] = feat_sql('SELECT pro_ids, "group", feature_idx, value FROM mh', [MULTIHOT_CTE])
@@ -442,3 +442,8 @@ SQL["save_clean"] = clean_sql("SELECT pro_ids, users, lipies, dates, " + ", ".jo
 SQL["ratings_marts"] = clean_sql("SELECT pro_ids, lipies, uid FROM clean_fx JOIN uid_fx USING (users)",
                                  [UID_CTE])
 SQL["load_artifacts"] = SQL["recommend_sql"]
+SQL["save_artifacts"] = feat_sql(
+    "SELECT 'catalog' AS artifact, count(*) AS n_rows FROM catalog_fx UNION ALL "
+    "SELECT 'features', count(*) FROM feat UNION ALL "
+    "SELECT 'recs', count(*) FROM recs_fx UNION ALL "
+    "SELECT 'traits', count(*) FROM traits_fx", fx=["recs_fx", "traits_fx"])
