@@ -104,8 +104,8 @@ def recs_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("uid").orderBy(F.desc("s"), "pro_ids")
     top = r.withColumn("rn", F.row_number().over(w)).where("rn <= 10")
     wide = top.groupBy("uid").agg(
-        *[F.max(F.when(F.col("rn") == i, F.col("pro_ids").cast("string"))).alias(f"rec{i}")
-          for i in range(1, 11)])
+        *[F.max(F.when(F.col("rn") == i, F.col("pro_ids"))).cast("string").alias(f"rec{i}")
+          for i in range(1, 11)])  # max over the int id: a hash aggregate, cast afterwards
     return wide
 
 
