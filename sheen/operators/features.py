@@ -68,6 +68,19 @@ def feature_by_name(features: DataFrame, requests: DataFrame, name_col: str = "p
         "req_id", F.col(name_col).alias("product_name"), key)
 
 
+def lookup_requests(candidates: DataFrame, query_ids: DataFrame, key: str, max_rows: int
+                    ) -> DataFrame:
+    """Rows of ``candidates`` for each (req_id, key) request. The request ids are
+    size-checked and broadcast, so the lookup is a broadcast hash join and the
+    candidate table is not shuffled for it; beyond the bound it is a shuffle join."""
+    ids = query_ids.select("req_id", F.col(key).alias("q_id"))
+    try:
+        ids = checked_broadcast(ids, max_rows)
+    except TooLargeToBroadcast:
+        pass
+    return candidates.withColumnRenamed(key, "q_id").join(ids, "q_id")
+
+
 def _chunks(requests: DataFrame, max_rows: int):
     """Split a request batch into broadcastable chunks (one when it fits)."""
     try:
@@ -104,8 +117,8 @@ def similar_products(features: DataFrame, query_ids: DataFrame, k: int = 10,
     ``query_ids`` holds (req_id, key). Output (req_id, rank, key, dist2). Ties
     go to the smaller id, and self is excluded by id rather than by position.
     """
-    q = (query_ids.select("req_id", F.col(key).alias("q_id"))
-         .join(features.select(F.col(key).alias("q_id"), "groups", "n_groups", *NUMERIC), "q_id"))
+    q = lookup_requests(features.select(key, "groups", "n_groups", *NUMERIC), query_ids, key,
+                        max_broadcast)
     q = q.select("req_id", "q_id", *[F.col(c).alias(f"q_{c}") for c in
                                      ["groups", "n_groups", *NUMERIC]])
     cand = features.select(key, "groups", "n_groups", *NUMERIC)
