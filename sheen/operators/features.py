@@ -62,8 +62,16 @@ def assemble_features(multi_hot: DataFrame, catalog: DataFrame, key: str = "pro_
 def feature_by_name(features: DataFrame, requests: DataFrame, name_col: str = "product_name",
                     key: str = "pro_ids") -> DataFrame:
     """Resolve each request's product name to one product: the smallest id among
-    products of that name. Unknown names get no row."""
-    ids = features.groupBy("names").agg(F.min(key).alias(key))
+    products of that name. Unknown names get no row.
+
+    The catalog is first semi-joined with the (size-checked, broadcast) request
+    names, so the per-name minimum runs over the requested names only."""
+    names = requests.select(F.col(name_col).alias("names")).where(F.col("names").isNotNull())
+    try:
+        names = checked_broadcast(names, MAX_BROADCAST_REQUESTS)
+    except TooLargeToBroadcast:
+        pass
+    ids = features.join(names, "names", "left_semi").groupBy("names").agg(F.min(key).alias(key))
     return requests.join(ids, requests[name_col] == ids["names"]).select(
         "req_id", F.col(name_col).alias("product_name"), key)
 
