@@ -9,6 +9,8 @@ from sheen.llm.common import documents
 from sheen.llm.exact_dedup import exact_dedup
 from sheen.llm.mixing import mix
 from sheen.llm.secrets import secret_digests
+from sheen.llm.substring_dedup import substring_dedup
+from sheen.llm.suffix_dedup import suffix_dedup
 from sheen.session import table
 
 WS = r"[\x20\x09-\x0D]"
@@ -19,6 +21,12 @@ def op1_mix_sources(spark, sf_dir):
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_suffix_dedup(spark, sf_dir):
+    """All documents without the 100-byte strings that also start earlier."""
+    return suffix_dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_exact_dedup(spark, sf_dir):
     """Groups of documents whose texts agree up to white space."""
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -39,7 +47,14 @@ def op9_secret_scan(spark, sf_dir):
     return secret_digests(spark, documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op4_exact_dedup, op8_chat_format, op9_secret_scan)}
+def op10_substring_dedup(spark, sf_dir):
+    """All documents without the 35-word windows that also start elsewhere."""
+    return substring_dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_mix_sources, op2_suffix_dedup, op4_exact_dedup, op8_chat_format, op9_secret_scan, op10_substring_dedup)}
 
 SQL = {
     "op1_mix_sources": r"""
