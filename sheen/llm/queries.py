@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sheen.llm.chat import digests, format_chats
 from sheen.llm.common import documents
 from sheen.llm.exact_dedup import exact_dedup
+from sheen.llm.minhash import near_dedup
 from sheen.llm.mixing import mix
 from sheen.llm.secrets import secret_digests
 from sheen.llm.substring_dedup import substring_dedup
@@ -27,6 +28,11 @@ def op2_suffix_dedup(spark, sf_dir):
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_minhash_dedup(spark, sf_dir):
+    """All documents with their component of near copies."""
+    return near_dedup(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_exact_dedup(spark, sf_dir):
     """Groups of documents whose texts agree up to white space."""
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -54,7 +60,7 @@ def op10_substring_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_suffix_dedup, op4_exact_dedup, op8_chat_format, op9_secret_scan, op10_substring_dedup)}
+    op1_mix_sources, op2_suffix_dedup, op3_minhash_dedup, op4_exact_dedup, op8_chat_format, op9_secret_scan, op10_substring_dedup)}
 
 SQL = {
     "op1_mix_sources": r"""
