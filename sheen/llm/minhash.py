@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheen.llm.buckets import across_pairs, star_pairs, star_rows, with_both
 from sheen.llm.common import RID, components, frozen, with_row_id
 from sheen.llm.hashing import LOWER, mix, pieces, text_buffer, word_hashes
 
@@ -94,11 +95,20 @@ def _signatures(docs: DataFrame, width: int, hashes: int) -> DataFrame:
     return docs.select(RID, "id", "t").mapInArrow(run, f"{RID} long, id {kind}, n long, f1 long, f2 long, sig binary")
 
 
+def _matrix(column) -> np.ndarray:
+    return np.frombuffer(text_buffer(column)[0], np.uint32).reshape(len(column), -1)
+
+
+def _alike(x, y, percent):
+    """Whether minhashes agree often enough for ``percent`` similarity."""
+    return (x == y).mean(axis=1) * 100 >= percent - SLACK
+
+
 def _candidates(sig: DataFrame, bands: int, partitions: int) -> DataFrame:
     """(key, rid, centre): of every table key, each document but the first with the first."""
     def keys(batches):
         for batch in batches:
-            s = np.frombuffer(text_buffer(batch.column(1))[0], np.uint32).reshape(len(batch), -1)
+            s = _matrix(batch.column(1))
             band = np.zeros((len(s), 2 * bands), np.uint64)
             for b in range(2 * bands):
                 for k in range(BAND):
@@ -109,23 +119,7 @@ def _candidates(sig: DataFrame, bands: int, partitions: int) -> DataFrame:
             for i in range(0, len(key), 1 << 20):
                 yield pa.RecordBatch.from_pydict({"key": pa.array(key[i:i + (1 << 20)]), "rid": pa.array(rid[i:i + (1 << 20)])})
 
-    def stars(batches):
-        last = None
-        for batch in batches:
-            key, rid = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-            if not len(key):
-                continue
-            if last is not None:
-                key, rid = np.append(last[0], key), np.append(last[1], rid)
-            first = np.concatenate(([True], key[1:] != key[:-1]))
-            centre = rid[np.flatnonzero(first)][np.cumsum(first) - 1]
-            rest = ~first
-            last = key[-1], centre[-1]
-            yield pa.RecordBatch.from_pydict({"key": pa.array(key[rest]), "rid": pa.array(rid[rest]), "centre": pa.array(centre[rest])})
-
-    rows = sig.select(RID, "sig").mapInArrow(keys, "key long, rid long")
-    return (rows.repartition(partitions, "key").sortWithinPartitions("key", "rid")
-            .mapInArrow(stars, "key long, rid long, centre long"))
+    return star_rows(sig.select(RID, "sig").mapInArrow(keys, "key long, rid long"), partitions)
 
 
 def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -146,8 +140,7 @@ def _verified(pairs: DataFrame, sig: DataFrame, sets: DataFrame, percent: int) -
     minhashes are far from it are dropped before the sets are fetched."""
     def near(batches):
         for batch in batches:
-            x, y = (np.frombuffer(text_buffer(batch.column(i))[0], np.uint32).reshape(len(batch), -1) for i in (2, 3))
-            keep = (x == y).mean(axis=1) * 100 >= percent - SLACK
+            keep = _alike(_matrix(batch.column(2)), _matrix(batch.column(3)), percent)
             yield pa.RecordBatch.from_pydict({"a": batch.column(0), "b": batch.column(1)}).filter(pa.array(keep))
 
     def check(batches):
@@ -160,52 +153,8 @@ def _verified(pairs: DataFrame, sig: DataFrame, sets: DataFrame, percent: int) -
                 keep.append(100 * same >= percent * (both - same))
             yield pa.RecordBatch.from_pydict({"a": batch.column(0), "b": batch.column(1)}).filter(pa.array(keep, pa.bool_()))
 
-    def with_both(pairs, side, value):
-        for end, name in (("a", "x"), ("b", "y")):
-            pairs = pairs.join(side.select(F.col(side.columns[0]).alias(end), F.col(value).alias(name)), end)
-        return pairs.select("a", "b", "x", "y")
-
-    pairs = with_both(pairs, sig.select(RID, "sig"), "sig").mapInArrow(near, "a long, b long")
-    return with_both(frozen(pairs, "pairs"), sets, "items").mapInArrow(check, "a long, b long")
-
-
-def _across(cand: DataFrame, comps: DataFrame, sig: DataFrame, percent: int, partitions: int) -> DataFrame:
-    """Pairs (a, b) of a table key whose documents the first round left in different
-    components, other than those with the key's first document, which are known not to link."""
-    members = cand.select("key", "rid").union(cand.select("key", F.col("centre").alias("rid")).distinct())
-    members = members.join(comps.withColumnRenamed("id", "rid"), "rid", "left").select(
-        "key", "rid", F.coalesce("component", "rid").alias("comp"))
-    members = frozen(members, "members")
-    mixed = members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
-                                       F.count(F.lit(1)).alias("m")).where("x <> y and m > 2").select("key")
-    rows = members.join(mixed, "key", "left_semi").join(sig.select(F.col(RID).alias("rid"), "sig"), "rid")
-
-    def pairs(key, rid, comp, s):
-        cut = np.flatnonzero(np.diff(key)) + 1
-        for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(key)]):
-            for i in range(a + 1, b - 1):
-                near = (s[i + 1:b] == s[i]).mean(axis=1) * 100 >= percent - SLACK
-                j = i + 1 + np.flatnonzero(near & (comp[i + 1:b] != comp[i]))
-                if len(j):
-                    yield np.full(len(j), rid[i]), rid[j]
-
-    def run(batches):
-        held = None
-        for batch in batches:
-            x = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-            x.append(np.frombuffer(text_buffer(batch.column(3))[0], np.uint32).reshape(len(batch), -1))
-            if held is not None:
-                x = [np.concatenate((h, v)) for h, v in zip(held, x)]
-            last = int(np.searchsorted(x[0], x[0][-1], "left")) if len(x[0]) else 0
-            for a, b in pairs(*(v[:last] for v in x)):
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
-            held = [v[last:] for v in x]
-        if held is not None:
-            for a, b in pairs(*held):
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
-
-    return (rows.select("key", "rid", "comp", "sig").repartition(partitions, "key")
-            .sortWithinPartitions("key", "rid").mapInArrow(run, "a long, b long").distinct())
+    pairs = with_both(pairs, sig.select(RID, "sig")).mapInArrow(near, "a long, b long")
+    return with_both(frozen(pairs, "pairs"), sets).mapInArrow(check, "a long, b long")
 
 
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, percent: int = 85) -> DataFrame:
@@ -236,11 +185,12 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
               .where(F.col(RID) != F.col("rep")).select(F.col(RID).alias("a"), F.col("rep").alias("b")))
     sig = meta.join(classes.select(F.col("rep").alias(RID)), RID, "left_semi").select(RID, "sig")
     cand = frozen(_candidates(sig, bands, parts), "candidates")
-    pairs = frozen(cand.select(F.col("rid").alias("a"), F.col("centre").alias("b")).distinct(), "stars")
+    pairs = frozen(star_pairs(cand), "stars")
     ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
     sets = frozen(_sets(docs, ids, width), "sets")
     links = frozen(_verified(pairs, meta, sets, percent), "links")
-    more = frozen(_across(cand, components(links), meta, percent, parts), "across")
+    more = frozen(across_pairs(cand, components(links), meta.select(F.col(RID).alias("rid"), F.col("sig").alias("sketch")),
+                               _matrix, lambda one, many: _alike(many, one, percent), parts), "across")
     if more.limit(1).count():
         links = links.union(frozen(_verified(more, meta, sets, percent), "links"))
     comps = frozen(components(links.union(copies)), "components")

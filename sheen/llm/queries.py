@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sheen.llm.chat import digests, format_chats
 from sheen.llm.common import documents
+from sheen.llm.embedding_dedup import embedding_dedup
 from sheen.llm.exact_dedup import exact_dedup
 from sheen.llm.minhash import near_dedup
 from sheen.llm.mixing import mix
@@ -38,6 +39,11 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_embedding_dedup(spark, sf_dir):
+    """All vectors with their links and component at cosine 0.9."""
+    return embedding_dedup(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op8_chat_format(spark, sf_dir):
     """All conversations formatted, and conversation -7, whose texts hold control strings."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -60,7 +66,8 @@ def op10_substring_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_suffix_dedup, op3_minhash_dedup, op4_exact_dedup, op8_chat_format, op9_secret_scan, op10_substring_dedup)}
+    op1_mix_sources, op2_suffix_dedup, op3_minhash_dedup, op4_exact_dedup, op7_embedding_dedup,
+    op8_chat_format, op9_secret_scan, op10_substring_dedup)}
 
 SQL = {
     "op1_mix_sources": r"""
