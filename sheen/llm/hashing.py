@@ -85,9 +85,10 @@ def pieces(offsets: np.ndarray, limit: int | None = None):
         i = j
 
 
-def words(buf: np.ndarray, offsets: np.ndarray):
-    """Starts, ends and document numbers of the words of a buffer."""
-    inside = ~SPACE[buf]
+def words(buf: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE):
+    """Starts, ends and document numbers of the words of a buffer; ``between``: the bytes that
+    are in no word."""
+    inside = ~between[buf]
     if not inside.any():
         z = np.zeros(0, np.int64)
         return z, z, z
@@ -103,12 +104,12 @@ def words(buf: np.ndarray, offsets: np.ndarray):
     return start, end, np.searchsorted(offsets, start, "right") - 1
 
 
-def word_hashes(buf: np.ndarray, offsets: np.ndarray):
+def word_hashes(buf: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE):
     """Hash of every word, and the offsets of the documents in words."""
     hashes, counts = [], np.zeros(len(offsets) - 1, np.int64)
     for i, j in pieces(offsets):
         a, b = offsets[i], offsets[j]
-        start, end, doc = words(buf[a:b], offsets[i:j + 1] - a)
+        start, end, doc = words(buf[a:b], offsets[i:j + 1] - a, between)
         if len(start):
             hashes.append(Sequence(BYTE_VALUE[buf[a:b]]).ranges(start, end))
             counts[i:j] = np.bincount(doc, minlength=j - i)

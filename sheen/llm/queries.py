@@ -10,6 +10,7 @@ from sheen.llm.embedding_dedup import embedding_dedup
 from sheen.llm.exact_dedup import exact_dedup
 from sheen.llm.minhash import near_dedup
 from sheen.llm.mixing import mix
+from sheen.llm.quality import quality_scores
 from sheen.llm.secrets import secret_digests
 from sheen.llm.substring_dedup import substring_dedup
 from sheen.llm.suffix_dedup import suffix_dedup
@@ -39,6 +40,12 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_quality(spark, sf_dir):
+    """All documents scored; those of 0.5 or more are kept."""
+    return quality_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels")).select(
+        "doc_id", "p_weak", "score", "kept")
+
+
 def op7_embedding_dedup(spark, sf_dir):
     """All vectors with their links and component at cosine 0.9."""
     return embedding_dedup(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
@@ -66,7 +73,7 @@ def op10_substring_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_suffix_dedup, op3_minhash_dedup, op4_exact_dedup, op7_embedding_dedup,
+    op1_mix_sources, op2_suffix_dedup, op3_minhash_dedup, op4_exact_dedup, op5_quality, op7_embedding_dedup,
     op8_chat_format, op9_secret_scan, op10_substring_dedup)}
 
 SQL = {
