@@ -149,7 +149,7 @@ def _features(stats, terms, at):
 
 
 def fit_labellers(votes: np.ndarray, says: list[str], given: np.ndarray, counts: np.ndarray, rounds: int = 1000):
-    """Chance of bad for each vote pattern, and the accuracy of each labeller and of the given labels.
+    """Chance of bad for each vote pattern, and the accuracies of the labellers and, last, of the given labels.
 
     ``votes``: rows of 0 and 1 (speaks); ``given``: 0 none, 1 good, 2 bad. Expectation-maximisation:
     the chance of bad follows from the accuracies of those that speak, and an accuracy is the
@@ -172,7 +172,7 @@ def fit_labellers(votes: np.ndarray, says: list[str], given: np.ndarray, counts:
         said = (speak != 0) * counts[:, None]
         hit = np.where(speak > 0, p[:, None], 1 - p[:, None]) * said
         right = np.clip((hit.sum(axis=0) + low) / (said.sum(axis=0) + 1), low, high)
-    return p, dict(zip([x[0] for x in LABELLERS] + ["given"], right.tolist()))
+    return p, right
 
 
 def weak_labels(docs: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -254,6 +254,30 @@ def fit_scorer(docs: DataFrame, weak: DataFrame):
     return ids[keep].astype(np.uint32), w[keep], float(model.intercept)
 
 
+def _scores(buf: np.ndarray, off: np.ndarray, scorer) -> np.ndarray:
+    """The scorer's chance of being good for each document of a buffer."""
+    ids, weights, bias = scorer
+    z = np.zeros(len(off) - 1)
+    for i, j in pieces(off):
+        stats, terms, at = _statistics(buf[off[i]:off[j]], off[i:j + 1] - off[i])
+        f, d = _features(stats, terms, at)
+        where = np.minimum(np.searchsorted(ids, f), len(ids) - 1)
+        hit = ids[where] == f
+        s = bias + np.bincount(d[hit], weights[where[hit]], minlength=j - i)
+        z[i:j] = np.where(stats["n"] > 0, 1 / (1 + np.exp(-np.clip(s, -500, 500))), 0.0)
+    return z
+
+
+def _fitted(docs: DataFrame, labels: DataFrame | None):
+    weak = frozen(weak_labels(docs, labels), "weak")
+    scorer = fit_scorer(docs, weak)
+    return weak, scorer if scorer is not None and len(scorer[0]) else None
+
+
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(RID, F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: RID, ``key``, p_weak, score, kept.
 
@@ -269,29 +293,36 @@ def quality_scores(docs: DataFrame, labels: DataFrame | None = None, key: str =
     get equal scores. Null keys have no given label. Where the weak labels know one class
     only, they are the score. Empty table: empty result. Extra columns are not read.
     """
-    docs = with_row_id(docs, key, text).select(RID, F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    weak = frozen(weak_labels(docs, labels), "weak")
-    scorer = fit_scorer(docs, weak)
+    docs = _texts(with_row_id(docs, key, text), key, text)
+    weak, scorer = _fitted(docs, labels)
 
     def run(batches):
-        ids, weights, bias = scorer
         for batch in batches:
-            buf, off = text_buffer(batch.column(1))
-            z = np.zeros(len(batch))
-            for i, j in pieces(off):
-                stats, terms, at = _statistics(buf[off[i]:off[j]], off[i:j + 1] - off[i])
-                f, d = _features(stats, terms, at)
-                where = np.minimum(np.searchsorted(ids, f), len(ids) - 1)
-                hit = ids[where] == f
-                s = bias + np.bincount(d[hit], weights[where[hit]], minlength=j - i)
-                z[i:j] = np.where(stats["n"] > 0, 1 / (1 + np.exp(-np.clip(s, -500, 500))), 0.0)
-            yield pa.RecordBatch.from_pydict({"rid": batch.column(0), "score": pa.array(z)})
-
-    ids = docs.select(F.col(RID).alias("rid"), "id")
-    if scorer is None or not len(scorer[0]):
-        out = ids.join(weak.drop("given"), "rid").withColumn("score", 1 - F.col("p_bad"))
+            yield pa.RecordBatch.from_pydict({"rid": batch.column(0), "score": pa.array(_scores(*text_buffer(batch.column(1)), scorer))})
+
+    out = docs.select(F.col(RID).alias("rid"), "id").join(weak.drop("given"), "rid")
+    if scorer is None:
+        out = out.withColumn("score", 1 - F.col("p_bad"))
     else:
-        scored = docs.select(F.col(RID).alias("rid"), "t").mapInArrow(run, "rid long, score double")
-        out = ids.join(weak.drop("given"), "rid").join(scored, "rid")
+        out = out.join(docs.select(F.col(RID).alias("rid"), "t").mapInArrow(run, "rid long, score double"), "rid")
     return out.select(F.col("rid").alias(RID), F.col("id").alias(key), (1 - F.col("p_bad")).alias("p_weak"), "score",
                       (F.col("score") >= 0.5).alias("kept"))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``quality_scores`` keeps, with all their columns. Rows are scored
+    and dropped where they are read; texts are not shuffled."""
+    docs = with_row_id(docs, key, text)
+    weak, scorer = _fitted(_texts(docs, key, text), labels)
+    if scorer is None:
+        return docs.join(weak.where("p_bad <= 0.5").select(F.col("rid").alias(RID)), RID, "left_semi").drop(RID)
+    rows = docs.drop(RID)
+    at = rows.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            t = batch.column(at)
+            keep = _scores(*text_buffer(t.fill_null("") if t.null_count else t), scorer) >= 0.5
+            yield batch.filter(pa.array(keep))
+
+    return rows.mapInArrow(run, rows.schema)

@@ -10,6 +10,7 @@ from sheen.llm.embedding_dedup import embedding_dedup
 from sheen.llm.exact_dedup import exact_dedup
 from sheen.llm.minhash import near_dedup
 from sheen.llm.mixing import mix
+from sheen.llm.pieces import encode
 from sheen.llm.quality import quality_scores
 from sheen.llm.secrets import secret_digests
 from sheen.llm.substring_dedup import substring_dedup
@@ -46,6 +47,11 @@ def op5_quality(spark, sf_dir):
         "doc_id", "p_weak", "score", "kept")
 
 
+def op6_sentencepiece(spark, sf_dir):
+    """The tokens of all documents, and whether they decode to the text."""
+    return encode(documents(spark, sf_dir)).select("doc_id", "n_tokens", "ids", "round_trip")
+
+
 def op7_embedding_dedup(spark, sf_dir):
     """All vectors with their links and component at cosine 0.9."""
     return embedding_dedup(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
@@ -73,8 +79,8 @@ def op10_substring_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_suffix_dedup, op3_minhash_dedup, op4_exact_dedup, op5_quality, op7_embedding_dedup,
-    op8_chat_format, op9_secret_scan, op10_substring_dedup)}
+    op1_mix_sources, op2_suffix_dedup, op3_minhash_dedup, op4_exact_dedup, op5_quality, op6_sentencepiece,
+    op7_embedding_dedup, op8_chat_format, op9_secret_scan, op10_substring_dedup)}
 
 SQL = {
     "op1_mix_sources": r"""
