@@ -9,11 +9,22 @@ extra columns are handled as the operators' docstrings say.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sheen.llm.common import RID, documents, frozen, with_row_id
 from sheen.llm.exact_dedup import exact_dedup
+from sheen.llm.minhash import near_dedup
 from sheen.llm.mixing import mixed_documents
+from sheen.llm.pieces import encode
+from sheen.llm.quality import good_documents
+from sheen.session import table
+
+#: Near copies: shingles of so many words, and the least similarity in percent.
+SHINGLE, SIMILAR = 5, 80
+
+
+def drop_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier: documents that it rejects (junk, abuse, no words) go."""
+    return good_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,14 +34,28 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(kept, RID, "left_semi").drop(RID)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup: one document of each group of near copies stays, its first."""
+    docs = with_row_id(docs)
+    kept = near_dedup(docs, width=SHINGLE, percent=SIMILAR).where("kept").select(RID)
+    return docs.join(kept, RID, "left_semi").drop(RID)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed to their target weights; a document read twice is two rows."""
     return mixed_documents(docs)
 
 
-STAGES = [("exact_dedup", drop_copies), ("mix_sources", mix_sources)]
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SentencePiece: the tokens of each row, and whether they decode to its text."""
+    return encode(docs).select("doc_id", "n_tokens", "ids", "round_trip")
+
+
+STAGES = [("quality", drop_bad), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies),
+          ("mix_sources", mix_sources), ("sentencepiece", encode_pieces)]
 
-#: The stages hold models and hashed sketches, which SQL cannot state.
+#: A fitted scorer, hashed sketches and a tokenizer's merges can't be stated in SQL; the tests
+#: hold every stage against a brute-force version.
 ORACLE_SQL = None
 
 
