@@ -6,9 +6,9 @@ Distances use identities instead of dense vectors:
   over multi-hot group sets A, B and the four unscaled numeric columns;
 * users: ``d^2 = set(request) + set(row) - 2 * matches`` over the 8 one-hot traits.
 
-A request batch is scored against the whole candidate table. The batch is
-broadcast only after its size is checked; a larger batch is scored in chunks
-of that size, so no broadcast grows with the data.
+Neighbours are exact and come from equi-joins, never from requests x candidates: products
+share one of their rare groups or fall back on profiles without a common group, users share
+a subset of their traits. Requests for one product or trait profile are answered once.
 """
 
 from __future__ import annotations
@@ -20,10 +20,9 @@ from pyspark.sql import functions as F
 
 from sheen.functions.constants import SLOT_OFFSETS, TRAIT_DOMAINS, TRAITS
 from sheen.operators.relational import dense_index
-from sheen.session import TooLargeToBroadcast, checked_broadcast
+from sheen.session import ensure_checkpoint_dir
 
 NUMERIC = ["ratings", "repurchases", "pkg_quals", "prices"]
-MAX_BROADCAST_REQUESTS = 20_000
 
 
 # ----------------------------------------------------------------------------- products
@@ -64,43 +63,14 @@ def feature_by_name(features: DataFrame, requests: DataFrame, name_col: str = "p
     """Resolve each request's product name to one product: the smallest id among
     products of that name. Unknown names get no row.
 
-    The catalog is first semi-joined with the (size-checked, broadcast) request
-    names, so the per-name minimum runs over the requested names only."""
+    The catalog is first semi-joined with the request names, so the per-name minimum runs
+    over the requested names only."""
     names = requests.select(F.col(name_col).alias("names")).where(F.col("names").isNotNull())
-    try:
-        names = checked_broadcast(names, MAX_BROADCAST_REQUESTS)
-    except TooLargeToBroadcast:
-        pass
     ids = features.join(names, "names", "left_semi").groupBy("names").agg(F.min(key).alias(key))
     return requests.join(ids, requests[name_col] == ids["names"]).select(
         "req_id", F.col(name_col).alias("product_name"), key)
 
 
-def lookup_requests(candidates: DataFrame, query_ids: DataFrame, key: str, max_rows: int
-                    ) -> DataFrame:
-    """Rows of ``candidates`` for each (req_id, key) request. The request ids are
-    size-checked and broadcast, so the lookup is a broadcast hash join and the
-    candidate table is not shuffled for it; beyond the bound it is a shuffle join."""
-    ids = query_ids.select("req_id", F.col(key).alias("q_id"))
-    try:
-        ids = checked_broadcast(ids, max_rows)
-    except TooLargeToBroadcast:
-        pass
-    return candidates.withColumnRenamed(key, "q_id").join(ids, "q_id")
-
-
-def _chunks(requests: DataFrame, max_rows: int):
-    """Split a request batch into broadcastable chunks (one when it fits)."""
-    try:
-        return [checked_broadcast(requests, max_rows)]
-    except TooLargeToBroadcast:
-        n = requests.count()
-        parts = -(-n // max_rows)
-        tagged = requests.withColumn("_chunk", F.pmod(F.xxhash64("req_id"), F.lit(parts)))
-        return [F.broadcast(tagged.where(F.col("_chunk") == i).drop("_chunk"))
-                for i in range(parts)]
-
-
 def top_k(scored: DataFrame, k: int, order: list, part: str = "req_id") -> DataFrame:
     """Rows 1..k per ``part`` by a total order; Spark inserts a partial
     WindowGroupLimit before the shuffle, so each task sends at most k rows per key."""
@@ -108,9 +78,8 @@ def top_k(scored: DataFrame, k: int, order: list, part: str = "req_id") -> DataF
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def product_distance(q: str = "q_", c: str = "") -> F.Column:
-    inter = F.size(F.array_intersect(F.col(f"{q}groups"), F.col(f"{c}groups")))
-    d2 = (F.col(f"{q}n_groups") + F.col(f"{c}n_groups") - 2 * inter).cast("double")
+def product_distance(inter, q: str = "q_") -> F.Column:
+    d2 = (F.col(f"{q}n_groups") + F.col("n_groups") - 2 * inter).cast("double")
     for col in NUMERIC:
         diff = F.col(f"{q}{col}").cast("double") - F.col(col).cast("double")
         d2 = d2 + diff * diff
@@ -118,25 +87,77 @@ def product_distance(q: str = "q_", c: str = "") -> F.Column:
 
 
 def similar_products(features: DataFrame, query_ids: DataFrame, k: int = 10,
-                     key: str = "pro_ids", max_broadcast: int = MAX_BROADCAST_REQUESTS
-                     ) -> DataFrame:
+                     key: str = "pro_ids") -> DataFrame:
     """The k nearest catalog products of each request's product, itself excluded.
 
     ``query_ids`` holds (req_id, key). Output (req_id, rank, key, dist2). Ties
     go to the smaller id, and self is excluded by id rather than by position.
+
+    Exact, without comparing every request to every product:
+
+    1. Products collapse to profiles (n_groups, numerics), k + 1 smallest ids each. As if no
+       group were shared, the profiles of the products with fewest groups (just enough of
+       them for k answers) give each query an upper bound on its k-th distance.
+    2. A product that shares no group is found among the profiles whose n_groups the bound
+       still allows.
+    3. A product that beats the bound by shared groups shares at least half of its groups
+       less the bound's slack, so also one of its rarest ones: an equi-join on the rarer
+       half of each product's groups finds it. Its most common groups are never joined on.
     """
-    q = lookup_requests(features.select(key, "groups", "n_groups", *NUMERIC), query_ids, key,
-                        max_broadcast)
-    q = q.select("req_id", "q_id", *[F.col(c).alias(f"q_{c}") for c in
-                                     ["groups", "n_groups", *NUMERIC]])
-    cand = features.select(key, "groups", "n_groups", *NUMERIC)
-    parts = []
-    for chunk in _chunks(q, max_broadcast):
-        scored = (cand.join(chunk, how="cross")
-                  .where(F.col(key) != F.col("q_id"))
-                  .select("req_id", key, product_distance().alias("dist2")))
-        parts.append(top_k(scored, k, [F.col("dist2"), F.col(key)]))
-    return reduce(DataFrame.unionByName, parts)
+    ensure_checkpoint_dir(features.sparkSession)
+    cols = ["n_groups", *NUMERIC]
+    feats = features.select(key, "groups", *cols)
+    wanted = query_ids.select(F.col(key).alias("q_id")).distinct()
+    q = (feats.join(wanted, feats[key] == wanted["q_id"])
+         .select("q_id", F.col("groups").alias("q_groups"), *[F.col(c).alias(f"q_{c}") for c in cols]))
+    q = q.checkpoint(eager=True)
+    flat_q = q.drop("q_groups")
+
+    prof = feats.select(key, *cols).withColumn("_r", F.row_number().over(
+        Window.partitionBy(*cols).orderBy(key))).where(F.col("_r") <= k + 1).drop("_r")
+    prof = prof.checkpoint(eager=True)
+    sizes = prof.groupBy("n_groups").agg(F.count(F.lit(1)).alias("n")).orderBy("n_groups").limit(k + 1).collect()
+    few, seen = 0, 0
+    for r in sizes:  # at most k + 1 rows
+        few, seen = r["n_groups"], seen + r["n"]
+        if seen > k:
+            break
+    none = F.lit(0)
+    small = prof.where(F.col("n_groups") <= few)
+    base = flat_q.join(small, F.col(key) != F.col("q_id")).select(
+        "q_id", "q_n_groups", key, product_distance(none).alias("dist2"))
+    base = top_k(base, k, [F.col("dist2"), F.col(key)], "q_id").checkpoint(eager=True)
+    bound = base.groupBy("q_id", "q_n_groups").agg(F.max("dist2").alias("m"), F.count(F.lit(1)).alias("n"))
+    bound = bound.select("q_id", "m", "n", (F.col("m") - F.col("q_n_groups")).alias("slack"))
+    most = bound.agg(F.max("slack").alias("s"), F.min("n").alias("n")).first()
+    open_end = most["s"] is None or most["n"] < k  # fewer than k products with few groups
+    top = prof.agg(F.max("n_groups")).first()[0] or 0
+    slack = float(top) if open_end else float(most["s"])
+
+    allowed = flat_q.join(bound.select("q_id", "slack"), "q_id").where(F.floor("slack") > few).select(
+        "*", F.explode(F.sequence(F.lit(few + 1), F.least(F.floor(F.lit(slack) if open_end else F.col("slack")),
+                                                          F.lit(top)).cast("int"))).alias("n_groups")) \
+        if slack > few and top > few else None
+    parts = [base.select("q_id", key, "dist2")]
+    if allowed is not None:
+        rest = allowed.drop("slack").join(prof.where(F.col("n_groups") > few), "n_groups").where(F.col(key) != F.col("q_id"))
+        parts.append(rest.select("q_id", key, product_distance(none).alias("dist2")))
+
+    long = feats.where(F.col("n_groups") > 0).select(key, "n_groups", F.explode("groups").alias("group"))
+    freq = long.groupBy("group").agg(F.count(F.lit(1)).alias("df"))
+    need = F.greatest(F.lit(1), F.ceil((F.col("n_groups") - F.lit(slack)) / 2))
+    rare = (long.join(freq, "group").withColumn("_r", F.row_number().over(
+        Window.partitionBy(key).orderBy("df", "group")))
+        .where(F.col("_r") <= F.col("n_groups") - need + 1).select("group", key))
+    pairs = (q.select("q_id", F.explode("q_groups").alias("group")).join(rare, "group")
+             .where(F.col(key) != F.col("q_id")).select("q_id", key).distinct())
+    inter = F.size(F.array_intersect("q_groups", "groups"))
+    parts.append(pairs.join(q, "q_id").join(feats, key).select("q_id", key, product_distance(inter).alias("dist2")))
+
+    scored = reduce(DataFrame.unionByName, parts).groupBy("q_id", key).agg(F.min("dist2").alias("dist2"))
+    best = top_k(scored, k, [F.col("dist2"), F.col(key)], "q_id")
+    return (query_ids.select("req_id", F.col(key).alias("q_id")).join(best, "q_id")
+            .select("req_id", key, "dist2", "rank"))
 
 
 # ----------------------------------------------------------------------------- users
@@ -157,9 +178,6 @@ def unpivot_traits(df: DataFrame, id_col: str) -> DataFrame:
 def one_hot_traits(trait_rows: DataFrame, id_col: str = "uid") -> DataFrame:
     """One-hot of the 8 traits as fitted on the data: categories of each trait in
     sorted order, traits in table order. Long form (id, trait, value, slot).
-
-    The category table is bounded by the trait domains (a few dozen rows), so it
-    is broadcast after a size check.
     """
     long = unpivot_traits(trait_rows, id_col)
     cats = long.select("trait", "value").distinct()
@@ -172,7 +190,7 @@ def one_hot_traits(trait_rows: DataFrame, id_col: str = "uid") -> DataFrame:
         Window.orderBy("t_ord").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
     slots = cats.join(offs, "t_ord").select("trait", "value", (F.col("off") + F.col("local"))
                                              .cast("int").alias("slot"))
-    return long.join(checked_broadcast(slots, 100_000), ["trait", "value"])
+    return long.join(slots, ["trait", "value"])
 
 
 def feature_names(one_hot: DataFrame) -> DataFrame:
@@ -190,39 +208,41 @@ def request_vector(requests: DataFrame, domains: DataFrame) -> DataFrame:
     return long.join(F.broadcast(domains), ["trait", "value"]).select("req_id", "trait", "slot")
 
 
-def trait_profiles(trait_rows: DataFrame, keep: int = 10, id_col: str = "uid") -> DataFrame:
-    """Collapse trait rows into distinct profiles with the ``keep`` smallest ids
-    of each (enough for any top-``keep`` query). The number of profiles is
-    bounded by the product of the domain sizes, not by the number of users; the
-    per-profile limit runs as a partial window limit before the shuffle, so a
-    profile shared by a third of all users sends ``keep`` rows per task."""
-    w = Window.partitionBy(*TRAITS).orderBy(id_col)
-    top = trait_rows.select(*TRAITS, id_col).withColumn("_r", F.row_number().over(w)) \
-        .where(F.col("_r") <= keep)
-    return top.groupBy(*TRAITS).agg(F.array_sort(F.collect_list(id_col)).alias("ids"))
+def _trait_keys() -> F.Column:
+    """Every subset of a row's set traits as one string; values carry their length, so
+    different subsets never give the same string."""
+    bit = lambda m, j: F.shiftright(m, j).bitwiseAND(F.lit(1)) == 1
+    part = lambda m, j, t: F.when(bit(m, j), F.concat(
+        F.lit(f"{j}:"), F.char_length(t).cast("string"), F.lit(":"), F.col(t))).otherwise(F.lit(""))
+    full = reduce(lambda a, b: a + b, [F.when(F.col(t).isNotNull(), 1 << j).otherwise(0) for j, t in enumerate(TRAITS)])
+    masks = F.filter(F.sequence(F.lit(0), F.lit((1 << len(TRAITS)) - 1)), lambda m: m.bitwiseAND(full) == m)
+    return F.transform(masks, lambda m: F.struct(
+        F.bit_count(m).alias("shared"), F.concat(*[part(m, j, t) for j, t in enumerate(TRAITS)]).alias("key")))
 
 
-def similar_users(trait_rows: DataFrame, requests: DataFrame, k: int = 10, id_col: str = "uid",
-                  max_broadcast: int = MAX_BROADCAST_REQUESTS) -> DataFrame:
+def similar_users(trait_rows: DataFrame, requests: DataFrame, k: int = 10, id_col: str = "uid") -> DataFrame:
     """The k nearest trait rows of each request: (req_id, rank, uid, dist2).
 
     Ties go to the smaller uid. A user whose traits changed has several rows and
     can appear more than once, as in a neighbour search over rows.
+
+    Exact by equi-joins: a row is indexed under every subset of its set traits, and each
+    subset keeps its k first rows by (traits set, uid). A row that agrees with the request in
+    exactly the traits M is under M, and whoever displaces it there is at least as near, so
+    the lookups of the request's subsets hold the k nearest. The limit per subset is partial
+    before the shuffle: a subset that all rows share sends k rows per task.
     """
-    prof = trait_profiles(trait_rows, k, id_col)
-    q = requests.select("req_id", *[F.col(t).alias(f"q_{t}") for t in TRAITS])
-    matches = reduce(lambda a, b: a + b, [
-        F.when(F.col(f"q_{t}") == F.col(t), 1).otherwise(0) for t in TRAITS])
-    q_set = reduce(lambda a, b: a + b, [F.when(F.col(f"q_{t}").isNotNull(), 1).otherwise(0)
-                                        for t in TRAITS])
-    r_set = reduce(lambda a, b: a + b, [F.when(F.col(t).isNotNull(), 1).otherwise(0)
-                                        for t in TRAITS])
-    parts = []
-    for chunk in _chunks(q, max_broadcast):
-        scored = prof.join(chunk, how="cross").select(
-            "req_id", "ids", (q_set + r_set - 2 * matches).cast("double").alias("dist2"))
-        # a profile's ids share one distance: keep the k best profiles first, then ids
-        best = top_k(scored, k, [F.col("dist2"), F.element_at("ids", 1)])
-        rows = best.select("req_id", "dist2", F.explode("ids").alias(id_col))
-        parts.append(top_k(rows, k, [F.col("dist2"), F.col(id_col)]))
-    return reduce(DataFrame.unionByName, parts)
+    n_set = reduce(lambda a, b: a + b, [F.when(F.col(t).isNotNull(), 1).otherwise(0) for t in TRAITS])
+    whole = F.concat_ws(",", *[F.concat(F.lit(f"{j}:"), F.char_length(t).cast("string"), F.lit(":"), F.col(t))
+                               for j, t in enumerate(TRAITS)])
+    rows = trait_rows.select(id_col, *TRAITS, n_set.alias("n_set"), whole.alias("profile"))
+    rows = rows.select(id_col, "n_set", "profile", F.explode(_trait_keys()).alias("x")).select(
+        id_col, "n_set", "profile", "x.key")
+    index = top_k(rows, k, [F.col("n_set"), F.col(id_col), F.col("profile")], "key").drop("rank")
+    q = requests.select("req_id", *TRAITS, n_set.alias("q_set"), whole.alias("q_profile"))
+    asked = q.select("q_profile", "q_set", *TRAITS).distinct().select(
+        "q_profile", "q_set", F.explode(_trait_keys()).alias("x")).select("q_profile", "q_set", "x.*")
+    near = asked.join(index, "key").groupBy("q_profile", id_col, "profile").agg(
+        F.min(F.col("q_set") + F.col("n_set") - 2 * F.col("shared")).cast("double").alias("dist2"))
+    best = top_k(near, k, [F.col("dist2"), F.col(id_col), F.col("profile")], "q_profile").drop("profile")
+    return q.select("req_id", "q_profile").join(best, "q_profile").select("req_id", id_col, "dist2", "rank")

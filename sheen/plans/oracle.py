@@ -287,7 +287,7 @@ _TOPU = """topu AS (SELECT uid, 'u' || lpad(CAST(rn AS VARCHAR), 2, '0') AS labe
 SQL["rating_pivot"] = with_fx(["ratings_fx"], [_TOPU]) + (
     "SELECT pro_ids, " + ", ".join(
         f"coalesce(avg(CASE WHEN label = 'u{i:02d}' THEN lipies END), 0.0) AS u{i:02d}" for i in range(1, 11))
-    + " FROM ratings_fx JOIN topu USING (uid) GROUP BY pro_ids")
+    + " FROM ratings_fx LEFT JOIN topu USING (uid) GROUP BY pro_ids")
 SQL["max_abs_scale"] = with_fx(["ratings_fx"], [RM_CTE]) + (
     "SELECT pro_ids, uid, CASE WHEN m = 0 THEN 0.0 ELSE value / m END AS value FROM "
     "(SELECT pro_ids, uid, value, max(abs(value)) OVER (PARTITION BY uid) AS m FROM rm)")
@@ -340,7 +340,7 @@ hybrid AS (
 picked AS (
   SELECT * FROM (
     SELECT *, CAST(row_number() OVER (PARTITION BY req_id ORDER BY
-             md5(concat_ws('|', '123', CAST(coalesce(pro_ids, -1) AS VARCHAR), half)), half,
+             md5(concat_ws('|', '123', CAST(req_id AS VARCHAR), CAST(coalesce(pro_ids, -1) AS VARCHAR), half)), half,
              pro_ids NULLS FIRST) AS INTEGER) AS pick
     FROM hybrid) WHERE pick <= 10)"""]
 
@@ -363,7 +363,7 @@ SQL["recommend_sql"] = with_fx(["catalog_fx", "requests_fx", "traits_fx", "recs_
     UNKNOWN_CTE.replace("unknown AS", "unk AS"), """known_pick AS (
   SELECT * FROM (
     SELECT *, CAST(row_number() OVER (PARTITION BY req_id ORDER BY
-             md5(concat_ws('|', '123', CAST(coalesce(pro_ids, -1) AS VARCHAR), half)), half,
+             md5(concat_ws('|', '123', CAST(req_id AS VARCHAR), CAST(coalesce(pro_ids, -1) AS VARCHAR), half)), half,
              pro_ids NULLS FIRST) AS INTEGER) AS pick
     FROM hybrid WHERE req_id IN (SELECT req_id FROM qprod)) WHERE pick <= 10)"""]) + """SELECT req_id, pick, pro_ids, names AS label, names AS value FROM known_pick
 UNION ALL SELECT req_id, 1, CAST(NULL AS INTEGER), '', '' FROM unk"""

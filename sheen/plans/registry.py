@@ -560,9 +560,8 @@ def q_rec_details(spark, sf):
 
 @query("rec_dedup")
 def q_rec_dedup(spark, sf):
-    d = S.rec_details(S.neighbor_recs(neighbours_fx(spark, sf), FX.recs_fx(spark, sf)),
-                      FX.catalog_fx(spark, sf))
-    return S.rec_dedup(d).drop("ingredients")
+    n = S.neighbor_recs(neighbours_fx(spark, sf), FX.recs_fx(spark, sf))
+    return S.rec_dedup(n, FX.catalog_fx(spark, sf)).drop("ingredients")
 
 
 @query("content_recs")
@@ -571,19 +570,18 @@ def q_content_recs(spark, sf):
 
 
 def hybrid_fx(spark, sf):
-    cat = FX.catalog_fx(spark, sf)
-    users = S.rec_dedup(S.rec_details(S.neighbor_recs(neighbours_fx(spark, sf), FX.recs_fx(spark, sf)), cat))
-    return S.hybrid_union(users, S.content_recs(similar_fx(spark, sf), cat))
+    users = S.rec_ids(S.neighbor_recs(neighbours_fx(spark, sf), FX.recs_fx(spark, sf)), FX.catalog_fx(spark, sf))
+    return S.hybrid_union(users, similar_fx(spark, sf))
 
 
 @query("hybrid_union")
 def q_hybrid_union(spark, sf):
-    return hybrid_fx(spark, sf).drop("ingredients")
+    return S.with_details(hybrid_fx(spark, sf), FX.catalog_fx(spark, sf)).drop("ingredients")
 
 
 @query("seeded_sample")
 def q_seeded_sample(spark, sf):
-    return S.seeded_sample(hybrid_fx(spark, sf)).drop("ingredients")
+    return S.with_details(S.seeded_sample(hybrid_fx(spark, sf)), FX.catalog_fx(spark, sf)).drop("ingredients")
 
 
 @query("unknown_product")

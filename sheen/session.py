@@ -1,5 +1,4 @@
-"""Session helpers: local sessions for tests, checkpoint folders, table loading,
-size-checked broadcasts."""
+"""Session helpers: local sessions for tests, checkpoint folders, table loading."""
 
 from __future__ import annotations
 
@@ -7,7 +6,6 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "sheen",
@@ -66,23 +64,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-
-
-class TooLargeToBroadcast(ValueError):
-    pass
-
-
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` after proving it holds at most ``max_rows`` rows.
-
-    The count is one small job; ``limit(max_rows + 1)`` keeps it from scanning
-    more than needed. Callers handle ``TooLargeToBroadcast`` with a shuffle plan.
-    """
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise TooLargeToBroadcast(f"{n} rows > {max_rows}")
-    return F.broadcast(df)
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows

@@ -110,12 +110,10 @@ def recs_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch of 20 recommendation requests (traits + favourite product name).
-
-    Requests are the serving input; the tables they are matched against are
-    used whole.
-    """
-    tr = traits_fx(spark, sf_dir).where(F.col("uid") < 20)
+    """One recommendation request (traits + favourite product name) per customer, so the
+    batch grows with the data. A customer without a product of the same number asks for
+    an unknown one."""
+    tr = traits_fx(spark, sf_dir)
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("int").alias("pk"), F.col("p_name"))
     req = tr.join(part, tr.uid == part.pk, "left")
@@ -188,8 +186,7 @@ FX_SQL: dict[str, str] = {
                    + ", ".join(f"CASE WHEN t.uid % 5 <> 0 THEN t.{c} END AS {c}" for c in TRAITS)
                    + """,
          CASE WHEN t.uid = 19 THEN 'no such product' ELSE p_name END AS product_name
-  FROM traits_fx t LEFT JOIN part ON t.uid = CAST(p_partkey AS INTEGER)
-  WHERE t.uid < 20)""",
+  FROM traits_fx t LEFT JOIN part ON t.uid = CAST(p_partkey AS INTEGER))""",
 }
 
 FX_DEPS = {
