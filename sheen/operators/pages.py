@@ -1,47 +1,27 @@
 """Stored review pages -> raw review rows (§2.2), as one Spark job over a table
 of (page_id, url, html).
 
-Fields are cut out with built-in regex functions (no parser in the task). The
-patterns are written in the subset Java regex and RE2 read alike, so the DuckDB
-oracle uses the same texts.
+Links and guards are built-in regex functions. The fields of a review page come from the
+standard library's HTML parser, run once per page on Arrow batches: nested elements, any
+quoting, class lists and all entities need a parser.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from sheen.functions.constants import (BRAND_LINK_MARKER, MAX_SEARCH_PAGES, PRODUCT_LINK_MARKER,
                                        REVIEWS_PER_PAGE, SEARCH_PATH_TEMPLATE)
+from sheen.functions.markup import page_fields
 from sheen.functions.parse import canonical_link, extract_id, review_page_count
 
 TITLE_RE = r"(?is)<title\b"
 HREF_RE = r'(?is)<a\b[^>]*?\bhref="([^"]*)"'
-TAG_RE = r"<[^>]*>"
-
-# fixed markup of the review site: the elements each field is read from
-H1_RE = r"(?is)<h1\b[^>]*>(.*?)</h1>"
-H3_RE = r"(?is)<h3\b[^>]*>(.*?)</h3>"
-P_RE = r"(?is)<p\b[^>]*>(.*?)</p>"
-INGREDIENTS_RE = r'(?is)<div\b[^>]*\bid="hold-ingredients"[^>]*>(.*?)</div>'
-BRAND_TAG_RE = r'(?is)(<a\b[^>]*\bclass="[^"]*track_BreadCrumbs_Brand[^"]*"[^>]*>)'
-BRAND_TEXT_RE = r'(?is)<a\b[^>]*\bclass="[^"]*track_BreadCrumbs_Brand[^"]*"[^>]*>(.*?)</a>'
-TAG_HREF_RE = r'(?is)\bhref="([^"]*)"'
-USERS_RE = r'(?is)<span\b[^>]*\bclass="user-name"[^>]*>(.*?)</span>'
-CHARS_RE = r'(?is)<div\b[^>]*\bclass="important"[^>]*>(.*?)</div>'
-REVIEWS_RE = r'(?is)<div\b[^>]*\bclass="comment-content"[^>]*>(.*?)</div>'
-LIPIES_RE = r'(?is)<div\b[^>]*\bclass="lipies"[^>]*>[^<]*<span\b[^>]*\bclass="(l-[^" ]*)'
-DATES_RE = r'(?is)<div\b[^>]*\bclass="date"[^>]*>(.*?)</div>'
-
-# FIXED VALUES: entities decoded in element text (&amp; last)
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
-            ("&amp;", "&")]
-
-
-def unescape(c: Column) -> Column:
-    return reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), ENTITIES, c)
 
 
 def escape(c: Column) -> Column:
@@ -49,19 +29,10 @@ def escape(c: Column) -> Column:
     return F.replace(F.replace(c, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
-def inner_text(c: Column) -> Column:
-    """Element content with tags removed and entities decoded."""
-    return unescape(F.regexp_replace(c, TAG_RE, ""))
-
-
 def all_of(html: Column, pattern: str) -> Column:
     return F.regexp_extract_all(html, F.lit(pattern), 1)
 
 
-def texts_of(html: Column, pattern: str) -> Column:
-    return F.transform(all_of(html, pattern), inner_text)
-
-
 # ----------------------------------------------------------------------------- crawl frontier
 
 def frontier_urls(categories: DataFrame, host: str = "https://reviews.example.com",
@@ -116,37 +87,43 @@ def title_guard(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.where(F.col(html).rlike(TITLE_RE))
 
 
+_TEXTS = ["names", "ratings", "repurchases", "pkg_quals", "prices", "ingredients", "brands", "brand_href"]
+_LISTS = ["users_a", "chars_a", "reviews_a", "lipies_a", "dates_a"]
+PARSED = StructType.fromDDL(", ".join(["has_title boolean", *[f"{c} string" for c in _TEXTS],
+                                       *[f"{c} array<string>" for c in _LISTS]]))
+PARSED_ARROW = pa.struct([("has_title", pa.bool_()), *[(c, pa.string()) for c in _TEXTS],
+                          *[(c, pa.list_(pa.string())) for c in _LISTS]])
+
+
+def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
+    """``pages`` with column ``parsed``: the review fields of each page, parsed once."""
+    schema = StructType([*pages.schema.fields, StructField("parsed", PARSED)])
+    at = pages.columns.index(html)
+
+    def run(batches):
+        for batch in batches:
+            fields = pa.array([page_fields(h) for h in batch.column(at).to_pylist()], PARSED_ARROW)
+            yield pa.RecordBatch.from_arrays([*batch.columns, fields], names=[*batch.schema.names, "parsed"])
+
+    return pages.mapInArrow(run, schema)
+
+
 def page_text_fields(pages: DataFrame, html: str = "html") -> DataFrame:
-    """The page-level scalars of a review page, repeated later for each review."""
-    h = F.col(html)
-    p = texts_of(h, P_RE)
-    first_p = lambda s: F.get(F.filter(p, lambda x: x.contains(s)), 0)
-    brand_tag = F.regexp_extract(h, BRAND_TAG_RE, 1)
-    return pages.select(
-        "*",
-        F.get(texts_of(h, H1_RE), 1).alias("names"),
-        F.get(texts_of(h, H3_RE), 0).alias("ratings"),
-        first_p("would repurchase").alias("repurchases"),
-        first_p("Package Quality").alias("pkg_quals"),
-        first_p("Price").alias("prices"),
-        F.get(texts_of(h, INGREDIENTS_RE), 0).alias("ingredients"),
-        F.get(texts_of(h, BRAND_TEXT_RE), 0).alias("brands"),
-        extract_id(F.regexp_extract(brand_tag, TAG_HREF_RE, 1), BRAND_LINK_MARKER).alias("brand_ids"),
-        extract_id(F.col("url"), PRODUCT_LINK_MARKER).alias("pro_ids"),
-    )
+    """The page-level scalars of a review page, repeated later for each review: the second
+    h1, the first h3, the first paragraphs about repurchase, package and price, ingredients,
+    and the brand link. Null where the page has no such element."""
+    p = pages if "parsed" in pages.columns else parse_pages(pages, html)
+    return p.select(
+        "*", *[F.col(f"parsed.{c}") for c in ("names", "ratings", "repurchases", "pkg_quals", "prices",
+                                              "ingredients", "brands")],
+        extract_id(F.col("parsed.brand_href"), BRAND_LINK_MARKER).alias("brand_ids"),
+        extract_id(F.col("url"), PRODUCT_LINK_MARKER).alias("pro_ids"))
 
 
 def page_review_arrays(pages: DataFrame, html: str = "html") -> DataFrame:
     """One array per review field, in page order."""
-    h = F.col(html)
-    return pages.select(
-        "*",
-        texts_of(h, USERS_RE).alias("users_a"),
-        texts_of(h, CHARS_RE).alias("chars_a"),
-        texts_of(h, REVIEWS_RE).alias("reviews_a"),
-        all_of(h, LIPIES_RE).alias("lipies_a"),
-        texts_of(h, DATES_RE).alias("dates_a"),
-    )
+    p = pages if "parsed" in pages.columns else parse_pages(pages, html)
+    return p.select("*", *[F.col(f"parsed.{c}") for c in REVIEW_ARRAYS])
 
 
 REVIEW_ARRAYS = ["users_a", "chars_a", "reviews_a", "lipies_a", "dates_a"]
@@ -155,13 +132,16 @@ SCALARS = ["pro_ids", "names", "ratings", "repurchases", "pkg_quals", "prices",
 
 
 def quarantine_pages(arrays: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split pages into (good, rejected): a page whose review arrays differ in
-    length is reported with its sizes and skipped, instead of failing the job."""
+    """Split pages with scalars and arrays into (good, rejected): a page that lacks a field,
+    or whose review arrays differ in length, is reported with its sizes and missing fields and
+    skipped, instead of failing the job."""
     sizes = [F.size(c) for c in REVIEW_ARRAYS]
     same = reduce(lambda a, b: a & b, [s == sizes[0] for s in sizes[1:]])
-    good = arrays.where(same)
-    rejected = arrays.where(~same).select(
-        "page_id", "url", *[F.size(c).alias("n_" + c[:-2]) for c in REVIEW_ARRAYS])
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in SCALARS])
+    good = arrays.where(same & whole)
+    missing = F.array_join(F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in SCALARS])), ",")
+    rejected = arrays.where(~(same & whole)).select(
+        "page_id", "url", *[F.size(c).alias("n_" + c[:-2]) for c in REVIEW_ARRAYS], missing.alias("missing"))
     return good, rejected
 
 
@@ -175,14 +155,14 @@ def explode_reviews(good: DataFrame) -> DataFrame:
 def extract_reviews(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """pages -> (raw review rows with empty ingredients as null, rejected pages)."""
     from sheen.operators.clean import blank_to_null
-    good, rejected = quarantine_pages(page_review_arrays(page_text_fields(title_guard(pages))))
+    good, rejected = quarantine_pages(page_review_arrays(page_text_fields(parse_pages(title_guard(pages)))))
     return blank_to_null(explode_reviews(good)), rejected
 
 
-def tag_category(frames: dict[str, DataFrame]) -> DataFrame:
-    """Tag each category's frame with its id and append them all."""
-    tagged = [df.withColumn("cat_id", F.lit(cid)) for cid, df in frames.items()]
-    return reduce(lambda a, b: a.unionByName(b), tagged)
+def tag_category(pages: DataFrame) -> DataFrame:
+    """Review rows of all categories with their ``cat_id``: pages keep the category of the
+    search that found them, so one pass extracts any number of categories."""
+    return extract_reviews(pages)[0]
 
 
 # ----------------------------------------------------------------------------- rendering

@@ -420,7 +420,9 @@ SQL["canonical_link"] = links_sql("SELECT pro_ids, canonical FROM lkp")
 SQL["extract_id"] = links_sql(f"SELECT pro_ids, regexp_extract(link, {lit(_M + '([^/]*)/')}, 1) AS item_id FROM lk")
 SQL["review_page_count"] = links_sql("SELECT pro_ids, n_reviews, n_pages FROM lkp")
 SQL["expand_review_pages"] = links_sql("SELECT * FROM expanded")
-SQL["skip_bad_pages"] = links_sql(f"SELECT * FROM expanded WHERE url <> '{SKIPPED_REVIEW_URL}'")
+SQL["skip_bad_pages"] = links_sql(
+    f"SELECT * FROM expanded WHERE url <> '{SKIPPED_REVIEW_URL}' AND url NOT IN "
+    "(SELECT arg_max(url, page) FROM expanded WHERE pro_ids % 10 = 0 GROUP BY pro_ids)")
 SQL["page_text_fields"] = raw_sql(
     "SELECT DISTINCT pro_ids, names, ratings, repurchases, pkg_quals, prices, ingredients, brands, brand_ids "
     "FROM reviews_raw_fx")
@@ -430,7 +432,9 @@ SQL["page_review_arrays"] = raw_sql(
 SQL["explode_reviews"] = raw_sql(
     "SELECT pro_ids, names, ratings, repurchases, pkg_quals, prices, nullif(ingredients, '') AS ingredients, "
     "brands, brand_ids, users, chars, reviews, lipies, dates, cat_id FROM reviews_raw_fx")
-SQL["quarantine_pages"] = raw_sql("SELECT 'good' AS status, count(*) AS n_reviews FROM reviews_raw_fx")
+SQL["quarantine_pages"] = raw_sql(
+    "SELECT 'good' AS status, count(*) AS n_reviews, CAST(0 AS BIGINT) AS n_rejected FROM reviews_raw_fx "
+    "UNION ALL SELECT 'rejected', CAST(0 AS BIGINT), count(*) FROM pages")
 SQL["tag_category"] = raw_sql("SELECT pro_ids, users, lipies, cat_id FROM reviews_raw_fx")
 
 # ----------------------------------------------------------------------------- §2.1

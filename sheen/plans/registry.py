@@ -687,7 +687,9 @@ def q_expand_review_pages(spark, sf):
 @query("skip_bad_pages")
 def q_skip_bad_pages(spark, sf):
     urls = PG.expand_review_pages(links_fx(spark, sf)).select("pro_ids", "page", "url")
-    block = spark.createDataFrame([(SKIPPED_REVIEW_URL,)], "url string")
+    # the fixed bad page, and the last page of every tenth product
+    last = urls.where("pro_ids % 10 = 0").groupBy("pro_ids").agg(F.max_by("url", "page").alias("url")).select("url")
+    block = spark.createDataFrame([(SKIPPED_REVIEW_URL,)], "url string").union(last)
     return PG.skip_bad_pages(urls, block)
 
 
@@ -699,7 +701,7 @@ def q_page_text_fields(spark, sf):
 
 @query("page_review_arrays")
 def q_page_review_arrays(spark, sf):
-    a = PG.page_review_arrays(PG.page_text_fields(rendered_pages_fx(spark, sf)))
+    a = PG.page_review_arrays(PG.page_text_fields(PG.parse_pages(rendered_pages_fx(spark, sf))))
     return a.groupBy("pro_ids").agg(*[F.sum(F.size(c)).alias("n_" + c[:-2]) for c in PG.REVIEW_ARRAYS])
 
 
@@ -713,23 +715,16 @@ def q_explode_reviews(spark, sf):
 def q_quarantine_pages(spark, sf):
     pages = rendered_pages_fx(spark, sf).select("page_id", "url", "html").unionByName(
         table(spark, sf, "pages").select("page_id", "url", "html"))
-    good, rejected = PG.quarantine_pages(PG.page_review_arrays(pages))
-    g = good.select(F.lit("good").alias("status"), F.size("users_a").alias("n"))
-    r = rejected.select(F.lit("rejected").alias("status"), F.col("n_users").alias("n"))
-    return g.unionByName(r).groupBy("status").agg(F.sum("n").cast("bigint").alias("n_reviews"))
+    good, rejected = PG.quarantine_pages(PG.page_review_arrays(PG.page_text_fields(PG.parse_pages(pages))))
+    g = good.select(F.lit("good").alias("status"), F.size("users_a").alias("n"), F.lit(0).alias("r"))
+    r = rejected.select(F.lit("rejected").alias("status"), F.col("n_users").alias("n"), F.lit(1).alias("r"))
+    return g.unionByName(r).groupBy("status").agg(F.sum("n").cast("bigint").alias("n_reviews"),
+                                                  F.sum("r").cast("bigint").alias("n_rejected"))
 
 
 @query("tag_category")
 def q_tag_category(spark, sf):
-    from sheen.functions.constants import CATEGORY_IDS
-    from sheen.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    pages = rendered_pages_fx(spark, sf).checkpoint(eager=True)  # rendered once, read per category
-    frames = {}
-    for cid in CATEGORY_IDS:
-        rows, _ = PG.extract_reviews(pages.where(F.col("cat_id") == cid).drop("cat_id"))
-        frames[cid] = rows.select("pro_ids", "users", "lipies")
-    return PG.tag_category(frames)
+    return PG.tag_category(rendered_pages_fx(spark, sf)).select("pro_ids", "users", "lipies", "cat_id")
 
 
 # ----------------------------------------------------------------------------- §2.1 sources and sinks

@@ -40,6 +40,33 @@ def test_fields_quarantine_and_title_guard(spark):
     assert [(x.page_id, x.n_users, x.n_reviews) for x in rej] == [(2, 3, 2)]
 
 
+def one(spark, body):
+    pages = spark.createDataFrame([page(1, body)], "page_id bigint, url string, html string")
+    return PG.page_review_arrays(PG.page_text_fields(PG.parse_pages(pages))).first()
+
+
+def test_whole_texts(spark):
+    """Nested tags, any tag and class list, either quote, and all entities."""
+    r = one(spark, '<div class="comment-content">first <div>inner</div> second<!-- no --><script>x()</script></div>'
+                   "<a class='user-name big'>Caf&eacute; &#233; &amp;lt;</a><p class=important>a<br>b</p>"
+                   '<div class="box lipies"><b>n</b><i><span class="l-5-0 x"></span></i></div>'
+                   '<div class="x date">on 1/2/2019</div><span class="date">no</span><i class="user-names">no</i>')
+    assert r.reviews_a == ["first inner second"] and r.users_a == ["Café é &lt;"] and r.chars_a == ["ab"]
+    assert r.lipies_a == ["l-5-0"] and r.dates_a == ["on 1/2/2019"]
+    assert r.prices == "Price: $$$" and r.names == "Rose & Oud Cream"
+
+
+def test_missing_fields_reject_the_page(spark):
+    body = REVIEW.format(u="a", c='<div class="comment-content">x</div>')
+    p1, p2, p3 = page(1, body), page(2, body), page(3, body)
+    pages = [p1, (*p2[:2], p2[2].replace("<h3>4.1</h3>", "")), (*p3[:2], p3[2].replace("<p>Price: $$$</p>", "<p>Price: <b>$</b>$</p>"))]
+    pages += [(4, "u", None), (5, "u", ""), (6, "u", "<title>t</title><p>unclosed <div class=date>")]
+    rows, rejected = PG.extract_reviews(spark.createDataFrame(pages, "page_id bigint, url string, html string"))
+    assert [r.pro_ids for r in rows.collect()] == ["101"]
+    assert {r.page_id: r.missing for r in rejected.collect()} == {2: "ratings", 3: "prices", 6: ",".join(
+        c for c in PG.SCALARS if c != "pro_ids")}
+
+
 def test_round_trip(spark, sf):
     from sheen.sources import fixtures as FX
     raw = FX.reviews_raw_fx(spark, sf)
