@@ -1,8 +1,9 @@
-"""Rows that share table keys: star pairs first, then pairs across components.
+"""Rows that share table keys, and groups of rows whose members are compared in blocks.
 
 Both near-dup operators give every row some table keys and must test the pairs that share
-one. A key's rows each form a pair with its first row; after these are verified and joined to
-components, only pairs of one key in different components can still change the components.
+one. A key's rows each form a pair with its first row only, so a key that very many rows share
+gives as many pairs, not their square. Within a group of rows, two blocks at a time are compared
+in one task, and only what follows for the rows leaves it, no pairs.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from sheen.llm.common import frozen
 
 
 def star_rows(rows: DataFrame, partitions: int) -> DataFrame:
-    """(key, rid) to (key, rid, centre): each row of a key but the first, with the first.
-    Keys are read as a sorted stream, so a key that very many rows share needs no memory."""
+    """(key, rid) to (key, rid, centre): each row of a key but the first, with the first. Keys
+    are read as a sorted stream, so a key that very many rows share needs no memory."""
     def run(batches):
         last = None
         for batch in batches:
@@ -96,6 +97,53 @@ def across_pairs(stars: DataFrame, comps: DataFrame, sketches: DataFrame, decode
             .sortWithinPartitions("key", "rid").mapInArrow(run, "a long, b long").distinct())
 
 
+def objects(column) -> np.ndarray:
+    """A column of byte strings as an array of objects."""
+    out = np.empty(len(column), object)
+    out[:] = column.to_pylist()
+    return out
+
+
+def dealt_in_blocks(groups: DataFrame, block: int) -> DataFrame:
+    """(key, component, p, q, block, rid) of groups (id, component): a group's rows are dealt
+    over blocks of about ``block`` rows, and a row goes to each pair (p, q) of its block and
+    another, or itself. So a group of very many rows is dealt over many tasks."""
+    sizes = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    rows = (groups.join(sizes, "component")
+            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    p, q = F.least("block", "other"), F.greatest("block", "other")
+    return rows.select(F.xxhash64("component", p, q).alias("key"), "component", p.alias("p"), q.alias("q"),
+                       "block", F.col("id").alias("rid"))
+
+
+def block_pairs(batches, rest: Callable):
+    """Of a stream of dealt rows sorted by key: (left, right, columns) per pair of blocks, the
+    places of the rows of both blocks; they are equal where p = q. ``rest(batch)`` gives the
+    arrays of the columns after rid."""
+    def columns(batch):
+        return [*(batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)), *rest(batch)]
+
+    for x in whole_groups(batches, columns):
+        key, comp, p, q, block = x[:5]
+        for a, b in group_ranges(key):
+            groups = sorted(set(zip(comp[a:b].tolist(), p[a:b].tolist(), q[a:b].tolist())))  # nearly always one
+            for c, i, j in groups:
+                at = a + np.flatnonzero((comp[a:b] == c) & (p[a:b] == i) & (q[a:b] == j))
+                yield at[block[at] == i], at[block[at] == j], x[5:]
+
+
+def lowest_reached(near: np.ndarray) -> np.ndarray:
+    """Of a symmetric matrix of links, the lowest row that each row reaches."""
+    label = np.arange(len(near))
+    while True:
+        new = np.minimum(label, np.where(near, label[None, :], len(near)).min(axis=1, initial=len(near)))
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
 def with_both(pairs: DataFrame, side: DataFrame) -> DataFrame:
     """(a, b, x, y): the value of ``side`` (rid, value) for both ends of the pairs."""
     rid, value = side.columns

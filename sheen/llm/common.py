@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -88,50 +88,49 @@ def ranked(df: DataFrame, order: list, out: str) -> DataFrame:
             .drop("__mid__", "__pid__", "__pos__", "__n__", "__off__"))
 
 
+#: Edges of a part file of the tables that the component rounds write.
+EDGES_A_FILE = 200_000
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b long): rows (id, component), the component
     being the smallest id reachable. Ids without an edge are not returned.
 
-    Alternating large-star and small-star steps over frozen edge tables. Per-node minima
-    are aggregates (partial before the shuffle), and each join meets two plain tables, so
-    Spark can split a node that holds many of the edges. Superseded tables are deleted.
+    Alternating large-star and small-star rounds. A round deals the edges by node, sorts a
+    node's neighbours, and reads them as a running minimum, so a node that holds many of the
+    edges needs no memory; it writes the new edges in the shared folder and counts those that
+    changed. The table of the round before is deleted.
     """
-    def oriented(df):
-        return (df.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u"))
-                .distinct())
-
-    def star(cur, large):
+    def written(df, changed, files):
+        seen = Observation()
+        df = df.observe(seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(changed.cast("long")), F.lit(0)).alias("c"))
+        out = frozen((df.coalesce(files) if files else df).select("v", "u"), "edges")
+        return out, seen.get["n"], seen.get["c"]
+
+    def star(cur, large, n):
+        near = cur.select(F.col("v").alias("x"), F.col("u").alias("y"))
         if large:
-            near = cur.union(cur.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        else:
-            near = cur
-        low = frozen(near.groupBy("v").agg(F.min("u").alias("m"))
-                     .select("v", F.least("v", "m").alias("m")), "minima")
-        near = near.join(low, "v")
+            near = near.union(cur.select(F.col("u").alias("x"), F.col("v").alias("y")))
+        w = Window.partitionBy("x").orderBy("y")
+        rows = near.select("x", "y", F.min("y").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("m"),
+                           F.lag("y").over(w).alias("p")).where("p is null or p <> y")
         if large:
-            out = near.where("u > v").select(F.col("u").alias("a"), F.col("m").alias("b"))
+            m = F.least("x", "m")
+            rows = rows.where("y > x").select(F.col("y").alias("v"), m.alias("u"), (m != F.col("x")).alias("c"))
         else:
-            out = near.select(F.col("u").alias("a"), F.col("m").alias("b")).union(
-                low.select(F.col("v").alias("a"), F.col("m").alias("b")))
-        new = frozen(oriented(out), "edges")
-        forget(low)
-        return new
-
-    def state(df):
-        return df.agg(F.count(F.lit(1)).alias("n"),
-                      F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")).alias("h")).first()
-
-    cur = frozen(oriented(edges), "edges")
-    seen = state(cur)
-    while seen["n"]:
-        wide = star(cur, True)
+            first = F.col("p").isNull()
+            rows = rows.select(F.when(first, F.col("x")).otherwise(F.col("y")).alias("v"), F.col("m").alias("u"), (~first).alias("c"))
+        return written(rows, F.col("c"), max(4, -(-n // EDGES_A_FILE)))
+
+    start = (edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct())
+    cur, n, _ = written(start, F.lit(False), None)
+    while n:
+        wide, n, moved = star(cur, True, n)
         forget(cur)
-        cur = star(wide, False)
+        cur, n, more = star(wide, False, n)
         forget(wide)
-        now = state(cur)
-        if now == seen:
+        if not moved and not more:
             break
-        seen = now
     roots = cur.select(F.col("u").alias("id")).distinct()
     return (cur.select(F.col("v").alias("id"), F.col("u").alias("component"))
             .union(roots.select("id", F.col("id").alias("component"))))

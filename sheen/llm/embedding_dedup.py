@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheen.llm.buckets import across_pairs, group_ranges, star_pairs, star_rows, whole_groups, with_both
+from sheen.llm.buckets import across_pairs, block_pairs, dealt_in_blocks, objects, star_pairs, star_rows, with_both
 from sheen.llm.common import RID, components, frozen, with_row_id
 from sheen.llm.hashing import text_buffer
 
@@ -106,38 +106,20 @@ def _link_counts(comps: DataFrame, units: DataFrame, classes: DataFrame, cosine:
     blocks of rows: two blocks form one task's group, and a component that holds very many
     rows is dealt over many. Only counts leave a group, no pairs.
     """
-    sizes = comps.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    rows = (comps.withColumnRenamed("id", "rid").join(sizes, "component").join(units, "rid").join(classes, "rid")
-            .withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    rows = rows.select(F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")).alias("key"),
-                       "component", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
-                       "block", "rid", "m", "unit")
-
-    def columns(batch):
-        out = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
-        units = np.empty(len(batch), object)
-        units[:] = batch.column(7).to_pylist()
-        return [*out, units]
+    rows = dealt_in_blocks(comps, BLOCK).join(units, "rid").join(classes, "rid").select(
+        "key", "component", "p", "q", "block", "rid", "m", "unit")
 
     def run(batches):
-        for key, comp, p, q, block, rid, m, unit in whole_groups(batches, columns):
-            rids, links = [], []
-            for a, b in group_ranges(key):
-                for c, p_, q_ in sorted(set(zip(comp[a:b].tolist(), p[a:b].tolist(), q[a:b].tolist()))):
-                    at = a + np.flatnonzero((comp[a:b] == c) & (p[a:b] == p_) & (q[a:b] == q_))
-                    x = np.stack([np.frombuffer(u) for u in unit[at]])
-                    if p_ == q_:
-                        near = x @ x.T >= cosine
-                        np.fill_diagonal(near, False)
-                        rids.append(rid[at])
-                        links.append(near @ m[at])
-                    else:
-                        left, right = at[block[at] == p_], at[block[at] == q_]
-                        near = x[block[at] == p_] @ x[block[at] == q_].T >= cosine
-                        rids += [rid[left], rid[right]]
-                        links += [near @ m[right], near.T @ m[left]]
-            yield pa.RecordBatch.from_pydict({"rid": pa.array(np.concatenate(rids)), "links": pa.array(np.concatenate(links).astype(np.int64))})
+        for left, right, (rid, m, unit) in block_pairs(
+                batches, lambda b: [b.column(6).to_numpy(zero_copy_only=False), objects(b.column(7))]):
+            x, y = (np.stack([np.frombuffer(u) for u in unit[at]]) for at in (left, right))
+            near = x @ y.T >= cosine
+            if len(left) and left[0] == right[0]:
+                np.fill_diagonal(near, False)
+                rids, links = rid[left], near @ m[left]
+            else:
+                rids, links = np.append(rid[left], rid[right]), np.append(near @ m[right], near.T @ m[left])
+            yield pa.RecordBatch.from_pydict({"rid": pa.array(rids), "links": pa.array(links.astype(np.int64))})
 
     return (rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "rid long, links long")
             .groupBy("rid").agg(F.sum("links").alias("links")))
@@ -169,7 +151,7 @@ def embedding_dedup(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     stars = frozen(star_rows(_filters(units), parts), "stars")
     links = frozen(_linked(star_pairs(stars), units, cosine), "links")
     sketches = units.withColumnRenamed("unit", "sketch")
-    more = across_pairs(stars, components(links), sketches, _objects, lambda one, many: _near(one, many, cosine), parts)
+    more = across_pairs(stars, components(links), sketches, objects, lambda one, many: _near(one, many, cosine), parts)
     links = links.union(frozen(_linked(more, units, cosine), "links"))
     comps = frozen(components(links), "components")
     counts = frozen(_link_counts(comps, units, reps, cosine, parts), "counts")
@@ -184,12 +166,6 @@ def embedding_dedup(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
         (F.coalesce("component", "rid") == F.col("rid")).alias("kept"))
 
 
-def _objects(column) -> np.ndarray:
-    out = np.empty(len(column), object)
-    out[:] = column.to_pylist()
-    return out
-
-
 def _near(one, many, cosine):
     x = np.frombuffer(one)
     return np.array([len(u) == len(one) and float(np.frombuffer(u) @ x) >= cosine for u in many], bool)

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheen.llm.buckets import across_pairs, star_pairs, star_rows, with_both
+from sheen.llm.buckets import block_pairs, dealt_in_blocks, lowest_reached, objects, with_both
 from sheen.llm.common import RID, components, frozen, with_row_id
 from sheen.llm.hashing import LOWER, mix, pieces, text_buffer, word_hashes
 
@@ -19,8 +19,12 @@ BAND = 3
 BANDS = ((85, 10), (80, 12), (0, 16))
 #: Documents of a piece; their number and a shingle's hash share 64 bits.
 DOCS = 2048
-#: A verified link has this many percent less of its minhashes in common with no real chance.
-SLACK = 32
+#: Candidates whose minhashes agree in fewer percent are no pair of a family.
+ALIKE = 45
+#: Documents of a block when a family is compared.
+BLOCK = 512
+#: Shingles of two blocks that are counted at a time.
+COLUMNS = 4096
 
 
 def bands_for(percent: int) -> int:
@@ -68,7 +72,8 @@ def _seeds(n):
 
 
 def _signatures(docs: DataFrame, width: int, hashes: int) -> DataFrame:
-    """(RID, id, n, f1, f2, sig): set size, 128-bit fingerprint of the set, its minhashes."""
+    """(RID, id, n, f1, f2, sig, sketch): set size, 128-bit fingerprint of the set, its minhashes
+    and one byte of each."""
     seeds = _seeds(hashes)
 
     def run(batches):
@@ -89,72 +94,136 @@ def _signatures(docs: DataFrame, width: int, hashes: int) -> DataFrame:
                         sig[i + full, k] = np.minimum.reduceat(h * seeds[k], at) >> np.uint64(32)
             yield pa.RecordBatch.from_pydict({
                 RID: batch.column(0), "id": batch.column(1), "n": pa.array(n), "f1": pa.array(f1.view(np.int64)),
-                "f2": pa.array(f2.view(np.int64)), "sig": pa.array([x.tobytes() for x in sig], pa.binary())})
+                "f2": pa.array(f2.view(np.int64)), "sig": pa.array([x.tobytes() for x in sig], pa.binary()),
+                "sketch": pa.array([x.tobytes() for x in sig.astype(np.uint8)], pa.binary())})
 
     kind = dict(docs.dtypes)["id"]
-    return docs.select(RID, "id", "t").mapInArrow(run, f"{RID} long, id {kind}, n long, f1 long, f2 long, sig binary")
+    return docs.select(RID, "id", "t").mapInArrow(run, f"{RID} long, id {kind}, n long, f1 long, f2 long, sig binary, sketch binary")
 
 
-def _matrix(column) -> np.ndarray:
-    return np.frombuffer(text_buffer(column)[0], np.uint32).reshape(len(column), -1)
-
-
-def _alike(x, y, percent):
-    """Whether minhashes agree often enough for ``percent`` similarity."""
-    return (x == y).mean(axis=1) * 100 >= percent - SLACK
+def _matrix(column, kind) -> np.ndarray:
+    return np.frombuffer(text_buffer(column)[0], kind).reshape(len(column), -1)
 
 
 def _candidates(sig: DataFrame, bands: int, partitions: int) -> DataFrame:
-    """(key, rid, centre): of every table key, each document but the first with the first."""
+    """(a, b): of every table key, each document with the key's first one, and with the first
+    one that also has one more band in common. The second keeps documents together whose key's
+    first document is like neither."""
     def keys(batches):
         for batch in batches:
-            s = _matrix(batch.column(1))
+            s = _matrix(batch.column(1), np.uint32)
             band = np.zeros((len(s), 2 * bands), np.uint64)
             for b in range(2 * bands):
                 for k in range(BAND):
                     band[:, b] = mix(band[:, b] + s[:, b * BAND + k] + np.uint64(b * 7919 + k + 1))
-            both = mix(band[:, :bands, None] * np.uint64(0x9FB21C651E98DF25) + band[:, None, bands:])
+            first, second = band[:, :bands], band[:, bands:]
+            both = mix(first[:, :, None] * np.uint64(0x9FB21C651E98DF25) + second[:, None, :])
+            more = np.repeat((np.roll(first, 1, axis=1) & np.uint64(0x7FFF)).astype(np.int16), bands, axis=1)
             rid = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), bands * bands)
-            key = both.reshape(-1).view(np.int64)
+            key, more = both.reshape(-1).view(np.int64), more.reshape(-1)
             for i in range(0, len(key), 1 << 20):
-                yield pa.RecordBatch.from_pydict({"key": pa.array(key[i:i + (1 << 20)]), "rid": pa.array(rid[i:i + (1 << 20)])})
-
-    return star_rows(sig.select(RID, "sig").mapInArrow(keys, "key long, rid long"), partitions)
+                x = slice(i, i + (1 << 20))
+                yield pa.RecordBatch.from_pydict({"key": pa.array(key[x]), "more": pa.array(more[x]), "rid": pa.array(rid[x])})
 
-
-def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(rid, items): the full shingle sets of the documents in ``ids``."""
+    def stars(batches):
+        last = None  # the last row's key, more, and the first document of either
+        for batch in batches:
+            x = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            if not len(x[0]):
+                continue
+            key, more, rid = x
+            new = np.concatenate(([last is None or last[0] != key[0]], key[1:] != key[:-1]))
+            new_more = new | np.concatenate(([last is None or last[1] != more[0]], more[1:] != more[:-1]))
+            for fresh, before in ((new, 2), (new_more, 3)):
+                at = np.flatnonzero(fresh)
+                place = np.cumsum(fresh) - 1
+                centre = np.where(place < 0, last[before] if last is not None else 0, rid[at][place] if len(at) else 0)
+                if before == 2:
+                    centres = centre
+                pair = ~fresh & (centre != rid)
+                if before == 3:
+                    pair &= centre != centres
+                yield pa.RecordBatch.from_pydict({"a": pa.array(rid[pair]), "b": pa.array(centre[pair])})
+            last = key[-1], more[-1], centres[-1], centre[-1]
+
+    rows = sig.select(RID, "sig").mapInArrow(keys, "key long, more short, rid long")
+    rows = rows.repartition(partitions, "key").sortWithinPartitions("key", "more", "rid")
+    return rows.mapInArrow(stars, "a long, b long").distinct()
+
+
+def _alike(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches agree in ``ALIKE`` percent of the minhashes."""
     def run(batches):
+        for batch in batches:
+            same = (_matrix(batch.column(2), np.uint8) == _matrix(batch.column(3), np.uint8)).mean(axis=1)
+            yield pa.RecordBatch.from_pydict({"a": batch.column(0), "b": batch.column(1)}).filter(pa.array(same * 100 >= ALIKE))
+
+    return with_both(pairs, sketches).mapInArrow(run, "a long, b long")
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Size of the intersection of each set of ``left`` with each of ``right``."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    (x, i), (y, j) = ((np.concatenate(s), np.repeat(np.arange(len(s)), [len(v) for v in s])) for s in (left, right))
+    column, where = np.unique(x, return_inverse=True)
+    at = np.minimum(np.searchsorted(column, y), len(column) - 1)
+    hit = column[at] == y
+    j, at = j[hit], at[hit]
+    used = np.unique(at)  # only shingles of both sides have a column
+    place = np.full(len(column), -1)
+    place[used] = np.arange(len(used))
+    where, at = place[where], place[at]
+    i, where = i[where >= 0], where[where >= 0]
+    by_x, by_y = np.argsort(where, kind="stable"), np.argsort(at, kind="stable")
+    i, where, j, at = i[by_x], where[by_x], j[by_y], at[by_y]
+    for c in range(0, len(used), COLUMNS):
+        width = min(COLUMNS, len(used) - c)
+        a, b = np.zeros((len(left), width), np.float32), np.zeros((len(right), width), np.float32)
+        s = slice(*np.searchsorted(where, (c, c + width)))
+        a[i[s], where[s] - c] = 1
+        s = slice(*np.searchsorted(at, (c, c + width)))
+        b[j[s], at[s] - c] = 1
+        out += a @ b.T
+    return np.rint(out).astype(np.int64)
+
+
+def _links(docs: DataFrame, families: DataFrame, width: int, percent: int, parts: int) -> DataFrame:
+    """(a, b): links that join the documents of families (id, component) as all links do. The
+    full shingle sets of the members are compared, as blocks of documents."""
+    dealt = dealt_in_blocks(families, BLOCK).groupBy("rid").agg(
+        F.collect_list(F.struct("key", "component", "p", "q", "block")).alias("to"))
+    # one plan at every size: texts meet their places by a sort-merge join
+    texts = docs.select(F.col(RID).alias("rid"), "t").join(dealt.hint("merge"), "rid")
+
+    def sets(batches):
         for batch in batches:
             buf, off = text_buffer(batch.column(1))
             out = []
             for _, _, s, sizes in shingle_sets(buf, off, width):
                 out += [x.tobytes() for x in np.split(s, np.cumsum(sizes)[:-1])]
-            yield pa.RecordBatch.from_pydict({"rid": batch.column(0), "items": pa.array(out, pa.binary())})
+            yield pa.RecordBatch.from_pydict({"rid": batch.column(0), "to": batch.column(2), "items": pa.array(out, pa.binary())})
 
-    return docs.join(ids, docs[RID] == ids["rid"], "left_semi").select(RID, "t").mapInArrow(run, "rid long, items binary")
+    kind = "array<struct<key:bigint,component:bigint,p:int,q:int,block:int>>"
+    rows = texts.select("rid", "t", "to").mapInArrow(sets, f"rid long, to {kind}, items binary")
+    rows = rows.select("rid", "items", F.explode("to").alias("to")).select("to.*", "rid", "items")
 
-
-def _verified(pairs: DataFrame, sig: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets have 100 * intersection >= percent * union. Pairs whose
-    minhashes are far from it are dropped before the sets are fetched."""
-    def near(batches):
-        for batch in batches:
-            keep = _alike(_matrix(batch.column(2)), _matrix(batch.column(3)), percent)
-            yield pa.RecordBatch.from_pydict({"a": batch.column(0), "b": batch.column(1)}).filter(pa.array(keep))
-
-    def check(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(x) + len(y)
-                same = both - len(np.unique(np.concatenate((x, y))))
-                keep.append(100 * same >= percent * (both - same))
-            yield pa.RecordBatch.from_pydict({"a": batch.column(0), "b": batch.column(1)}).filter(pa.array(keep, pa.bool_()))
-
-    pairs = with_both(pairs, sig.select(RID, "sig")).mapInArrow(near, "a long, b long")
-    return with_both(frozen(pairs, "pairs"), sets).mapInArrow(check, "a long, b long")
+    def run(batches):
+        for left, right, (rid, items) in block_pairs(batches, lambda b: [objects(b.column(6))]):
+            if not len(left) or not len(right) or (left[0] == right[0] and len(left) < 2):
+                continue
+            x, y = ([np.frombuffer(v, np.uint64) for v in items[at]] for at in (left, right))
+            same = shared_counts(x, y)
+            total = np.array([len(v) for v in x])[:, None] + np.array([len(v) for v in y])
+            near = 100 * same >= percent * (total - same)
+            if left[0] != right[0]:
+                z = np.zeros
+                near = np.block([[z((len(x), len(x)), bool), near], [near.T, z((len(y), len(y)), bool)]])
+                left = np.append(left, right)
+            low = lowest_reached(near)
+            linked = low != np.arange(len(low))
+            yield pa.RecordBatch.from_pydict({"a": pa.array(rid[left][linked]), "b": pa.array(rid[left][low[linked]])})
+
+    return rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
 def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, percent: int = 85) -> DataFrame:
@@ -165,11 +234,10 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
 
     1. Rows with equal sets (128-bit fingerprint) are one class, and its first row stands for it.
     2. Two collections of bands are computed, and every pair of a band from each is a table
-       key. A key's documents each form a pair with its first one, so a key that holds very
-       many documents gives as many pairs, not their square.
-    3. Pairs are verified on the full sets and joined to components.
-    4. Where the documents of a key are still in different components, the other pairs are
-       compared, too. Pairs inside a component need not be: they cannot change it.
+       key. Documents form pairs with a key's first ones; pairs whose minhashes are far apart
+       are dropped, and the rest join documents to families.
+    3. The full sets of a family's members are compared with each other, in blocks, so that no
+       link inside a family is missed, and a large family is dealt over many tasks.
 
     No words or null text: an empty set, linked with nothing. Fewer words than ``width``: the
     sequence is the only shingle. Repeated rows link like others. Null keys sort first and are
@@ -184,15 +252,9 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     copies = (meta.where("n > 0").join(classes.where("m > 1"), ["f1", "f2", "n"])
               .where(F.col(RID) != F.col("rep")).select(F.col(RID).alias("a"), F.col("rep").alias("b")))
     sig = meta.join(classes.select(F.col("rep").alias(RID)), RID, "left_semi").select(RID, "sig")
-    cand = frozen(_candidates(sig, bands, parts), "candidates")
-    pairs = frozen(star_pairs(cand), "stars")
-    ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
-    sets = frozen(_sets(docs, ids, width), "sets")
-    links = frozen(_verified(pairs, meta, sets, percent), "links")
-    more = frozen(across_pairs(cand, components(links), meta.select(F.col(RID).alias("rid"), F.col("sig").alias("sketch")),
-                               _matrix, lambda one, many: _alike(many, one, percent), parts), "across")
-    if more.limit(1).count():
-        links = links.union(frozen(_verified(more, meta, sets, percent), "links"))
+    pairs = frozen(_candidates(sig, bands, parts), "candidates")
+    families = components(_alike(pairs, meta.select(RID, "sketch")))
+    links = _links(docs, families, width, percent, parts)
     comps = frozen(components(links.union(copies)), "components")
     names = meta.select(F.col(RID).alias("component"), F.col("id").alias("component_id"))
     comps = comps.join(names, "component").select(F.col("id").alias(RID), "component", "component_id")

@@ -62,7 +62,13 @@ def test_five_words(spark):
     check(spark, corpus(2), width=5, percent=80)
 
 
-def test_second_round_finds_pairs_without_the_first_document(spark):
+def test_family_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 6)
+    monkeypatch.setattr(minhash, "COLUMNS", 50)
+    check(spark, corpus(4))
+
+
+def test_links_without_the_first_pairs_without_the_first_document(spark):
     """b and c are near copies of each other but only half like a, which comes first."""
     rng = random.Random(5)
     a = [f"w{rng.randint(0, 10**6)}" for _ in range(400)]
