@@ -54,7 +54,7 @@ def assemble_features(multi_hot: DataFrame, catalog: DataFrame, key: str = "pro_
         F.struct(F.lit(j).alias("j"), F.lit(c).alias("group"), F.col(c).cast("double").alias("value"))
         for j, c in enumerate(NUMERIC)])).alias("f")).select(key, "f.*")
     num = num.join(F.broadcast(n_groups), how="cross").select(
-        key, "group", (F.col("base") + F.col("j")).cast("int").alias("feature_idx"), "value")
+        key, "group", (F.col("base") + F.col("j")).alias("feature_idx"), "value")
     return multi_hot.select(key, "group", "feature_idx", "value").unionByName(num)
 
 

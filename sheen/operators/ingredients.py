@@ -9,26 +9,26 @@ from sheen.functions import text as T
 from sheen.operators.relational import dense_index
 
 
-def product_tokens(catalog: DataFrame, col: str = "ingredients", key: str = "pro_ids",
-                   parallelism: int | None = None) -> DataFrame:
-    """(key, tokens array) for every product; the whole text is tokenised.
-
-    Tokenising is CPU-bound regex work on long texts, while text tables often
-    arrive in few, large input splits. Rows are hash-partitioned on the product
-    key first (an explicit count, default ``spark.sql.shuffle.partitions``):
-    the work spreads over all cores, and the product-keyed aggregations that
-    follow reuse that partitioning.
+def product_tokens(texts: DataFrame, col: str = "ingredients", key: str = "pro_ids",
+                   products: DataFrame | None = None) -> DataFrame:
+    """(key, tokens array); the whole text is tokenised where it is read.
+
+    Texts go into no shuffle or join: tokenise the text table itself, and pass the table of
+    ``products`` (key) to get a row, with an empty list, for products without a text too.
+    Tokenising is CPU-bound, so text tables want small input splits
+    (``spark.sql.files.maxPartitionBytes`` of about 32 MB).
     """
-    n = parallelism or int(catalog.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (catalog.select(key, col).repartition(n, key)
-            .select(key, T.ingredient_tokens(F.col(col)).alias("tokens")))
+    out = texts.select(key, T.ingredient_tokens(F.col(col)).alias("tokens"))
+    if products is None:
+        return out
+    none = F.array().cast("array<string>")
+    return products.select(key).join(out, key, "left").select(key, F.coalesce("tokens", none).alias("tokens"))
 
 
 def explode_tokens(tokens: DataFrame, key: str = "pro_ids", with_pos: bool = False) -> DataFrame:
     """(key, [pos,] token) rows. The ``_outer`` generator plus a null filter
-    keeps Catalyst from inferring ``size(tokens) > 0`` and pushing that copy of
-    the tokenizer expression below the repartition (it would run twice, the
-    second time on the few unbalanced input splits)."""
+    keeps Catalyst from inferring ``size(tokens) > 0`` and pushing a second copy of
+    the tokenizer expression to the scan."""
     if with_pos:
         rows = tokens.select(key, F.posexplode_outer("tokens").alias("pos", "token"))
     else:

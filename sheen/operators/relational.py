@@ -51,7 +51,7 @@ def dense_index(df: DataFrame, order_col: str, out_col: str) -> DataFrame:
         F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     return (tagged.join(F.broadcast(offsets), "_pid")
-            .withColumn(out_col, (F.col("_off") + F.col("_ln")).cast("int"))
+            .withColumn(out_col, F.col("_off") + F.col("_ln"))
             .drop("_pid", "_ln", "_off", "_mid"))
 
 

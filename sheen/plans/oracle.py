@@ -45,7 +45,7 @@ CLEAN_CTE = f"""clean_fx AS (
         FROM (SELECT *, {CHARS} AS chars_a FROM reviews_raw_fx)))"""
 
 UID_CTE = """uid_fx AS (
-  SELECT users, CAST(row_number() OVER (ORDER BY users) - 1 AS INTEGER) AS uid
+  SELECT users, CAST(row_number() OVER (ORDER BY users) - 1 AS BIGINT) AS uid
   FROM (SELECT DISTINCT users FROM clean_fx))"""
 
 
@@ -148,7 +148,7 @@ _TOKENS = (f"list_filter(list_transform(list_transform(list_transform({_STRIPPED
 TOKENS_CTE = f"toks AS (SELECT pro_ids, {_TOKENS} AS tokens FROM catalog_fx)"
 VOCAB_CTE = """vocab AS (
   SELECT token, first_pro_ids, first_pos,
-         CAST(row_number() OVER (ORDER BY first_pro_ids, first_pos) - 1 AS INTEGER) AS token_idx
+         CAST(row_number() OVER (ORDER BY first_pro_ids, first_pos) - 1 AS BIGINT) AS token_idx
   FROM (SELECT token, min(pro_ids) AS first_pro_ids, arg_min(pos, CAST(pro_ids AS BIGINT) * 100000000 + pos) AS first_pos
         FROM (SELECT pro_ids, unnest(tokens) AS token, CAST(generate_subscripts(tokens, 1) - 1 AS INTEGER) AS pos
               FROM toks)
@@ -216,7 +216,7 @@ qprod AS (
   FROM requests_fx r JOIN catalog_fx c ON r.product_name = c.names GROUP BY r.req_id, r.product_name)"""
 
 MULTIHOT_CTE = """mh AS (
-  SELECT pro_ids, "group", CAST(dense_rank() OVER (ORDER BY "group") - 1 AS INTEGER) AS feature_idx, CAST(1.0 AS DOUBLE) AS value
+  SELECT pro_ids, "group", CAST(dense_rank() OVER (ORDER BY "group") - 1 AS BIGINT) AS feature_idx, CAST(1.0 AS DOUBLE) AS value
   FROM (SELECT pro_ids, unnest(groups) AS "group" FROM pgroups))"""
 
 
@@ -230,7 +230,7 @@ _NUM = ["ratings", "repurchases", "pkg_quals", "prices"]
 SQL["assemble_features"] = feat_sql(
     'SELECT pro_ids, "group", feature_idx, value FROM mh UNION ALL '
     + " UNION ALL ".join(
-        f"SELECT pro_ids, '{c}', CAST((SELECT coalesce(max(feature_idx) + 1, 0) FROM mh) + {j} AS INTEGER), "
+        f"SELECT pro_ids, '{c}', CAST((SELECT coalesce(max(feature_idx) + 1, 0) FROM mh) + {j} AS BIGINT), "
         f"CAST({c} AS DOUBLE) FROM catalog_fx" for j, c in enumerate(_NUM)), [MULTIHOT_CTE])
 SQL["feature_by_name"] = feat_sql("SELECT req_id, product_name, pro_ids FROM qprod")
 
@@ -303,8 +303,9 @@ cscores AS (
   FROM cq JOIN unit q ON q.vec_id = cq.q_id CROSS JOIN unit u)"""
 SQL["l2_normalize"] = f"WITH {UNIT_CTE}\n" + (
     "SELECT vec_id, CAST(generate_subscripts(vec, 1) - 1 AS INTEGER) AS pos, round(unnest(vec), 9) AS value FROM unit")
-SQL["name_factors"] = with_fx(["catalog_fx"]) + (
-    "SELECT vec_id, names FROM embeddings LEFT JOIN catalog_fx ON CAST(pro_ids AS BIGINT) = vec_id")
+SQL["name_factors"] = with_fx(["catalog_fx"], [UNIT_CTE]) + """SELECT vec_id, names, pos, round(value, 9) AS value FROM (
+  SELECT vec_id, CAST(generate_subscripts(vec, 1) - 1 AS INTEGER) AS pos, unnest(vec) AS value FROM unit)
+  LEFT JOIN catalog_fx ON CAST(pro_ids AS BIGINT) = vec_id"""
 SQL["cosine_scores"] = f"WITH {UNIT_CTE}\n" + (
     "SELECT req_id, q_id AS query_id, vec_id, round(score, 9) AS score FROM cscores")
 SQL["cosine_top_k"] = f"WITH {UNIT_CTE}\n" + """SELECT req_id, vec_id, round(score, 9) AS score, CAST(rank AS INTEGER) AS rank FROM (

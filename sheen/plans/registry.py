@@ -228,7 +228,7 @@ from sheen.operators import ingredients as I  # noqa: E402
 
 
 def tokens_fx(spark, sf) -> DataFrame:
-    return I.product_tokens(FX.catalog_fx(spark, sf))
+    return I.product_tokens(FX.ingredient_texts_fx(spark, sf), products=FX.products_fx(spark, sf))
 
 
 def vocab_fx(spark, sf) -> DataFrame:
@@ -445,9 +445,10 @@ def q_l2_normalize(spark, sf):
 
 @query("name_factors")
 def q_name_factors(spark, sf):
-    e = table(spark, sf, "embeddings").select("vec_id")
+    """Unit vectors with the names of their products."""
+    u = unit_embeddings_fx(spark, sf).select("vec_id", F.posexplode("vec").alias("pos", "value"))
     c = FX.catalog_fx(spark, sf).select(F.col("pro_ids").cast("bigint").alias("vec_id"), "names")
-    return e.join(c, "vec_id", "left")
+    return u.join(c, "vec_id", "left").select("vec_id", "names", "pos", F.round("value", 9).alias("value"))
 
 
 @query("cosine_scores")
@@ -510,10 +511,14 @@ def q_als_cross_validate(spark, sf):
     return CO.cv_metrics(spark, cv)
 
 
+def best_als_fx(spark, sf):
+    """The model that the cross-validation picks, refitted on all ratings."""
+    return CO.als_cross_validate(_ratings_for_als(spark, sf), parallelism=4).bestModel
+
+
 @query("als_top_n")
 def q_als_top_n(spark, sf):
-    model = CO.als_fit(_ratings_for_als(spark, sf), rank=10, reg=0.1)
-    recs = CO.als_top_n(model, 10)
+    recs = CO.als_top_n(best_als_fx(spark, sf), 10)
     return recs.select("uid", F.posexplode("recommendations").alias("pos", "r")).select(
         "uid", (F.col("pos") + 1).alias("rank"), F.col("r.pro_ids").alias("pro_ids"),
         F.col("r.rating").alias("rating"))
@@ -809,7 +814,10 @@ def ap_groups_fx(spark, sf, **kw) -> DataFrame:
 
 @query("token_groups")
 def q_token_groups(spark, sf):
-    return ap_groups_fx(spark, sf)
+    """With the number of rounds, and whether the exemplars had settled by then."""
+    report = {}
+    groups = ap_groups_fx(spark, sf, report=report)
+    return groups.withColumns({"iterations": F.lit(report["iterations"]), "converged": F.lit(report["converged"])})
 
 
 @query("recommend")
@@ -819,6 +827,5 @@ def q_recommend(spark, sf):
     cat = FX.catalog_fx(spark, sf)
     groups = ap_groups_fx(spark, sf).checkpoint(eager=True)
     feats = features_fx(spark, sf, groups)
-    model = CO.als_fit(_ratings_for_als(spark, sf), rank=10, reg=0.1)
-    recs = CO.recs_to_columns(CO.als_top_n(model, 10))
+    recs = CO.recs_to_columns(CO.als_top_n(best_als_fx(spark, sf), 10))
     return S.recommend(FX.requests_fx(spark, sf), FX.traits_fx(spark, sf), recs, cat, feats)

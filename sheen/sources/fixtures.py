@@ -45,6 +45,16 @@ def catalog_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingredient_texts_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(pro_ids, ingredients) straight from the documents."""
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("int").alias("pro_ids"),
+                                                    F.col("text").alias("ingredients"))
+
+
+def products_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("pro_ids"))
+
+
 def _trait_value(key: str, trait: str, j: int) -> F.Column:
     dom = TRAIT_DOMAINS[trait]
     idx = (F.col(key) * TRAIT_PRIMES[j] + F.col("c_nationkey")) % len(dom)
