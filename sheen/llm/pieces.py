@@ -15,7 +15,9 @@ LONGEST = 16
 #: Segments whose tokens a worker remembers.
 REMEMBERED = 1_000_000
 #: Code points that are cut into segments at a time.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
+#: New segments that are indexed together.
+INDEXED = 1 << 16
 
 
 def default_model() -> str:
@@ -244,6 +246,13 @@ class Encoder:
                 if h not in found:
                     found[h] = codes[start[first[k]]:end[first[k]]]
             parts.append((i, j, key, inverse.astype(np.int32), np.bincount(doc, minlength=j - i)))
+            if len(found) >= INDEXED:
+                yield from self._parts(parts, found)
+                parts, found = [], {}
+        yield from self._parts(parts, found)
+
+    def _parts(self, parts, found):
+        """The tokens of cut documents, after their new segments are learned."""
         if found:
             self._learn(np.array(list(found), np.uint64), np.concatenate(list(found.values())),
                         np.concatenate(([0], np.cumsum([len(v) for v in found.values()]))))
