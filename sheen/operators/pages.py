@@ -13,7 +13,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
 from sheen.functions.constants import (BRAND_LINK_MARKER, MAX_SEARCH_PAGES, PRODUCT_LINK_MARKER,
                                        REVIEWS_PER_PAGE, SEARCH_PATH_TEMPLATE)
@@ -89,8 +89,8 @@ def title_guard(pages: DataFrame, html: str = "html") -> DataFrame:
 
 _TEXTS = ["names", "ratings", "repurchases", "pkg_quals", "prices", "ingredients", "brands", "brand_href"]
 _LISTS = ["users_a", "chars_a", "reviews_a", "lipies_a", "dates_a"]
-PARSED = StructType.fromDDL(", ".join(["has_title boolean", *[f"{c} string" for c in _TEXTS],
-                                       *[f"{c} array<string>" for c in _LISTS]]))
+PARSED = StructType([StructField("has_title", BooleanType()), *[StructField(c, StringType()) for c in _TEXTS],
+                     *[StructField(c, ArrayType(StringType())) for c in _LISTS]])
 PARSED_ARROW = pa.struct([("has_title", pa.bool_()), *[(c, pa.string()) for c in _TEXTS],
                           *[(c, pa.list_(pa.string())) for c in _LISTS]])
 
