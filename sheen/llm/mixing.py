@@ -12,7 +12,7 @@ WEIGHTS = (5, 2, 1)
 #: A source gives at most this many times its size.
 MOST_EPOCHS = 3
 #: Rows of a key range that one task sorts.
-RANGE_ROWS = 65_536
+RANGE_ROWS = 1_024
 SEED = "mix-1"
 WORD = r"[^\x20\x09-\x0D]+"
 
