@@ -17,7 +17,7 @@ REMEMBERED = 1_000_000
 #: Code points that are cut into segments at a time.
 CHUNK = 1 << 18
 #: New segments that are indexed together.
-INDEXED = 1 << 16
+INDEXED = 1 << 15
 
 
 def default_model() -> str:
@@ -240,7 +240,8 @@ class Encoder:
             hashes = Sequence(units).ranges(start, end) if len(start) else np.zeros(0, np.uint64)
             doc = np.searchsorted(at, start, "right") - 1
             key, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-            new = np.flatnonzero(~np.isin(key, self.known))
+            near = np.minimum(np.searchsorted(self.known, key), max(len(self.known) - 1, 0))
+            new = np.flatnonzero(self.known[near] != key) if len(self.known) else np.arange(len(key))
             for k in new.tolist():
                 h = int(key[k])
                 if h not in found:
