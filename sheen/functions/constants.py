@@ -25,7 +25,6 @@ TRAIT_DOMAINS = {
 }
 SLOT_OFFSETS = {'age': 0, 'eyes': 8, 'skin_type': 16, 'skin_tone': 25, 'skin_undertone': 34,
                 'hair_color': 38, 'hair_type': 46, 'hair_texture': 52}
-N_SLOTS = 56
 
 # --- FIXED VALUES: review categories (id -> name), as the cleaning step lists them ---
 CATEGORY_IDS = ['705', '702', '701', '707', '703', '708', '709', '704', '706']
@@ -56,10 +55,10 @@ REVIEWS_PER_PAGE = 10
 ALS_RANKS = [10, 20, 50]
 ALS_REG_PARAMS = [.05, .1, .15]
 ALS_FOLDS = 5
-NMF_COMPONENTS = 20
-AFFINITY_DAMPING = 0.99
-CONTENT_NEIGHBOURS = 10
-USER_NEIGHBOURS = 10
-N_RECS = 10
 SAMPLE_SIZE = 10
 SAMPLE_SEED = 123
+
+# FIXED VALUES: columns of the rating and content tables
+RATING_COLS = ["pro_ids", "users", "lipies"]
+CONTENT_COLS = ["names", "pro_ids", "ratings", "repurchases", "pkg_quals", "prices",
+                "ingredients", "brands"]

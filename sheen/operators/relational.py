@@ -5,17 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheen.functions.constants import TRAITS
+from sheen.functions.constants import CONTENT_COLS, RATING_COLS, TRAITS
 from sheen.session import ensure_checkpoint_dir
 
-RATING_COLS = ["pro_ids", "users", "lipies"]
-CONTENT_COLS = ["names", "pro_ids", "ratings", "repurchases", "pkg_quals", "prices",
-                "ingredients", "brands"]
-SELECT_COLS = ["pro_ids", "ratings", "repurchases", "pkg_quals", "prices", "ingredients",
-               "brand_ids", "users", "reviews", "lipies", "age", "eyes", "skin_type", "skin_tone",
-               "skin_undertone", "hair_color", "hair_type", "hair_texture"]
-COLUMN_SETS = {"ratings": RATING_COLS, "catalog": CONTENT_COLS, "traits": TRAITS + ["uid"],
-               "select": SELECT_COLS}
+COLUMN_SETS = {"ratings": RATING_COLS, "catalog": CONTENT_COLS, "traits": TRAITS + ["uid"]}
 
 
 def project_columns(df: DataFrame, which: str) -> DataFrame:

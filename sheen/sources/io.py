@@ -13,6 +13,7 @@ import uuid
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sheen.session import ensure_checkpoint_dir
 
@@ -46,21 +47,18 @@ def load_categories(spark: SparkSession, path: str, cat_ids: list[str] | None =
                     col: str = "cat_id") -> DataFrame:
     """All category snapshots as one table; ``cat_ids`` prunes partitions. The
     partition column stays a string (no type inference on '701')."""
-    df = _read_string_parts(spark, path)
+    df = _read_string_parts(spark, path, col)
     if cat_ids:
         df = df.where(F.col(col).isin(cat_ids))
     return df
 
 
-def _read_string_parts(spark: SparkSession, path: str) -> DataFrame:
-    prev = spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled")
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    try:
-        df = spark.read.parquet(path)
-        df.schema  # resolve partitions while inference is off
-        return df
-    finally:
-        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", prev)
+def _read_string_parts(spark: SparkSession, path: str, col: str = "cat_id") -> DataFrame:
+    """Snapshots with the partition column as a string, by an explicit schema: the columns of
+    the files, whose types are theirs, plus ``col``."""
+    found = spark.read.parquet(path).schema
+    schema = StructType([StructField(f.name, StringType() if f.name == col else f.dataType) for f in found])
+    return spark.read.schema(schema).parquet(path)
 
 
 def save_table(df: DataFrame, path: str) -> str:
