@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +16,10 @@ SAMPLE = 10_000
 #: With as many given good labels, only these are examples of good ones: a document of which no
 #: labeller says anything bad may still be bad in a way that they don't know.
 LEAST_GIVEN = 100
-#: Rows of the sample that a word must occur in to be a feature.
-LEAST_ROWS = 5
-LASSO = 1e-4
+#: Rows of the sample, and their share of it, that a word must occur in to be a feature.
+LEAST_ROWS, LEAST_SHARE = 5, 0.0005
+#: Of the scorer's fit: lasso, ridge, step size, passes over the sample.
+LASSO, RIDGE, STEP, EPOCHS = 8.0, 0.1, 1.0, 12
 #: Words of personal abuse, lower case.
 ABUSE = ("idiot moron stupid loser pathetic scum worthless trash clown disgusting imbecile jerk "
          "bastard filthy vermin retard ugly dumb fool garbage").split()
@@ -33,6 +32,8 @@ for _a, _b in (("0", "9"), ("A", "Z"), ("a", "z")):
 #: Symbols that are rare in prose.
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#$%&*+<=>@\\^_`{|}~"]] = True
+#: So many symbols, or capitals, say nothing, however short the text.
+FEW, SOME = 4, 24
 #: A word's first bytes are features too, so that forms of one stem count together.
 STEMS = (4, 5)
 _UPPER = np.zeros(256, bool)
@@ -100,7 +101,7 @@ def _statistics(buf: np.ndarray, off: np.ndarray):
     same = np.zeros(len(tokens), bool)
     same[1:] = (tokens[1:] == tokens[:-1]) & (doc[1:] == doc[:-1])
     stats = {"n": n, "run": np.bincount(doc[same], minlength=m) / some,
-             "symbols": sums[0] / np.maximum(np.diff(off), 1), "upper": sums[1] / np.maximum(sums[2], 1),
+             "symbols": np.maximum(sums[0] - FEW, 0) / np.maximum(np.diff(off), 1), "upper": np.maximum(sums[1] - SOME, 0) / np.maximum(sums[2], 1),
              "bars": np.bincount(doc[tokens == _hash_of(["|"])[0]], minlength=m) / some}
     distinct = np.zeros(m)
     terms, wat = _feature_words(low, off)
@@ -225,33 +226,68 @@ def fit_scorer(docs: DataFrame, weak: DataFrame):
             for i, j in pieces(off):
                 f, d = _features(*_statistics(buf[off[i]:off[j]], off[i:j + 1] - off[i]))
                 order = np.argsort(d, kind="stable")
-                ids += [x.astype(np.int64) for x in np.split(f[order], np.cumsum(np.bincount(d, minlength=j - i))[:-1])]
-            yield pa.RecordBatch.from_pydict({"rid": batch.column(0), "ids": pa.array(ids, pa.list_(pa.int64())), "p_bad": batch.column(2)})
+                ids += [x.view(np.int32) for x in np.split(f[order], np.cumsum(np.bincount(d, minlength=j - i))[:-1])]
+            yield pa.RecordBatch.from_pydict({"rid": batch.column(0), "ids": pa.array(ids, pa.list_(pa.int32())), "p_bad": batch.column(2)})
 
     rows = docs.select(F.col(RID).alias("rid"), "t").join(F.broadcast(sample), "rid").mapInArrow(
-        run, "rid long, ids array<long>, p_bad double")
-    rows = frozen(rows, "features")
-    used = rows.select(F.explode("ids").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("n")).where(
-        F.col("n") >= LEAST_ROWS).orderBy("f").select("f").collect()  # bounded by the sample
-    ids = np.array([r["f"] for r in used], np.int64)
-
-    @F.udf(VectorUDT())
-    def vector(fs):
-        f = np.unique(np.array(fs, np.int64))
-        at = np.searchsorted(ids, f)
-        at = at[(at < len(ids)) & (ids[np.minimum(at, len(ids) - 1)] == f)] if len(ids) else []
-        return Vectors.sparse(max(len(ids), 1), [int(a) for a in at], [1.0] * len(at))
-
-    n_bad, n = rows.agg(F.sum((F.col("p_bad") >= 0.5).cast("long")), F.count(F.lit(1))).first()
+        run, "rid long, ids array<int>, p_bad double")
+    n_bad, n = sample.agg(F.sum((F.col("p_bad") >= 0.5).cast("long")), F.count(F.lit(1))).first()
     even = F.when(F.col("p_bad") >= 0.5, n / (2 * n_bad)).otherwise(n / (2 * (n - n_bad)))  # both classes weigh alike
-    points = frozen(rows.select((F.col("p_bad") < 0.5).cast("double").alias("label"), (even * F.abs(2 * F.col("p_bad") - 1)).alias("weight"),
-                                vector("ids").alias("features")).repartition(4), "points").cache()
-    model = LogisticRegression(regParam=LASSO, elasticNetParam=1.0, maxIter=100, weightCol="weight",
-                               standardization=False).fit(points)
-    points.unpersist()
-    w = model.coefficients.toArray()[:len(ids)]
+    rows = frozen(rows.select((F.col("p_bad") < 0.5).cast("double").alias("good"),
+                              (even * F.abs(2 * F.col("p_bad") - 1)).alias("weight"), "ids"), "features")
+
+    def train(batches):  # at most 2 * SAMPLE rows
+        good, weight, ids, counts = [], [], [], []
+        for batch in batches:
+            good.append(batch.column(0).to_numpy())
+            weight.append(batch.column(1).to_numpy())
+            counts.append(np.diff(np.frombuffer(batch.column(2).buffers()[1], np.int32)[
+                batch.column(2).offset:batch.column(2).offset + len(batch) + 1]))
+            ids.append(batch.column(2).flatten().to_numpy(zero_copy_only=False).view(np.uint32))
+        if good:
+            flat, ids = np.concatenate(ids), None
+            names, weights, bias = fit_sparse(flat, np.concatenate(counts), np.concatenate(good), np.concatenate(weight))
+            yield pa.RecordBatch.from_pydict({"f": pa.array(np.append(names.astype(np.int64), -1)),
+                                              "w": pa.array(np.append(weights, bias))})
+
+    model = rows.repartition(1).mapInArrow(train, "f long, w double").toPandas()
+    f, w = model["f"].to_numpy(np.int64), model["w"].to_numpy(np.float64)
+    bias, order = float(w[f == -1][0]), np.argsort(f)
+    order = order[f[order] >= 0]
+    return f[order].astype(np.uint32), w[order], bias
+
+
+def fit_sparse(flat: np.ndarray, counts: np.ndarray, good: np.ndarray, weight: np.ndarray):
+    """Logistic regression on sets of feature ids (``flat``, ``counts`` per row) with a lasso:
+    (ids, weights, bias) of the features that it keeps. Online, coordinate by coordinate with
+    falling step sizes (follow the regularised leader), over the rows in a fixed random order."""
+    used, times = np.unique(flat, return_counts=True)
+    used = used[times >= max(LEAST_ROWS, len(counts) * LEAST_SHARE)]
+    ends = np.cumsum(counts)
+    rows = []
+    for a, b in zip((ends - counts).tolist(), ends.tolist()):
+        ids = np.unique(flat[a:b])
+        x = np.searchsorted(used, ids)
+        ids, x = ids[x < len(used)], x[x < len(used)]
+        rows.append(x[used[x] == ids].astype(np.int32))
+    z, squares = np.zeros(len(used)), np.zeros(len(used))
+    bias, bias_squares = 0.0, 0.0
+    order = np.random.default_rng(1)
+    for _ in range(EPOCHS):
+        for r in order.permutation(len(rows)):
+            x = rows[r]
+            zx, nx = z[x], squares[x]
+            w = np.where(np.abs(zx) <= LASSO, 0.0, (np.sign(zx) * LASSO - zx) / ((1 + np.sqrt(nx)) / STEP + RIDGE))
+            p = 1 / (1 + np.exp(-min(max(w.sum() + bias, -30.0), 30.0)))
+            g = (p - good[r]) * weight[r]
+            move = (np.sqrt(nx + g * g) - np.sqrt(nx)) / STEP
+            z[x] = zx + g - move * w
+            squares[x] = nx + g * g
+            bias_squares += g * g
+            bias -= STEP * g / (1 + bias_squares ** 0.5)
+    w = np.where(np.abs(z) <= LASSO, 0.0, (np.sign(z) * LASSO - z) / ((1 + np.sqrt(squares)) / STEP + RIDGE))
     keep = w != 0
-    return ids[keep].astype(np.uint32), w[keep], float(model.intercept)
+    return used[keep], w[keep], bias
 
 
 def _scores(buf: np.ndarray, off: np.ndarray, scorer) -> np.ndarray:
