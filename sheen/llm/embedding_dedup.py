@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from statistics import NormalDist
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,26 +16,31 @@ from sheen.llm.hashing import text_buffer
 
 #: Independent codes.
 CODES = 8
-#: Words of the code of each half; a code has WORDS * WORDS filter directions.
-WORDS = 2000
-#: A vector passes the filters whose direction, a standard normal vector, has at least this
-#: inner product with it. A random vector passes a filter with chance 3.4e-6, so with more than
-#: some 100,000 vectors a higher cap and more words keep the filters' lists as short.
-CAP = 4.5
+#: Filters that a vector passes, on average, and other random vectors that pass one of them with
+#: it. With the number of vectors they fix the cap and the size of the codes: see ``settings``.
+FILTERS, SHARED = 113, 0.17
 SEED = 20
 #: Rows of a block when the vectors of a component are compared.
 BLOCK = 2048
 
 
-def code(dim: int, seed: int, n_words: int | None = None):
-    """A random rotation and the normal code words of both halves."""
+def settings(n_vectors: int) -> tuple[float, int]:
+    """(cap, words): a vector passes a filter whose direction, a standard normal vector, has at
+    least the inner product ``cap`` with it; a code has words * words directions, a word for each
+    half. The more vectors, the higher the cap: a filter's list stays as short, so candidates
+    grow with the number of vectors, and a vector's decoding with its square root."""
+    chance = SHARED / max(n_vectors, 1000)
+    return NormalDist().inv_cdf(1 - chance), math.ceil(math.sqrt(FILTERS / (CODES * chance)))
+
+
+def code(dim: int, seed: int, n: int):
+    """A random rotation and the ``n`` normal code words of both halves."""
     rng = np.random.default_rng([SEED, dim, seed])
     turn = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
-    n = n_words or WORDS
     return turn, rng.standard_normal((n, dim - dim // 2)), rng.standard_normal((n, dim // 2))
 
 
-def decode_list(unit: np.ndarray, turn, first, second, cap: float = CAP):
+def decode_list(unit: np.ndarray, turn, first, second, cap: float):
     """(row, i, j): all filters (i, j) of the code whose direction, the code words i and j one
     after the other, has an inner product of at least ``cap`` with the row. Only words that
     reach the cap with the best word of the other half are combined."""
@@ -50,8 +58,10 @@ def decode_list(unit: np.ndarray, turn, first, second, cap: float = CAP):
     return np.concatenate(rows), np.concatenate(left), np.concatenate(right)
 
 
-def _filters(vectors: DataFrame) -> DataFrame:
+def _filters(vectors: DataFrame, n_vectors: int) -> DataFrame:
     """(key, rid) for every filter that a vector passes; keys differ by dimension and code."""
+    cap, words = settings(n_vectors)
+
     def run(batches):
         codes = {}
         for batch in batches:
@@ -65,10 +75,10 @@ def _filters(vectors: DataFrame) -> DataFrame:
                     x = np.stack([np.frombuffer(buf[off[r]:off[r + 1]].tobytes(), np.float64) for r in rows])
                     for c in range(CODES):
                         if (d, c) not in codes:
-                            codes[d, c] = code(d, c)
-                        k, i, j = decode_list(x, *codes[d, c])
+                            codes[d, c] = code(d, c, words)
+                        k, i, j = decode_list(x, *codes[d, c], cap)
                         yield pa.RecordBatch.from_pydict({
-                            "key": pa.array(((d * CODES + c) * WORDS + i) * WORDS + j), "rid": pa.array(rid[rows[k]])})
+                            "key": pa.array(((d * CODES + c) * words + i) * words + j), "rid": pa.array(rid[rows[k]])})
 
     return vectors.mapInArrow(run, "key long, rid long")
 
@@ -148,7 +158,7 @@ def embedding_dedup(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     member = frozen(good.select("rid", "f1", "f2").join(classes, ["f1", "f2"]).select("rid", "rep", "m"), "members")
     reps = classes.select(F.col("rep").alias("rid"), "m")
     units = frozen(_units(good.select("rid", "v").join(reps, "rid", "left_semi").repartition(parts)), "units")
-    stars = frozen(star_rows(_filters(units), parts), "stars")
+    stars = frozen(star_rows(_filters(units, classes.count()), parts), "stars")
     links = frozen(_linked(star_pairs(stars), units, cosine), "links")
     sketches = units.withColumnRenamed("unit", "sketch")
     more = across_pairs(stars, components(links), sketches, objects, lambda one, many: _near(one, many, cosine), parts)
