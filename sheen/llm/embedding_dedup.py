@@ -16,10 +16,17 @@ from sheen.llm.hashing import text_buffer
 
 #: Independent codes.
 CODES = 8
-#: Filters that a vector passes, on average, and other random vectors that pass one of them with
-#: it. With the number of vectors they fix the cap and the size of the codes: see ``settings``.
-FILTERS, SHARED = 113, 0.17
+#: Filters that a vector passes, on average, up to ``FEW`` vectors, and other random vectors that
+#: pass one of them with it. With the number of vectors they fix the cap and the size of the
+#: codes: see ``settings``.
+FILTERS, SHARED, FEW = 113, 0.17, 10_000
+#: The higher the cap, the fewer of its filters a vector shares with one at cosine 0.9. Filters
+#: grow with this power of the number of vectors, which holds the chance of sharing none below
+#: 1e-3 at every size (README, "Near copies").
+GROWTH = 0.1
 SEED = 20
+#: Products of rows and code words that are held at a time.
+PRODUCTS = 4_000_000
 #: Rows of a block when the vectors of a component are compared.
 BLOCK = 2048
 
@@ -28,9 +35,10 @@ def settings(n_vectors: int) -> tuple[float, int]:
     """(cap, words): a vector passes a filter whose direction, a standard normal vector, has at
     least the inner product ``cap`` with it; a code has words * words directions, a word for each
     half. The more vectors, the higher the cap: a filter's list stays as short, so candidates
-    grow with the number of vectors, and a vector's decoding with its square root."""
+    grow with the number of vectors and of filters, and a vector's decoding with the words."""
     chance = SHARED / max(n_vectors, 1000)
-    return NormalDist().inv_cdf(1 - chance), math.ceil(math.sqrt(FILTERS / (CODES * chance)))
+    filters = FILTERS * max(1.0, n_vectors / FEW) ** GROWTH
+    return NormalDist().inv_cdf(1 - chance), math.ceil(math.sqrt(filters / (CODES * chance)))
 
 
 def code(dim: int, seed: int, n: int):
@@ -61,6 +69,7 @@ def decode_list(unit: np.ndarray, turn, first, second, cap: float):
 def _filters(vectors: DataFrame, n_vectors: int) -> DataFrame:
     """(key, rid) for every filter that a vector passes; keys differ by dimension and code."""
     cap, words = settings(n_vectors)
+    step = max(1, min(512, PRODUCTS // words))
 
     def run(batches):
         codes = {}
@@ -70,8 +79,8 @@ def _filters(vectors: DataFrame, n_vectors: int) -> DataFrame:
             dims = np.diff(off) // 8
             for d in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == d)
-                for s in range(0, len(at), 512):
-                    rows = at[s:s + 512]
+                for s in range(0, len(at), step):
+                    rows = at[s:s + step]
                     x = np.stack([np.frombuffer(buf[off[r]:off[r + 1]].tobytes(), np.float64) for r in rows])
                     for c in range(CODES):
                         if (d, c) not in codes:

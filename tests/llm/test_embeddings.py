@@ -83,6 +83,24 @@ def test_recall_at_the_threshold(n):
     assert found.mean() >= .99
 
 
+@pytest.mark.parametrize("n", [10_000, 1_000_000, 10_000_000])
+def test_chance_of_sharing_no_filter(n):
+    """Codes are independent, so a pair's chance is the product of those of the codes."""
+    rng = np.random.default_rng(4)
+    u = rng.standard_normal((1000, 64))
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    v = np.stack([near(rng, x, .9) for x in u])
+    cap, size = E.settings(n)
+    chance = 1.0
+    for c in range(E.CODES):
+        words, found = E.code(64, c, size), np.zeros(len(u), bool)
+        for s in range(0, len(u), 100):
+            (k, i, j), (m, p, q) = (E.decode_list(x[s:s + 100], *words, cap) for x in (u, v))
+            found[s + k[np.isin((k * size + i) * size + j, (m * size + p) * size + q)]] = True
+        chance *= 1 - found.mean()
+    assert chance <= 1e-3
+
+
 def test_odd_tables(spark):
     assert E.embedding_dedup(table_of(spark, [])).count() == 0
     v = [1.0, 2.0, 3.0]
