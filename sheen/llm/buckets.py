@@ -3,7 +3,8 @@
 Both near-dup operators give every row some table keys and must test the pairs that share
 one. A key's rows each form a pair with its first row only, so a key that very many rows share
 gives as many pairs, not their square. Within a group of rows, two blocks at a time are compared
-in one task, and only what follows for the rows leaves it, no pairs.
+in one task, and only what follows for the rows leaves it, no pairs. The rows of a key that are
+in different components are compared as blocks too, and their near pairs leave the task.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from sheen.llm.common import frozen
 
@@ -67,34 +69,57 @@ def group_ranges(key: np.ndarray):
     return zip([0, *cut], [*cut, len(key)])
 
 
+def dealt_across(members: DataFrame, block: int) -> DataFrame:
+    """(group, key, p, q, block, rid, comp) of keys' rows (key, rid, comp): the rows of each key
+    that holds several components are dealt over blocks of about ``block`` rows, and a row goes
+    to each pair (p, q) of its block and another of its key. A component with at least ``block``
+    rows of a key has blocks of its own there, which are not paired with each other; the rest of
+    the key shares blocks, each paired with itself too. So a key that very many rows share is
+    dealt over many tasks, and rows of one large component are not compared among themselves."""
+    sizes = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
+    big = F.col("m") >= block
+    keys = sizes.groupBy("key").agg(
+        F.count(F.lit(1)).alias("comps"),
+        F.ceil(F.coalesce(F.sum(F.when(~big, F.col("m"))), F.lit(0)) / block).cast("long").alias("shared"),
+        F.coalesce(F.sum(F.when(big, F.ceil(F.col("m") / block))), F.lit(0)).cast("long").alias("whole"),
+    ).where("comps > 1").select("key", "shared", (F.col("shared") + F.col("whole")).alias("blocks"))
+    w = Window.partitionBy("key").orderBy("comp").rowsBetween(Window.unboundedPreceding, -1)
+    own = (sizes.where(big).withColumn("own", F.ceil(F.col("m") / block).cast("long"))
+           .select("key", "comp", "own", F.coalesce(F.sum("own").over(w), F.lit(0)).alias("before")))
+    rows = members.join(keys, "key").join(own, ["key", "comp"], "left")
+    first = F.when(F.col("own").isNull(), F.lit(0)).otherwise(F.col("shared") + F.col("before"))
+    rows = rows.withColumn("block", first + F.pmod(F.xxhash64("rid"), F.coalesce("own", "shared")))
+    others = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    others = F.when(F.col("own").isNull(), others).otherwise(
+        F.filter(others, lambda b: (b < F.col("shared") + F.col("before")) | (b >= F.col("shared") + F.col("before") + F.col("own"))))
+    rows = rows.withColumn("other", F.explode(others))
+    p, q = F.least("block", "other"), F.greatest("block", "other")
+    return rows.select(F.xxhash64("key", p, q).alias("group"), "key", p.alias("p"), q.alias("q"), "block", "rid", "comp")
+
+
 def across_pairs(stars: DataFrame, comps: DataFrame, sketches: DataFrame, decode: Callable, near: Callable,
-                 partitions: int) -> DataFrame:
+                 partitions: int, block: int) -> DataFrame:
     """Distinct pairs (a, b) that share a key, whose rows are in different components, and
     whose ``sketches`` (rid, sketch) are near; not those with the key's first row, which the
-    first round has tested. ``decode`` reads a column of sketches as a matrix, and
-    ``near(one, many)`` compares one to the rows of a matrix."""
-    members = stars.select("key", "rid").union(stars.select("key", F.col("centre").alias("rid")).distinct())
-    members = members.join(comps.withColumnRenamed("id", "rid"), "rid", "left").select(
+    first round has tested. A key's rows are compared as blocks: see ``dealt_across``.
+    ``decode`` reads a column of sketches as an array, and ``near(x, y)`` is the matrix of
+    those of two arrays that are near."""
+    members = stars.select("key", "rid").join(comps.withColumnRenamed("id", "rid"), "rid", "left").select(
         "key", "rid", F.coalesce("component", "rid").alias("comp"))
-    members = frozen(members, "members")
-    apart = members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
-                                       F.count(F.lit(1)).alias("m")).where("x <> y and m > 2").select("key")
-    rows = members.join(apart, "key", "left_semi").join(sketches, "rid")
-
-    def columns(batch):
-        return [*(batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)), decode(batch.column(3))]
+    rows = dealt_across(frozen(members, "members"), block).join(sketches, "rid")
 
     def run(batches):
-        for key, rid, comp, s in whole_groups(batches, columns):
-            for a, b in group_ranges(key):
-                for i in range(a + 1, b - 1):
-                    j = i + 1 + np.flatnonzero(comp[i + 1:b] != comp[i])
-                    j = j[near(s[i], s[j])] if len(j) else j
-                    if len(j):
-                        yield pa.RecordBatch.from_pydict({"a": pa.array(np.full(len(j), rid[i])), "b": pa.array(rid[j])})
-
-    return (rows.select("key", "rid", "comp", "sketch").repartition(partitions, "key")
-            .sortWithinPartitions("key", "rid").mapInArrow(run, "a long, b long").distinct())
+        for left, right, (rid, comp, s) in block_pairs(
+                batches, lambda b: [b.column(6).to_numpy(zero_copy_only=False), decode(b.column(7))]):
+            apart = comp[left][:, None] != comp[right]
+            if not apart.any():
+                continue
+            i, j = np.nonzero(apart & near(s[left], s[right]))
+            a, b = rid[left[i]], rid[right[j]]
+            yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+    return (rows.select("group", "key", "p", "q", "block", "rid", "comp", "sketch").repartition(partitions, "group")
+            .sortWithinPartitions("group").mapInArrow(run, "a long, b long").distinct())
 
 
 def objects(column) -> np.ndarray:

@@ -27,7 +27,7 @@ GROWTH = 0.1
 SEED = 20
 #: Products of rows and code words that are held at a time.
 PRODUCTS = 4_000_000
-#: Rows of a block when the vectors of a component are compared.
+#: Rows of a block when the vectors of a component, or of a filter, are compared.
 BLOCK = 2048
 
 
@@ -170,7 +170,7 @@ def embedding_dedup(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     stars = frozen(star_rows(_filters(units, classes.count()), parts), "stars")
     links = frozen(_linked(star_pairs(stars), units, cosine), "links")
     sketches = units.withColumnRenamed("unit", "sketch")
-    more = across_pairs(stars, components(links), sketches, objects, lambda one, many: _near(one, many, cosine), parts)
+    more = across_pairs(stars, components(links), sketches, objects, lambda x, y: _near(x, y, cosine), parts, BLOCK)
     links = links.union(frozen(_linked(more, units, cosine), "links"))
     comps = frozen(components(links), "components")
     counts = frozen(_link_counts(comps, units, reps, cosine, parts), "counts")
@@ -185,6 +185,7 @@ def embedding_dedup(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
         (F.coalesce("component", "rid") == F.col("rid")).alias("kept"))
 
 
-def _near(one, many, cosine):
-    x = np.frombuffer(one)
-    return np.array([len(u) == len(one) and float(np.frombuffer(u) @ x) >= cosine for u in many], bool)
+def _near(x, y, cosine):
+    """Which of two arrays of unit vectors of one length are near, but for rounding; the pairs
+    are verified."""
+    return np.stack([np.frombuffer(u) for u in x]) @ np.stack([np.frombuffer(u) for u in y]).T >= cosine - 1e-9

@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pytest
 
+from sheen.llm import buckets as B
 from sheen.llm import embedding_dedup as E
 
 TABLE = "vec_id long, embedding array<float>, label int, rid long, unit string"
@@ -101,6 +102,33 @@ def test_chance_of_sharing_no_filter(n):
     assert chance <= 1e-3
 
 
+def test_a_hot_filter_is_dealt_in_blocks(spark):
+    """A filter that nearly all rows share, strays among them, is compared in blocks of bounded
+    size: each pair of different components meets, and those of a large one do not."""
+    comp = {r: 1 for r in range(1, 301)} | {r: 301 + r % 3 for r in range(301, 340)} | {r: r for r in range(340, 350)}
+    members = [(7, r, c) for r, c in comp.items()] + [(8, r, 1) for r in range(1, 100)] + [(9, 1, 1), (9, 345, 345)]
+    dealt = B.dealt_across(spark.createDataFrame(members, "key long, rid long, comp long"), 20).collect()
+    groups = {}
+    for r in dealt:
+        groups.setdefault((r.key, r.p, r.q), []).append(r)
+    assert max(len(g) for g in groups.values()) < 2 * 40 and {k for k, _, _ in groups} == {7, 9}
+    met = {(k, *sorted((x.rid, y.rid))) for (k, p, q), g in groups.items()
+           for x in g for y in g if x.block == p and y.block == q and x.comp != y.comp}
+    assert met == {(k, a, b) for k, a, c in members for m, b, d in members if k == m and a < b and c != d}
+    assert len(dealt) < 300 * 10 + 49 * 30
+
+    stars = spark.createDataFrame([(k, r, 0) for k, r, _ in members], "key long, rid long, centre long")
+    comps = spark.createDataFrame([x for x in comp.items() if x[0] < 340], "id long, component long")
+    sketches = spark.createDataFrame([(r, b"x") for r in comp], "rid long, sketch binary")
+
+    def near(x, y):
+        assert len(x) < 40 and len(y) < 40
+        return np.ones((len(x), len(y)), bool)
+
+    got = [(r.a, r.b) for r in B.across_pairs(stars, comps, sketches, B.objects, near, 4, 20).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(a, b) for _, a, b in met}
+
+
 def test_odd_tables(spark):
     assert E.embedding_dedup(table_of(spark, [])).count() == 0
     v = [1.0, 2.0, 3.0]
