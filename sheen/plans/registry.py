@@ -464,6 +464,17 @@ def q_cosine_top_k(spark, sf):
     return FA.cosine_top_k(s, 10, key="vec_id").withColumn("score", F.round("score", 9))
 
 
+def cosine_due_fx(spark, sf) -> DataFrame:
+    """Every row whose id is divisible by 20, a share that grows with the table."""
+    return table(spark, sf, "embeddings").where(F.col("vec_id") % 20 == 0).select("vec_id")
+
+
+@query("cosine_top_k_due")
+def q_cosine_top_k_due(spark, sf):
+    s = FA.cosine_nearest(unit_embeddings_fx(spark, sf), cosine_due_fx(spark, sf), 10, key="vec_id")
+    return s.select("req_id", "vec_id", F.round("score", 9).alias("score"), "rank")
+
+
 # ----------------------------------------------------------------------------- §2.7 collaborative filtering
 from sheen.operators import collab as CO  # noqa: E402
 

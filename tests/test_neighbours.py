@@ -6,9 +6,11 @@ import random
 from pyspark.sql import functions as F
 
 from sheen.functions.constants import TRAIT_DOMAINS, TRAITS
+from sheen.operators import factors as FA
 from sheen.operators import features as FE
 from sheen.operators import ingredients as I
 from sheen.operators.relational import dense_index
+from sheen.plans import registry as R
 
 
 def lev(a, b):
@@ -93,3 +95,23 @@ def test_similar_products_brute_force(spark):
             d.append((dd, b[0]))
         want = [(i + 1, pid) for i, (_, pid) in enumerate(sorted(d)[:10])]
         assert sorted(got[req]) == want
+
+
+def test_cosine_top_k_of_every_due_query(spark, sf):
+    """Every id divisible by 20 gets the rows that the cross join of scores gives it."""
+    unit = R.unit_embeddings_fx(spark, sf)
+    due = sorted(r.vec_id for r in unit.collect() if r.vec_id % 20 == 0)
+    got = R.QUERIES["cosine_top_k_due"](spark, sf).collect()
+    queries = unit.where("vec_id % 20 = 0").select(F.col("vec_id").alias("req_id"), "vec_id")
+    want = FA.cosine_top_k(FA.cosine_scores(unit, queries, key="vec_id"), 10, key="vec_id")
+    want = want.withColumn("score", F.round("score", 9)).select("req_id", "vec_id", "score", "rank").collect()
+    assert len(due) > 10 and sorted({r.req_id for r in got}) == due
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_cosine_nearest_ties_and_odd_vectors(spark):
+    rows = [(i, [1.0, 0.0] if i % 2 else [0.6, 0.8]) for i in range(1, 1300)] + [(5000, None), (5001, [1.0]), (5002, [float("nan"), 1.0])]
+    unit = spark.createDataFrame(rows, "pro_ids long, vec array<double>").repartition(3)
+    got = FA.cosine_nearest(unit, spark.createDataFrame([(20,), (21,), (5001,)], "pro_ids long"), 3).collect()
+    assert sorted((r.req_id, r["rank"], r.pro_ids) for r in got) == [
+        (20, 1, 2), (20, 2, 4), (20, 3, 6), (21, 1, 1), (21, 2, 3), (21, 3, 5)]
