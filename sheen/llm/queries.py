@@ -8,13 +8,16 @@ from sheen.llm.chat import digests, format_chats
 from sheen.llm.common import documents
 from sheen.llm.embedding_dedup import embedding_dedup
 from sheen.llm.exact_dedup import exact_dedup
+from sheen.llm.language_id import held_out, languages
 from sheen.llm.minhash import near_dedup
 from sheen.llm.mixing import mix
+from sheen.llm.periodic_runs import periodic_runs, run_digests, with_planted_periods
 from sheen.llm.pieces import encode
 from sheen.llm.quality import quality_scores
 from sheen.llm.secrets import secret_digests
 from sheen.llm.substring_dedup import substring_dedup
 from sheen.llm.suffix_dedup import suffix_dedup
+from sheen.llm.whitening import component_rows, whiten
 from sheen.session import table
 
 WS = r"[\x20\x09-\x0D]"
@@ -78,9 +81,29 @@ def op10_substring_dedup(spark, sf_dir):
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_whitening(spark, sf_dir):
+    """All usable vectors along the 16 leading components of the distinct ones."""
+    return component_rows(whiten(table(spark, sf_dir, "embeddings"))).select(
+        "vec_id", "component", "n", F.expr("try_cast(deviation as bigint)").alias("deviation"), "whitened", "explained",
+        "identity_error")
+
+
+def op12_periodic_runs(spark, sf_dir):
+    """The periodic runs of all documents, a tenth of which are made periodic first."""
+    return run_digests(periodic_runs(with_planted_periods(documents(spark, sf_dir))))
+
+
+def op13_language_id(spark, sf_dir):
+    """The language of all documents, learned from four fifths of them."""
+    docs, out = documents(spark, sf_dir), held_out(F.col("doc_id"))
+    return languages(docs, learn=~out & F.col("doc_id").isNotNull()).select(
+        "doc_id", out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_suffix_dedup, op3_minhash_dedup, op4_exact_dedup, op5_quality, op6_sentencepiece,
-    op7_embedding_dedup, op8_chat_format, op9_secret_scan, op10_substring_dedup)}
+    op7_embedding_dedup, op8_chat_format, op9_secret_scan, op10_substring_dedup, op11_whitening,
+    op12_periodic_runs, op13_language_id)}
 
 SQL = {
     "op1_mix_sources": r"""

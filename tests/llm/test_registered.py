@@ -12,7 +12,7 @@ from sheen.llm import queries
 
 def test_all_are_registered():
     names = E.queries()
-    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11))
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14))
     assert "pipeline" in names and set(E.oracle_sql()) <= set(names)
 
 
