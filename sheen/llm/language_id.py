@@ -114,7 +114,7 @@ def _sample(labelled: DataFrame) -> DataFrame:
     """At most ``SAMPLE`` rows (lang, t) of each language, by hash. A language's share of about
     three times as many is taken first, so that its window is bounded however many rows it has."""
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    h = F.xxhash64(F.col("id").cast("string"), "t")
+    h = F.xxhash64(F.col("id").cast("string"), "raw")  # of the text as it is: letters() runs for few rows
     part = F.pmod(h, F.lit(1 << 31)) / float(1 << 31)
     few = (labelled.join(F.broadcast(sizes), "lang").where(part < F.lit(3.0 * SAMPLE) / F.col("n"))
            .select("lang", "t", h.alias("h")))
@@ -146,7 +146,7 @@ def cluster(x: np.ndarray, k: int = CENTROIDS, passes: int = PASSES) -> tuple[np
 
 
 def fit_centroids(labelled: DataFrame):
-    """(languages, centroids, least cosines, idf) from rows (id, lang, t) with letters, or None.
+    """(languages, centroids, least cosines, idf) from rows (id, lang, raw, t) with letters, or None.
 
     Of each language at most ``SAMPLE`` rows are clustered, in one task; document frequencies
     are those of all rows. The driver gets ``CENTROIDS`` * ``BUCKETS`` numbers a language.
@@ -203,8 +203,8 @@ def languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     learn = F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))
     some = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     rows = docs.select(F.col(key).alias("id"), F.col(lang).cast("string").alias("lang"), learn.alias("learn"), some.alias("some"),
-                       letters(F.col(text)).alias("t"))
-    model = fit_centroids(rows.where("learn and some and lang is not null").select("id", "lang", "t"))
+                       F.col(text).alias("raw"), letters(F.col(text)).alias("t"))
+    model = fit_centroids(rows.where("learn and some and lang is not null").select("id", "lang", "raw", "t"))
     if model is None:
         return rows.select(F.col("id").alias(key), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
                            F.lit(True).alias("rejected"))
