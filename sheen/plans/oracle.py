@@ -136,6 +136,7 @@ SQL["product_options"] = with_fx(["catalog_fx"]) + (
 
 # ----------------------------------------------------------------------------- §2.5
 from sheen.functions.text import INGREDIENT_SPLIT_RE  # noqa: E402
+from sheen.operators.ingredients import EDITS, PER_EDIT  # noqa: E402
 
 _SPLIT = f"regexp_split_to_array(lower(coalesce(ingredients, '')), {lit(INGREDIENT_SPLIT_RE)})"
 _STRIPPED = f"list_filter(list_transform({_SPLIT}, lambda t: {strip('lower(t)')}), lambda t: t <> '')"
@@ -183,11 +184,22 @@ SQL["token_vocabulary"] = tok_sql("SELECT token, first_pro_ids, first_pos, token
 # in the documents are mapped to single control bytes first, so it counts characters.
 _WIDE = "éóèñçüêäößí"
 _NARROW = " || ".join(f"chr({i})" for i in [1, 2, 3, 4, 5, 6, 7, 8, 11, 12, 14])
-SQL["token_edit_distance"] = tok_sql(f"""SELECT a.token AS token_a, b.token AS token_b,
-       CAST(levenshtein(a.bt, b.bt) AS INTEGER) AS dist, -CAST(levenshtein(a.bt, b.bt) AS INTEGER) AS similarity
-FROM v a JOIN v b ON a.token < b.token AND b.n BETWEEN a.n - 2 AND a.n + 2
-WHERE levenshtein(a.bt, b.bt) <= 2""", [VOCAB_CTE, f"""v AS (
-  SELECT token, translate(token, '{_WIDE}', {_NARROW}) AS bt, length(token) AS n FROM vocab)"""])
+# Two-letter sequences as 480 bits, an edit changing at most four, rule most pairs out before
+# the brute-force distance; lengths meet by equality.
+_WORDS = range(8)
+_SKETCH = ", ".join(f"bit_xor(CASE WHEN g // 60 = {j} THEN (CAST(1 AS BIGINT) << (g % 60)) ELSE 0 END) AS s{j}" for j in _WORDS)
+_DIFFER = " + ".join(f"bit_count(xor(a.s{j}, b.s{j}))" for j in _WORDS)
+SQL["token_edit_distance"] = tok_sql(f"""SELECT token_a, token_b, dist, -dist AS similarity FROM (
+  SELECT least(a.token, b.token) AS token_a, greatest(a.token, b.token) AS token_b, b.k,
+         CAST(levenshtein(a.bt, b.bt) AS INTEGER) AS dist
+  FROM v a JOIN (SELECT *, unnest(range(n - k, n + 1)) AS m FROM v) b ON a.n = b.m
+  WHERE (b.n > a.n OR a.token < b.token) AND {_DIFFER} <= 4 * b.k) WHERE dist <= k""", [VOCAB_CTE, f"""w AS (
+  SELECT token, translate(token, '{_WIDE}', {_NARROW}) AS bt, length(token) AS n,
+         greatest({EDITS}, length(token) // {PER_EDIT}) AS k FROM vocab)""", f"""sketch AS (
+  SELECT token, {_SKETCH} FROM (
+    SELECT token, (ascii(substr(bt, p, 1)) * 31 + ascii(substr(bt, p + 1, 1))) % 480 AS g
+    FROM (SELECT token, bt, unnest(range(1, n)) AS p FROM w)) GROUP BY token)""", """v AS MATERIALIZED (
+  SELECT * FROM w JOIN sketch USING (token))"""])
 SQL["group_lookup"] = tok_sql(
     'SELECT t.token, t.pro_ids, g."group" FROM (SELECT pro_ids, unnest(tokens) AS token FROM toks) t '
     "JOIN groups g USING (token)", [VOCAB_CTE, GROUPS_CTE])

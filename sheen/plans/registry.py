@@ -300,7 +300,7 @@ def q_token_vocabulary(spark, sf):
 
 @query("token_edit_distance")
 def q_token_edit_distance(spark, sf):
-    pairs = I.edit_distance_pairs(tokens_only_fx(spark, sf), max_dist=2)
+    pairs = I.edit_distance_pairs(tokens_only_fx(spark, sf))
     return pairs.withColumn("similarity", -F.col("dist"))
 
 

@@ -25,7 +25,7 @@ def lev(a, b):
 
 def test_edit_distance_examples(spark):
     v = spark.createDataFrame([("retinol",), ("retinal",), ("titanium dioxide",)], "token string")
-    got = {(r.token_a, r.token_b): r.dist for r in I.edit_distance_pairs(v, max_dist=13).collect()}
+    got = {(r.token_a, r.token_b): r.dist for r in I.edit_distance_pairs(v, 13, None).collect()}
     assert got[("retinal", "retinol")] == 1
     assert got[("retinol", "titanium dioxide")] == lev("retinol", "titanium dioxide") == 13
 
@@ -33,13 +33,37 @@ def test_edit_distance_examples(spark):
 def test_edit_distance_is_exact(spark):
     rnd = random.Random(7)
     words = sorted({"".join(rnd.choice("abcé") for _ in range(rnd.randint(1, 9))) for _ in range(300)})
-    v = spark.createDataFrame([(w,) for w in words], "token string")
-    for k in (1, 2, 3):
-        got = {(r.token_a, r.token_b): r.dist for r in I.edit_distance_pairs(v, max_dist=k).collect()}
-        want = {(a, b): lev(a, b) for a, b in itertools.combinations(words, 2) if lev(a, b) <= k}
+    v = spark.createDataFrame([(w,) for w in words] + [(None,)], "token string")
+    for k, per in ((1, None), (2, None), (3, None), (1, 3)):
+        got = {(r.token_a, r.token_b): r.dist for r in I.edit_distance_pairs(v, k, per).collect()}
+        want = {(a, b): d for a, b in itertools.combinations(words, 2)
+                if (d := lev(a, b)) <= max(k, max(len(a), len(b)) // (per or 99))}
         assert got == want
 
 
+def test_edit_bound_follows_the_length(spark, monkeypatch):
+    """Long tokens, on both sides of the length where the lookup changes, and hot keys split."""
+    rnd = random.Random(5)
+    words = set()
+    for _ in range(25):
+        base = [rnd.choice(["tion", "eth", "an ", "o", "acid "]) for _ in range(rnd.randint(2, 45))]
+        for _ in range(4):
+            w = list("".join(base))
+            for _ in range(rnd.randint(0, len(w) // 6)):
+                at = rnd.randrange(len(w))
+                w[at:at + rnd.randint(0, 1)] = rnd.choice(["x", "", "on"])
+            words.add("".join(w))
+    words = sorted(w for w in words if w)
+    v = spark.createDataFrame([(w,) for w in words], "token string")
+    monkeypatch.setattr(I, "HOT_KEY", 5)
+    want = {(a, b): d for a, b in itertools.combinations(words, 2) if (d := lev(a, b)) <= max(2, max(len(a), len(b)) // 8)}
+    assert any(d > 6 for d in want.values())
+    for most in (100_000, 0):
+        monkeypatch.setattr(I, "SPLIT_KEYS", most)
+        rows = I.edit_distance_pairs(v).collect()
+        assert {(r.token_a, r.token_b): r.dist for r in rows} == want and len(rows) == len(want)
+
+
 def test_dense_index_is_a_bijection(spark):
     df = spark.range(0, 5000).select(F.concat(F.lit("u"), (F.col("id") * 7919 % 5000).cast("string"))
                                      .alias("users"))
