@@ -819,16 +819,13 @@ from sheen.operators import affinity as AF  # noqa: E402
 
 def ap_groups_fx(spark, sf, **kw) -> DataFrame:
     vocab = vocab_fx(spark, sf)
-    pairs = I.edit_distance_pairs(vocab, max_dist=2)
-    return AF.token_groups(vocab, pairs, **kw)
+    return AF.token_groups(vocab, I.edit_distance_pairs(vocab), **kw)
 
 
 @query("token_groups")
 def q_token_groups(spark, sf):
-    """With the number of rounds, and whether the exemplars had settled by then."""
-    report = {}
-    groups = ap_groups_fx(spark, sf, report=report)
-    return groups.withColumns({"iterations": F.lit(report["iterations"]), "converged": F.lit(report["converged"])})
+    """With the number of rounds of the token's component, and whether its exemplars had settled by then."""
+    return ap_groups_fx(spark, sf)
 
 
 @query("recommend")
