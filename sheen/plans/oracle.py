@@ -459,8 +459,9 @@ SQL["save_clean"] = clean_sql("SELECT pro_ids, users, lipies, dates, " + ", ".jo
 SQL["ratings_marts"] = clean_sql("SELECT pro_ids, lipies, uid FROM clean_fx JOIN uid_fx USING (users)",
                                  [UID_CTE])
 SQL["load_artifacts"] = SQL["recommend_sql"]
-SQL["save_artifacts"] = feat_sql(
-    "SELECT 'catalog' AS artifact, count(*) AS n_rows FROM catalog_fx UNION ALL "
-    "SELECT 'features', count(*) FROM feat UNION ALL "
-    "SELECT 'recs', count(*) FROM recs_fx UNION ALL "
-    "SELECT 'traits', count(*) FROM traits_fx", fx=["recs_fx", "traits_fx"])
+_USERS, _RATED = "(SELECT count(DISTINCT uid) FROM ratings_fx)", "(SELECT count(DISTINCT pro_ids) FROM ratings_fx)"
+SQL["save_artifacts"] = feat_sql("SELECT unnest(['catalog', 'traits', 'features', 'labels', 'exemplar_members', 'recs', "
+    "'user_factors', 'als_users', 'product_factors', 'als_products']) AS artifact, unnest(["
+    "(SELECT count(*) FROM catalog_fx), (SELECT count(*) FROM traits_fx), (SELECT count(*) FROM feat), "
+    "(SELECT count(*) FROM vocab), (SELECT count(*) FROM vocab), "
+    f"{_USERS}, {_USERS}, {_USERS}, {_RATED}, {_RATED}]) AS n_rows", fx=["ratings_fx", "traits_fx"])

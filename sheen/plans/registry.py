@@ -4,6 +4,7 @@ driver's tables (through the fixture views of FIXTURES.md)."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -421,8 +422,7 @@ def q_max_abs_scale(spark, sf):
 
 @query("nmf_factors")
 def q_nmf_factors(spark, sf):
-    w, _ = FA.nmf_factors(FA.rating_matrix(FX.ratings_fx(spark, sf)), k=20)
-    return w
+    return factor_artifacts(spark, sf)["product_factors"]
 
 
 def unit_embeddings_fx(spark, sf) -> DataFrame:
@@ -477,6 +477,7 @@ def q_cosine_top_k_due(spark, sf):
 
 # ----------------------------------------------------------------------------- §2.7 collaborative filtering
 from sheen.operators import collab as CO  # noqa: E402
+from sheen.sources import io as IO  # noqa: E402
 
 
 def _ratings_for_als(spark, sf):
@@ -516,20 +517,27 @@ def q_als_rmse(spark, sf):
     return CO.rmse(_mean_predictions(spark, sf)).select(F.round("rmse", 9).alias("rmse"))
 
 
-@query("als_cross_validate")
-def q_als_cross_validate(spark, sf):
-    cv = CO.als_cross_validate(_ratings_for_als(spark, sf), parallelism=4)
-    return CO.cv_metrics(spark, cv)
+def als_artifacts(spark, sf) -> dict:
+    """metrics of the cross-validated grid, the best model refitted on all ratings, and its ten
+    recommendations for each user: fitted once, then loaded."""
+    def fit():
+        r = _ratings_for_als(spark, sf).checkpoint(eager=True)
+        blocks = CO.als_blocks(r.count())
+        cv = CO.als_cross_validate(r.coalesce(blocks) if blocks < 8 else r, parallelism=8, blocks=blocks)
+        recs = CO.als_top_n(cv.bestModel, 10)
+        return {"metrics": CO.cv_metrics(spark, cv), "recs": recs}, {"als": cv.bestModel}
+    return IO.fitted(spark, sf, "als", ["lineitem", "orders"], fit)
 
 
-def best_als_fx(spark, sf):
-    """The model that the cross-validation picks, refitted on all ratings."""
-    return CO.als_cross_validate(_ratings_for_als(spark, sf), parallelism=4).bestModel
+@query("als_cross_validate")
+def q_als_cross_validate(spark, sf):
+    return als_artifacts(spark, sf)["metrics"]
 
 
 @query("als_top_n")
 def q_als_top_n(spark, sf):
-    recs = CO.als_top_n(best_als_fx(spark, sf), 10)
+    """Ten recommendations of the cross-validated model, which is loaded where it has been fitted."""
+    recs = CO.als_top_n(als_artifacts(spark, sf)["als"], 10)
     return recs.select("uid", F.posexplode("recommendations").alias("pos", "r")).select(
         "uid", (F.col("pos") + 1).alias("rank"), F.col("r.pro_ids").alias("pro_ids"),
         F.col("r.rating").alias("rating"))
@@ -744,8 +752,6 @@ def q_tag_category(spark, sf):
 
 
 # ----------------------------------------------------------------------------- §2.1 sources and sinks
-from sheen.sources import io as IO  # noqa: E402
-
 
 @query("sink_ratings_csv")
 def q_sink_ratings_csv(spark, sf):
@@ -788,28 +794,59 @@ def q_ratings_marts(spark, sf):
     return IO.load_table(spark, paths["prod_ratings_no_rev"])
 
 
-def stand_in_artifacts(spark, sf) -> dict[str, DataFrame]:
-    return {"catalog": FX.catalog_fx(spark, sf), "features": features_fx(spark, sf),
-            "recs": FX.recs_fx(spark, sf), "traits": FX.traits_fx(spark, sf)}
+def group_artifacts(spark, sf) -> dict:
+    """labels and exemplars of the tokens, and the catalog features of these groups: fitted once,
+    then loaded."""
+    def fit():
+        tokens = tokens_fx(spark, sf).checkpoint(eager=True)
+        vocab = I.token_vocabulary(tokens)
+        labels = AF.token_groups(vocab, I.edit_distance_pairs(vocab)).checkpoint(eager=True)
+        exemplars = labels.groupBy("group", "exemplar").agg(F.count(F.lit(1)).alias("n_members"))
+        features = FE.product_features(FX.catalog_fx(spark, sf), I.product_groups(tokens, labels))
+        return {"labels": labels, "exemplars": exemplars, "features": features}, {}
+    return IO.fitted(spark, sf, "groups", ["documents", "part"], fit)
+
+
+def factor_artifacts(spark, sf) -> dict:
+    """Product and user factors of the rating matrix: fitted once, then loaded."""
+    def fit():
+        w, h = FA.nmf_factors(FA.rating_matrix(FX.ratings_fx(spark, sf)), k=20)
+        return {"product_factors": w, "user_factors": h}, {}
+    return IO.fitted(spark, sf, "factors", ["lineitem", "orders"], fit)
+
+
+def all_artifacts(spark, sf) -> tuple[dict, dict]:
+    """Everything that serving loads, as (tables, models)."""
+    groups, als, factors = group_artifacts(spark, sf), als_artifacts(spark, sf), factor_artifacts(spark, sf)
+    recs = CO.recs_to_columns(als["recs"])
+    return {"catalog": FX.catalog_fx(spark, sf), "traits": FX.traits_fx(spark, sf), "recs": recs,
+            "labels": groups["labels"], "exemplars": groups["exemplars"], "features": groups["features"],
+            "product_factors": factors["product_factors"], "user_factors": factors["user_factors"]}, {"als": als["als"]}
 
 
 @query("save_artifacts")
 def q_save_artifacts(spark, sf):
-    paths = IO.save_artifacts(IO.shared_path(spark, "artifacts"), stand_in_artifacts(spark, sf))
-    loaded = IO.load_artifacts(spark, paths)
-    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("artifact"), "n_rows")
-             for name, df in loaded.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Rows of each table, and of the ALS model's factors, saved and loaded back."""
+    tables, models = all_artifacts(spark, sf)
+    path = IO.shared_path(spark, "artifacts")
+    IO.save_artifacts(spark, path, tables, models)
+    loaded = IO.load_artifacts(spark, path)
+    als, exemplars = loaded.pop("als"), loaded.pop("exemplars")
+    loaded |= {"als_users": als.userFactors, "als_products": als.itemFactors}
+    count = F.count(F.lit(1))
+    parts = [df.agg(count.alias("n_rows")).select(F.lit(name).alias("artifact"), "n_rows") for name, df in loaded.items()]
+    parts.append(exemplars.select(F.lit("exemplar_members").alias("artifact"), "n_members").groupBy("artifact").agg(
+        F.sum("n_members").alias("n_rows")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("load_artifacts")
 def q_load_artifacts(spark, sf):
-    """The serving query over artifacts saved and loaded back."""
-    paths = IO.save_artifacts(IO.shared_path(spark, "artifacts"), stand_in_artifacts(spark, sf))
-    a = IO.load_artifacts(spark, paths)
+    """The serving query over stand-in artifacts saved and loaded back."""
+    path = IO.shared_path(spark, "artifacts")
+    IO.save_artifacts(spark, path, {"catalog": FX.catalog_fx(spark, sf), "features": features_fx(spark, sf),
+                                    "recs": FX.recs_fx(spark, sf), "traits": FX.traits_fx(spark, sf)})
+    a = IO.load_artifacts(spark, path)
     return S.recommend(FX.requests_fx(spark, sf), a["traits"], a["recs"], a["catalog"], a["features"])
 
 
@@ -830,10 +867,9 @@ def q_token_groups(spark, sf):
 
 @query("recommend")
 def q_recommend(spark, sf):
-    """The full pipeline on real models: affinity-propagation ingredient groups
-    for content features, ALS recommendations for the similar-users half."""
-    cat = FX.catalog_fx(spark, sf)
-    groups = ap_groups_fx(spark, sf).checkpoint(eager=True)
-    feats = features_fx(spark, sf, groups)
-    recs = CO.recs_to_columns(CO.als_top_n(best_als_fx(spark, sf), 10))
-    return S.recommend(FX.requests_fx(spark, sf), FX.traits_fx(spark, sf), recs, cat, feats)
+    """The full pipeline on real models, which are loaded where they have been fitted:
+    affinity-propagation ingredient groups for the content half, ALS recommendations for the
+    similar-users half."""
+    recs = CO.recs_to_columns(als_artifacts(spark, sf)["recs"])
+    return S.recommend(FX.requests_fx(spark, sf), FX.traits_fx(spark, sf), recs, FX.catalog_fx(spark, sf),
+                       group_artifacts(spark, sf)["features"])

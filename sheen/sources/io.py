@@ -8,9 +8,12 @@ shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import hashlib
+import importlib
+import json
+import time
 import uuid
 
-from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -78,19 +81,88 @@ def ratings_marts(reviews_uid: DataFrame, path: str) -> dict[str, str]:
     return paths
 
 
-def save_artifacts(path: str, tables: dict[str, DataFrame], models: dict[str, ALSModel] | None = None
-                   ) -> dict[str, str]:
-    """Persist the serving artifacts: tables as Parquet, ALS models with Spark ML."""
-    out = {}
+# ----------------------------------------------------------------------------- artifacts
+# A set of artifacts is a folder with one sub-folder per version and one manifest per
+# complete version. The manifest is written last and renamed into place, so a set that was
+# only half written is never loaded, and readers of an older version are not disturbed.
+
+_MANIFEST = "manifest-"
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def save_artifacts(spark: SparkSession, path: str, tables: dict[str, DataFrame], models: dict | None = None,
+                   about: dict | None = None) -> str:
+    """Persist a set of artifacts below ``path``: tables as Parquet, Spark ML models by their own
+    writer, then a manifest that names them, their schemas and classes, and ``about``.
+    Returns the version."""
+    version = f"{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:12]}"
+    manifest = {"version": version, "about": about or {}, "tables": {}, "models": {}}
     for name, df in tables.items():
-        out[name] = save_table(df, f"{path}/{name}")
+        save_table(df, f"{path}/{version}/{name}")
+        manifest["tables"][name] = df.schema.jsonValue()
     for name, m in (models or {}).items():
-        m.write().overwrite().save(f"{path}/{name}")
-        out[name] = f"{path}/{name}"
+        m.write().overwrite().save(f"{path}/{version}/{name}")
+        manifest["models"][name] = f"{type(m).__module__}.{type(m).__name__}"
+    fs, temp = _fs(spark, f"{path}/.{version}.json")
+    out = fs.create(temp, True)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    if not fs.rename(temp, _fs(spark, f"{path}/{_MANIFEST}{version}.json")[1]):
+        raise OSError(f"the manifest of {path}/{version} can't be put in place")
+    return version
+
+
+def latest_manifest(spark: SparkSession, path: str) -> dict | None:
+    """The newest complete version's manifest, None if there is none."""
+    fs, pattern = _fs(spark, f"{path}/{_MANIFEST}*.json")
+    found = fs.globStatus(pattern) or []
+    names = sorted(str(f.getPath().toString()) for f in found)
+    if not names:
+        return None
+    return json.loads(spark.read.text(names[-1], wholetext=True).first()[0])
+
+
+def load_artifacts(spark: SparkSession, path: str, names: list[str] | None = None) -> dict[str, object]:
+    """Tables and models of the newest complete version, or those of ``names``. Tables are read
+    by the manifest's schema, without a look at their files."""
+    manifest = latest_manifest(spark, path)
+    if manifest is None:
+        raise FileNotFoundError(f"no complete set of artifacts in {path}")
+    base, out = f"{path}/{manifest['version']}", {}
+    for name, schema in manifest["tables"].items():
+        if names is None or name in names:
+            out[name] = spark.read.schema(StructType.fromJson(schema)).parquet(f"{base}/{name}")
+    for name, kind in manifest["models"].items():
+        if names is None or name in names:
+            module, _, cls = kind.rpartition(".")
+            if not module.startswith("pyspark.ml."):
+                raise ValueError(f"{name} is no Spark ML model: {kind}")
+            out[name] = getattr(importlib.import_module(module), cls).load(f"{base}/{name}")
+    if missing := set(names or []) - set(out):
+        raise KeyError(f"{path} has no {sorted(missing)}")
     return out
 
 
-def load_artifacts(spark: SparkSession, paths: dict[str, str], models: tuple[str, ...] = ()
-                   ) -> dict[str, object]:
-    return {name: (ALSModel.load(p) if name in models else load_table(spark, p))
-            for name, p in paths.items()}
+def input_key(spark: SparkSession, sf_dir: str, tables: list[str]) -> str:
+    """Names the present contents of input tables: their paths, sizes, file counts and times."""
+    marks = []
+    for t in sorted(tables):
+        fs, p = _fs(spark, f"{sf_dir}/{t}.parquet")
+        size = fs.getContentSummary(p)
+        marks.append((str(fs.makeQualified(p).toString()), size.getLength(), size.getFileCount(), fs.getFileStatus(p).getModificationTime()))
+    return hashlib.sha256(json.dumps(marks).encode()).hexdigest()[:24]
+
+
+def fitted(spark: SparkSession, sf_dir: str, kind: str, tables: list[str], fit) -> dict[str, object]:
+    """The artifacts that ``fit()`` (a pair of dicts: tables, models) makes of these input tables.
+    They are fitted once, kept in the session's shared folder, and loaded from then on; other
+    contents of the input are another set."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sheen-artifacts/{kind}-{input_key(spark, sf_dir, tables)}"
+    if latest_manifest(spark, path) is None:
+        frames, models = fit()
+        save_artifacts(spark, path, frames, models, {"kind": kind, "input": sf_dir})
+    return load_artifacts(spark, path)
