@@ -86,21 +86,80 @@ def product_distance(inter, q: str = "q_") -> F.Column:
     return d2
 
 
+#: Halvings of the widest extent that the grid's cells are measured in.
+LEVELS = 12
+
+
+def grid_nearest(points: DataFrame, queries: DataFrame, k: int, dims: list[str], id_col: str) -> DataFrame:
+    """(q, id_col, cost): for each query the ``k`` points with the smallest squared Euclidean
+    distance over ``dims``, ties to the smaller id, and every point that ties with the last.
+
+    ``points``: (id_col, dims); ``queries``: (q, dims). Exact, by grids of cells whose width
+    doubles from level to level. A query first takes the finest level at which the cells nearest
+    to it (two along each dimension) hold k points, which bounds its k-th distance. All points within that
+    distance lie in the cells, two along each dimension again, of a level at least twice as wide. Rows with a
+    null coordinate are in no cell.
+    """
+    box = points.select(*dims).unionByName(queries.select(*dims)).agg(
+        *[f(c).alias(f"{n}{j}") for j, c in enumerate(dims) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    low = [float(box[f"lo{j}"] or 0.0) for j in range(len(dims))]
+    extent = max([float(box[f"hi{j}"] or 0.0) - low[j] for j in range(len(dims))] + [1e-9]) * 1.001
+    width = F.lit(extent) / F.pow(F.lit(2.0), LEVELS - F.col("level"))  # the widest: one cell holds all points
+    sound = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in dims])
+    points, queries = points.where(sound), queries.where(sound)
+
+    def cell(j, x):
+        return F.floor((x - low[j]) / width)
+
+    cells = (points.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))
+             .withColumn("h", F.xxhash64("level", *[cell(j, F.col(c)) for j, c in enumerate(dims)])).checkpoint(eager=True))
+
+    def corners(df, reach):
+        """Rows of ``df`` with each cell that meets the query's box of ``reach`` on either side."""
+        for j, c in enumerate(dims):
+            df = df.withColumn(f"c{j}", F.explode(F.array_distinct(F.array(cell(j, F.col(c) - reach), cell(j, F.col(c) + reach)))))
+        return df.withColumn("h", F.xxhash64("level", *[f"c{j}" for j in range(len(dims))])).drop(*[f"c{j}" for j in range(len(dims))])
+
+    cost = reduce(lambda x, y: x + y, [(F.col(f"q_{c}") - F.col(c)) * (F.col(f"q_{c}") - F.col(c)) for c in dims])
+
+    def met(asked):
+        asked = asked.select("q", "h", "level", *[F.col(c).alias(f"q_{c}") for c in dims], *[c for c in asked.columns if c == "most"])
+        return asked.join(cells, ["h", "level"]).withColumn("cost", cost)
+
+    every = queries.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))
+    sizes = cells.groupBy("h", "level").agg(F.count(F.lit(1)).alias("n"))
+    fit = (corners(every, width / 2).select("q", "level", "h").join(sizes, ["h", "level"]).groupBy("q", "level").agg(F.sum("n").alias("n"))
+           .groupBy("q").agg(F.coalesce(F.min(F.when(F.col("n") >= k, F.col("level"))), F.lit(LEVELS)).alias("level")))
+    first = met(corners(queries.join(fit, "q"), width / 2))
+    near = top_k(first.select("q", id_col, "cost"), k, [F.col("cost"), F.col(id_col)], "q")
+    most = near.groupBy("q").agg(F.max("cost").alias("most"), F.count(F.lit(1)).alias("n")).select(
+        "q", F.when(F.col("n") >= k, F.col("most")).alias("most"))  # null: fewer than k points in all
+    slightly = lambda c: c * (1 + 1e-9) + 1e-12  # noqa: E731  # more than rounding may add
+    reach = slightly(F.sqrt("most"))
+    wide = F.least(F.lit(LEVELS), F.greatest(F.lit(0), F.ceil(F.log2(2 * reach / extent) + LEVELS))).cast("int")
+    second = queries.join(most, "q").withColumn("level", F.when(F.col("most").isNull(), LEVELS).otherwise(wide))
+    # at the widest level all points are in one cell, which half its width reaches
+    second = met(corners(second, F.least(F.coalesce(reach, F.lit(extent)), F.lit(extent / 2))))
+    second = second.where(F.col("most").isNull() | (F.col("cost") <= slightly(F.col("most")))).select("q", id_col, "cost").checkpoint(eager=True)
+    last = top_k(second, k, [F.col("cost"), F.col(id_col)], "q").groupBy("q").agg(F.max("cost").alias("last"))
+    return second.join(last, "q").where(F.col("cost") <= slightly(F.col("last"))).drop("last")
+
+
 def similar_products(features: DataFrame, query_ids: DataFrame, k: int = 10,
                      key: str = "pro_ids") -> DataFrame:
     """The k nearest catalog products of each request's product, itself excluded.
 
     ``query_ids`` holds (req_id, key). Output (req_id, rank, key, dist2). Ties
-    go to the smaller id, and self is excluded by id rather than by position.
+    go to the smaller id, and self is excluded by id rather than by position. Products
+    with a null numeric column are near none.
 
     Exact, without comparing every request to every product:
 
-    1. Products collapse to profiles (n_groups, numerics), k + 1 smallest ids each. As if no
-       group were shared, the profiles of the products with fewest groups (just enough of
-       them for k answers) give each query an upper bound on its k-th distance.
-    2. A product that shares no group is found among the profiles whose n_groups the bound
-       still allows.
-    3. A product that beats the bound by shared groups shares at least half of its groups
+    1. Products collapse to profiles (n_groups, numerics), k + 1 smallest ids each, and requests to
+       distinct numerics. As if no group were shared, the distance is Euclidean over the numerics
+       and the root of n_groups: ``grid_nearest`` finds each request's k nearest profiles. A product
+       that shares no group is among them, or is not among the k nearest at all.
+    2. A product that beats these by shared groups shares at least half of its groups
        less the bound's slack, so also one of its rarest ones: an equi-join on the rarer
        half of each product's groups finds it. Its most common groups are never joined on.
     """
@@ -111,37 +170,27 @@ def similar_products(features: DataFrame, query_ids: DataFrame, k: int = 10,
     q = (feats.join(wanted, feats[key] == wanted["q_id"])
          .select("q_id", F.col("groups").alias("q_groups"), *[F.col(c).alias(f"q_{c}") for c in cols]))
     q = q.checkpoint(eager=True)
-    flat_q = q.drop("q_groups")
 
     prof = feats.select(key, *cols).withColumn("_r", F.row_number().over(
-        Window.partitionBy(*cols).orderBy(key))).where(F.col("_r") <= k + 1).drop("_r")
-    prof = prof.checkpoint(eager=True)
-    sizes = prof.groupBy("n_groups").agg(F.count(F.lit(1)).alias("n")).orderBy("n_groups").limit(k + 1).collect()
-    few, seen = 0, 0
-    for r in sizes:  # at most k + 1 rows
-        few, seen = r["n_groups"], seen + r["n"]
-        if seen > k:
-            break
-    none = F.lit(0)
-    small = prof.where(F.col("n_groups") <= few)
-    base = flat_q.join(small, F.col(key) != F.col("q_id")).select(
-        "q_id", "q_n_groups", key, product_distance(none).alias("dist2"))
+        Window.partitionBy(*cols).orderBy(key))).where(F.col("_r") <= k + 1).drop("_r").checkpoint(eager=True)
+    dims = ["_root", *[f"_{c}" for c in NUMERIC]]
+    at = [F.sqrt("n_groups").alias("_root"), *[F.col(c).cast("double").alias(f"_{c}") for c in NUMERIC]]
+    points = prof.groupBy(*cols).agg(F.min(key).alias(key)).select(key, *at)
+    spots = q.select(F.lit(0.0).alias("_root"), *[F.col(f"q_{c}").cast("double").alias(f"_{c}") for c in NUMERIC]).distinct()
+    spots = spots.withColumn("q", F.xxhash64(*dims)).checkpoint(eager=True)  # a name; equal names would only merge two searches
+    near = grid_nearest(points, spots, k + 1, dims, key).select("q", F.col(key).alias("_first"))
+    same = [prof[c] == F.col(f"_p_{c}") for c in cols]
+    first = prof.select(F.col(key).alias("_first"), *[F.col(c).alias(f"_p_{c}") for c in cols])
+    held = near.join(first, "_first").join(prof, reduce(lambda x, y: x & y, same)).select("q", key, *cols)
+    mine = q.drop("q_groups").withColumn("q", F.xxhash64(F.lit(0.0), *[F.col(f"q_{c}").cast("double") for c in NUMERIC]))
+    base = mine.join(held, "q").where(F.col(key) != F.col("q_id")).select(
+        "q_id", "q_n_groups", key, product_distance(F.lit(0)).alias("dist2"))
     base = top_k(base, k, [F.col("dist2"), F.col(key)], "q_id").checkpoint(eager=True)
     bound = base.groupBy("q_id", "q_n_groups").agg(F.max("dist2").alias("m"), F.count(F.lit(1)).alias("n"))
-    bound = bound.select("q_id", "m", "n", (F.col("m") - F.col("q_n_groups")).alias("slack"))
-    most = bound.agg(F.max("slack").alias("s"), F.min("n").alias("n")).first()
-    open_end = most["s"] is None or most["n"] < k  # fewer than k products with few groups
+    most = bound.agg(F.max(F.col("m") - F.col("q_n_groups")).alias("s"), F.min("n").alias("n")).first()
     top = prof.agg(F.max("n_groups")).first()[0] or 0
-    slack = float(top) if open_end else float(most["s"])
-
-    allowed = flat_q.join(bound.select("q_id", "slack"), "q_id").where(F.floor("slack") > few).select(
-        "*", F.explode(F.sequence(F.lit(few + 1), F.least(F.floor(F.lit(slack) if open_end else F.col("slack")),
-                                                          F.lit(top)).cast("int"))).alias("n_groups")) \
-        if slack > few and top > few else None
+    slack = float(top) if most["s"] is None or most["n"] < k else float(most["s"])  # fewer than k products: all may be near
     parts = [base.select("q_id", key, "dist2")]
-    if allowed is not None:
-        rest = allowed.drop("slack").join(prof.where(F.col("n_groups") > few), "n_groups").where(F.col(key) != F.col("q_id"))
-        parts.append(rest.select("q_id", key, product_distance(none).alias("dist2")))
 
     long = feats.where(F.col("n_groups") > 0).select(key, "n_groups", F.explode("groups").alias("group"))
     freq = long.groupBy("group").agg(F.count(F.lit(1)).alias("df"))
@@ -208,16 +257,13 @@ def request_vector(requests: DataFrame, domains: DataFrame) -> DataFrame:
     return long.join(F.broadcast(domains), ["trait", "value"]).select("req_id", "trait", "slot")
 
 
-def _trait_keys() -> F.Column:
-    """Every subset of a row's set traits as one string; values carry their length, so
-    different subsets never give the same string."""
+def _trait_keys(masks: list[int]) -> F.Column:
+    """A 64-bit hash of the values of each subset of a row's set traits that ``masks`` names."""
     bit = lambda m, j: F.shiftright(m, j).bitwiseAND(F.lit(1)) == 1
-    part = lambda m, j, t: F.when(bit(m, j), F.concat(
-        F.lit(f"{j}:"), F.char_length(t).cast("string"), F.lit(":"), F.col(t))).otherwise(F.lit(""))
     full = reduce(lambda a, b: a + b, [F.when(F.col(t).isNotNull(), 1 << j).otherwise(0) for j, t in enumerate(TRAITS)])
-    masks = F.filter(F.sequence(F.lit(0), F.lit((1 << len(TRAITS)) - 1)), lambda m: m.bitwiseAND(full) == m)
-    return F.transform(masks, lambda m: F.struct(
-        F.bit_count(m).alias("shared"), F.concat(*[part(m, j, t) for j, t in enumerate(TRAITS)]).alias("key")))
+    named = F.filter(F.array(*[F.lit(m) for m in masks]), lambda m: m.bitwiseAND(full) == m)
+    return F.transform(named, lambda m: F.struct(F.bit_count(m).alias("shared"), F.xxhash64(
+        m, *[F.when(bit(m, j), F.col(f"h_{t}")).otherwise(F.lit(0)) for j, t in enumerate(TRAITS)]).alias("key")))
 
 
 def similar_users(trait_rows: DataFrame, requests: DataFrame, k: int = 10, id_col: str = "uid") -> DataFrame:
@@ -226,23 +272,35 @@ def similar_users(trait_rows: DataFrame, requests: DataFrame, k: int = 10, id_co
     Ties go to the smaller uid. A user whose traits changed has several rows and
     can appear more than once, as in a neighbour search over rows.
 
-    Exact by equi-joins: a row is indexed under every subset of its set traits, and each
-    subset keeps its k first rows by (traits set, uid). A row that agrees with the request in
+    Exact by equi-joins. Rows collapse to trait profiles with their k smallest ids. A profile is
+    indexed under each subset of its set traits that some request may share, and each subset
+    keeps its k first rows by (traits set, uid). A row that agrees with the request in
     exactly the traits M is under M, and whoever displaces it there is at least as near, so
-    the lookups of the request's subsets hold the k nearest. The limit per subset is partial
-    before the shuffle: a subset that all rows share sends k rows per task.
+    the lookups of the request's subsets hold the k nearest. The limits per profile and subset are
+    partial before the shuffle: a subset that all rows share sends k rows per task. Subsets
+    are compared by 64-bit hashes, and distances are those of the profiles that meet.
     """
+    spark = trait_rows.sparkSession
+    ensure_checkpoint_dir(spark)
     n_set = reduce(lambda a, b: a + b, [F.when(F.col(t).isNotNull(), 1).otherwise(0) for t in TRAITS])
-    whole = F.concat_ws(",", *[F.concat(F.lit(f"{j}:"), F.char_length(t).cast("string"), F.lit(":"), F.col(t))
-                               for j, t in enumerate(TRAITS)])
-    rows = trait_rows.select(id_col, *TRAITS, n_set.alias("n_set"), whole.alias("profile"))
-    rows = rows.select(id_col, "n_set", "profile", F.explode(_trait_keys()).alias("x")).select(
-        id_col, "n_set", "profile", "x.key")
-    index = top_k(rows, k, [F.col("n_set"), F.col(id_col), F.col("profile")], "key").drop("rank")
-    q = requests.select("req_id", *TRAITS, n_set.alias("q_set"), whole.alias("q_profile"))
-    asked = q.select("q_profile", "q_set", *TRAITS).distinct().select(
-        "q_profile", "q_set", F.explode(_trait_keys()).alias("x")).select("q_profile", "q_set", "x.*")
-    near = asked.join(index, "key").groupBy("q_profile", id_col, "profile").agg(
+    hashes = [F.xxhash64(t).alias(f"h_{t}") for t in TRAITS]
+    none = [F.col(t).isNull() for t in TRAITS]
+    mask = reduce(lambda a, b: a + b, [F.when(~x, 1 << j).otherwise(0) for j, x in enumerate(none)])
+    asked = requests.select(*TRAITS).distinct().select(*TRAITS, *hashes, n_set.alias("q_set"), mask.alias("mask"),
+                                                       F.xxhash64(mask, *TRAITS).alias("q")).checkpoint(eager=True)
+    tops = [r["mask"] for r in asked.select("mask").distinct().collect()]  # at most 256
+    masks = sorted({m for m in range(1 << len(TRAITS)) if any(m & t == m for t in tops)})
+    if not masks:
+        return requests.select("req_id").limit(0).join(trait_rows.select(id_col).limit(0), how="cross").select(
+            "req_id", id_col, F.lit(0.0).alias("dist2"), F.lit(0).alias("rank"))
+    rows = trait_rows.select(id_col, *TRAITS, *hashes, n_set.alias("n_set"), F.xxhash64(mask, *TRAITS).alias("profile"))
+    rows = top_k(rows, k, [F.col(id_col)], "profile").withColumnRenamed("rank", "nth")
+    each = rows.select(id_col, "nth", "n_set", "profile", F.explode(_trait_keys(masks)).alias("x")).select(
+        id_col, "nth", "n_set", "profile", "x.key")
+    index = top_k(each, k, [F.col("n_set"), F.col(id_col), F.col("profile"), F.col("nth")], "key").drop("rank")
+    wanted = asked.select("q", "q_set", F.explode(_trait_keys(masks)).alias("x")).select("q", "q_set", "x.*")
+    near = wanted.join(index, "key").groupBy("q", id_col, "profile", "nth").agg(
         F.min(F.col("q_set") + F.col("n_set") - 2 * F.col("shared")).cast("double").alias("dist2"))
-    best = top_k(near, k, [F.col("dist2"), F.col(id_col), F.col("profile")], "q_profile").drop("profile")
-    return q.select("req_id", "q_profile").join(best, "q_profile").select("req_id", id_col, "dist2", "rank")
+    best = top_k(near, k, [F.col("dist2"), F.col(id_col), F.col("profile"), F.col("nth")], "q").drop("profile", "nth")
+    q = requests.select("req_id", F.xxhash64(mask, *TRAITS).alias("q"))
+    return q.join(best, "q").select("req_id", id_col, "dist2", "rank")

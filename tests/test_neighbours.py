@@ -139,3 +139,56 @@ def test_cosine_nearest_ties_and_odd_vectors(spark):
     got = FA.cosine_nearest(unit, spark.createDataFrame([(20,), (21,), (5001,)], "pro_ids long"), 3).collect()
     assert sorted((r.req_id, r["rank"], r.pro_ids) for r in got) == [
         (20, 1, 2), (20, 2, 4), (20, 3, 6), (21, 1, 1), (21, 2, 3), (21, 3, 5)]
+
+
+def test_grid_nearest_brute_force(spark):
+    """Uneven points, ties, queries outside, fewer points than asked for, and null coordinates."""
+    rnd = random.Random(11)
+    points = [(i, rnd.choice([0.0, 1.0, 2.5]), rnd.random() * 10 ** rnd.randint(-3, 2)) for i in range(150)] + [(900, None, 1.0)]
+    queries = [(1000 + i, rnd.random() * 3, rnd.random() * 10) for i in range(40)] + [(5000, -40.0, 9.0), (5001, 0.0, 500.0), (6000, None, 0.0)]
+    p = spark.createDataFrame(points, "id int, x double, y double")
+    q = spark.createDataFrame(queries, "q long, x double, y double")
+    for k in (1, 7, 200):
+        got = {}
+        for r in FE.grid_nearest(p, q, k, ["x", "y"], "id").collect():
+            got.setdefault(r.q, []).append((r.cost, r.id))
+        assert set(got) == {x[0] for x in queries if x[1] is not None}
+        for name, x, y in queries:
+            if x is not None:
+                want = sorted(((x - a) ** 2 + (y - b) ** 2, i) for i, a, b in points if a is not None)
+                last = want[min(k, len(want)) - 1][0]
+                assert sorted(i for _, i in got[name]) == sorted(i for c, i in want if c <= last * (1 + 1e-9) + 1e-12)
+
+
+def test_similar_products_without_groups(spark):
+    """Distinct numerics and no groups at all: every request's neighbours, by brute force."""
+    rnd = random.Random(9)
+    rows = [(p, f"n{p}", rnd.random() * 4, rnd.random(), rnd.random() * 5, rnd.randint(1, 5), []) for p in range(250)]
+    feats = spark.createDataFrame(rows, "pro_ids int, names string, ratings double, repurchases double, "
+                                        "pkg_quals double, prices int, groups array<string>").withColumn("n_groups", F.size("groups"))
+    q = feats.select(F.col("pro_ids").alias("req_id"), "pro_ids")
+    got = {}
+    for r in FE.similar_products(feats, q, k=10).collect():
+        got.setdefault(r.req_id, []).append((r["rank"], r.pro_ids))
+    for a in rows:
+        want = sorted((sum((float(x) - float(y)) * (float(x) - float(y)) for x, y in zip(a[2:6], b[2:6])), b[0]) for b in rows if b[0] != a[0])
+        assert [i for _, i in sorted(got[a[0]])] == [i for _, i in want[:10]]
+    few = FE.similar_products(feats.where("pro_ids < 4"), q.where("pro_ids < 4"), k=10)
+    assert few.count() == 12
+
+
+def test_similar_users_with_repeated_rows(spark):
+    """Profiles that many users share, users with several equal rows, and unset traits."""
+    rnd = random.Random(8)
+    rows = [(u % 60, *[rnd.choice([None, *TRAIT_DOMAINS[t][:2]]) if j < 3 else "same" for j, t in enumerate(TRAITS)]) for u in range(200)]
+    rows += rows[:30] * 2
+    schema = ", ".join(f"{t} string" for t in TRAITS)
+    traits = spark.createDataFrame(rows, f"uid int, {schema}")
+    reqs = [(q, *[rnd.choice([None, TRAIT_DOMAINS[t][0]]) if j < 4 else "same" for j, t in enumerate(TRAITS)]) for q in range(8)] + [(99, *[None] * 8)]
+    got = {}
+    for r in FE.similar_users(traits, spark.createDataFrame(reqs, f"req_id int, {schema}"), k=10).collect():
+        got.setdefault(r.req_id, []).append((r["rank"], r.uid, r.dist2))
+    for q in reqs:
+        d = sorted((float(sum(v is not None for v in q[1:]) + sum(v is not None for v in row[1:])
+                          - 2 * sum(a == b for a, b in zip(q[1:], row[1:]) if a is not None)), row[0]) for row in rows)
+        assert sorted(got[q[0]]) == [(i + 1, u, dd) for i, (dd, u) in enumerate(d[:10])]
