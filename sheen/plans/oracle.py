@@ -308,21 +308,21 @@ UNIT_CTE = """unit AS (
   SELECT vec_id, label, list_transform(e, lambda x: CASE WHEN nrm = 0 THEN 0.0 ELSE x / nrm END) AS vec FROM (
     SELECT vec_id, label, e, sqrt(list_reduce(list_transform(e, lambda x: x * x), lambda a, b: a + b)) AS nrm
     FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings))),
-cq AS (SELECT label AS req_id, min(vec_id) AS q_id FROM embeddings GROUP BY label),
 cscores AS (
-  SELECT cq.req_id, cq.q_id, u.vec_id,
+  SELECT q.vec_id AS req_id, u.vec_id,
          list_reduce(list_transform(range(1, len(u.vec) + 1), lambda i: u.vec[i] * q.vec[i]), lambda a, b: a + b) AS score
-  FROM cq JOIN unit q ON q.vec_id = cq.q_id CROSS JOIN unit u)"""
+  FROM unit q CROSS JOIN unit u WHERE q.vec_id % 20 = 0)"""
 SQL["l2_normalize"] = f"WITH {UNIT_CTE}\n" + (
     "SELECT vec_id, CAST(generate_subscripts(vec, 1) - 1 AS INTEGER) AS pos, round(unnest(vec), 9) AS value FROM unit")
 SQL["name_factors"] = with_fx(["catalog_fx"], [UNIT_CTE]) + """SELECT vec_id, names, pos, round(value, 9) AS value FROM (
   SELECT vec_id, CAST(generate_subscripts(vec, 1) - 1 AS INTEGER) AS pos, unnest(vec) AS value FROM unit)
   LEFT JOIN catalog_fx ON CAST(pro_ids AS BIGINT) = vec_id"""
 SQL["cosine_scores"] = f"WITH {UNIT_CTE}\n" + (
-    "SELECT req_id, q_id AS query_id, vec_id, round(score, 9) AS score FROM cscores")
+    "SELECT req_id, vec_id, round(score, 9) AS score FROM cscores")
 SQL["cosine_top_k"] = f"WITH {UNIT_CTE}\n" + """SELECT req_id, vec_id, round(score, 9) AS score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT req_id, vec_id, score, row_number() OVER (PARTITION BY req_id ORDER BY score DESC, vec_id) AS rank
-  FROM cscores WHERE vec_id <> q_id) WHERE rank <= 10"""
+  FROM cscores WHERE vec_id <> req_id) WHERE rank <= 10"""
+SQL["cosine_top_k_due"] = SQL["cosine_top_k"]
 
 # ----------------------------------------------------------------------------- §2.7
 SQL["als_rmse"] = with_fx(["ratings_fx"]) + """SELECT round(sqrt(avg((lipies - prediction) * (lipies - prediction))), 9) AS rmse

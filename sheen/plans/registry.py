@@ -430,12 +430,6 @@ def unit_embeddings_fx(spark, sf) -> DataFrame:
     return FA.l2_normalize(e)
 
 
-def cosine_queries_fx(spark, sf) -> DataFrame:
-    """One query vector per label: its smallest vec_id."""
-    return table(spark, sf, "embeddings").groupBy(F.col("label").alias("req_id")).agg(
-        F.min("vec_id").alias("vec_id"))
-
-
 @query("l2_normalize")
 def q_l2_normalize(spark, sf):
     u = unit_embeddings_fx(spark, sf)
@@ -451,28 +445,43 @@ def q_name_factors(spark, sf):
     return u.join(c, "vec_id", "left").select("vec_id", "names", "pos", F.round("value", 9).alias("value"))
 
 
+def cosine_due_fx(spark, sf) -> DataFrame:
+    """Every row whose id is divisible by 20, a share that grows with the table."""
+    return table(spark, sf, "embeddings").where(F.col("vec_id") % 20 == 0).select("vec_id")
+
+
 @query("cosine_scores")
 def q_cosine_scores(spark, sf):
-    s = FA.cosine_scores(unit_embeddings_fx(spark, sf), cosine_queries_fx(spark, sf), key="vec_id")
-    return s.select("req_id", F.col("q_id").alias("query_id"), "vec_id",
-                    F.round("score", 9).alias("score"))
+    s = FA.cosine_scores(unit_embeddings_fx(spark, sf), cosine_due_fx(spark, sf), key="vec_id")
+    return s.select("req_id", "vec_id", F.round("score", 9).alias("score"))
 
 
 @query("cosine_top_k")
 def q_cosine_top_k(spark, sf):
-    s = FA.cosine_scores(unit_embeddings_fx(spark, sf), cosine_queries_fx(spark, sf), key="vec_id")
-    return FA.cosine_top_k(s, 10, key="vec_id").withColumn("score", F.round("score", 9))
+    s = FA.cosine_top_k(unit_embeddings_fx(spark, sf), cosine_due_fx(spark, sf), 10, key="vec_id")
+    return s.select("req_id", "vec_id", F.round("score", 9).alias("score"), "rank")
 
 
-def cosine_due_fx(spark, sf) -> DataFrame:
-    """Every row whose id is divisible by 20, a share that grows with the table."""
-    return table(spark, sf, "embeddings").where(F.col("vec_id") % 20 == 0).select("vec_id")
+#: The name that the search had before ``cosine_top_k`` took every due query.
+QUERIES["cosine_top_k_due"] = q_cosine_top_k
 
 
-@query("cosine_top_k_due")
-def q_cosine_top_k_due(spark, sf):
-    s = FA.cosine_nearest(unit_embeddings_fx(spark, sf), cosine_due_fx(spark, sf), 10, key="vec_id")
-    return s.select("req_id", "vec_id", F.round("score", 9).alias("score"), "rank")
+def unit_factors_fx(spark, sf) -> DataFrame:
+    return FA.l2_normalize(factor_artifacts(spark, sf)["product_factors"], "f")
+
+
+@query("named_factors")
+def q_named_factors(spark, sf):
+    """The products' fitted factors at length 1, with the names of the products."""
+    u = unit_factors_fx(spark, sf).select("pro_ids", F.posexplode("f").alias("pos", "value"))
+    return u.join(FX.catalog_fx(spark, sf).select("pro_ids", "names"), "pro_ids", "left")
+
+
+@query("factor_top_k")
+def q_factor_top_k(spark, sf):
+    """The ten products whose fitted factors are most similar, for each product whose id is divisible by 20."""
+    u = unit_factors_fx(spark, sf)
+    return FA.cosine_top_k(u, u.where("pro_ids % 20 = 0").select("pro_ids"), 10, vec="f")
 
 
 # ----------------------------------------------------------------------------- §2.7 collaborative filtering

@@ -121,24 +121,70 @@ def test_similar_products_brute_force(spark):
         assert sorted(got[req]) == want
 
 
-def test_cosine_top_k_of_every_due_query(spark, sf):
-    """Every id divisible by 20 gets the rows that the cross join of scores gives it."""
-    unit = R.unit_embeddings_fx(spark, sf)
-    due = sorted(r.vec_id for r in unit.collect() if r.vec_id % 20 == 0)
-    got = R.QUERIES["cosine_top_k_due"](spark, sf).collect()
-    queries = unit.where("vec_id % 20 = 0").select(F.col("vec_id").alias("req_id"), "vec_id")
-    want = FA.cosine_top_k(FA.cosine_scores(unit, queries, key="vec_id"), 10, key="vec_id")
-    want = want.withColumn("score", F.round("score", 9)).select("req_id", "vec_id", "score", "rank").collect()
-    assert len(due) > 10 and sorted({r.req_id for r in got}) == due
-    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
-
-
-def test_cosine_nearest_ties_and_odd_vectors(spark):
-    rows = [(i, [1.0, 0.0] if i % 2 else [0.6, 0.8]) for i in range(1, 1300)] + [(5000, None), (5001, [1.0]), (5002, [float("nan"), 1.0])]
-    unit = spark.createDataFrame(rows, "pro_ids long, vec array<double>").repartition(3)
-    got = FA.cosine_nearest(unit, spark.createDataFrame([(20,), (21,), (5001,)], "pro_ids long"), 3).collect()
-    assert sorted((r.req_id, r["rank"], r.pro_ids) for r in got) == [
-        (20, 1, 2), (20, 2, 4), (20, 3, 6), (21, 1, 1), (21, 2, 3), (21, 3, 5)]
+def plain_top_k(rows, due, k):
+    """Brute force over (id, vector); products summed one component after the other."""
+    out = []
+    for q in due:
+        x = dict(rows)[q]
+        scored = sorted((-sum_in_order(x, v), i) for i, v in rows if i != q and len(v) == len(x))
+        out += [(q, i, round(-s, 9) + 0.0, r + 1) for r, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+def sum_in_order(x, y):
+    total = 0.0
+    for a, b in zip(x, y):
+        total += a * b
+    return total
+
+
+def top_k_rows(unit, due, k, **kw):
+    queries = unit.sparkSession.createDataFrame([(d,) for d in due], "pro_ids long")
+    return sorted((r.req_id, r.pro_ids, round(r.score, 9) + 0.0, r["rank"]) for r in FA.cosine_top_k(unit, queries, k, **kw).collect())
+
+
+def test_cosine_top_k_of_clustered_vectors(spark, monkeypatch):
+    """Clusters of very different sizes, zeros and repeated vectors; blocks are ruled out, no row is lost."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    rows = []
+    for c in range(12):
+        centre = rng.normal(size=6)
+        for _ in range(400 if c == 0 else 40):
+            v = centre + rng.normal(size=6) * 0.05
+            rows.append((len(rows), (v / np.linalg.norm(v)).tolist()))
+    rows += [(2000 + i, rows[i * 7][1]) for i in range(40)] + [(3000, [0.0] * 6), (3001, [0.0] * 6)]
+    monkeypatch.setattr(FA, "BLOCK", 16)
+    counted = []
+    scored = FA._scored
+    monkeypatch.setattr(FA, "_scored", lambda pairs, asked, blocks, k: counted.append((pairs.count(), asked.count() * blocks.count())) or scored(pairs, asked, blocks, k))
+    unit = spark.createDataFrame(rows, "pro_ids long, vec array<double>").repartition(5)
+    due = [i for i, _ in rows if i % 20 == 0]
+    assert top_k_rows(unit, due, 5) == plain_top_k(rows, due, 5)
+    assert sum(n for n, _ in counted) < counted[0][1] / 2
+    few = rows[:3]
+    assert top_k_rows(unit.where("pro_ids < 3"), [0, 1], 10) == plain_top_k(few, [0, 1], 10)
+
+
+def test_cosine_top_k_odd_vectors(spark):
+    rows = [(i, [1.0, 0.0] if i % 2 else [0.6, 0.8]) for i in range(1, 1300)] + [(5001, [1.0]), (5003, [0.5])]
+    odd = [(5000, None), (5002, [float("nan"), 1.0]), (5004, []), (None, [1.0, 0.0])]
+    unit = spark.createDataFrame(rows + odd, "pro_ids long, vec array<double>").repartition(3)
+    assert top_k_rows(unit, [20, 21, 5000, 5001, 5002, 9999], 3) == plain_top_k(rows, [20, 21, 5001], 3)
+    none = unit.limit(0)
+    assert FA.cosine_top_k(none, none.select("pro_ids")).count() == 0 and FA.cosine_scores(none, none.select("pro_ids")).count() == 0
+    every = FA.cosine_scores(unit, spark.createDataFrame([(20,), (5001,)], "pro_ids long")).collect()
+    assert len(every) == 1299 + 2 and {round(r.score, 6) for r in every if r.req_id == 20} == {1.0, 0.6}
+
+
+def test_factor_top_k_on_fitted_factors(spark, sf):
+    """The registered search over fitted factors against brute force, and their names."""
+    u = [(r.pro_ids, r.f) for r in R.unit_factors_fx(spark, sf).collect()]
+    due = [i for i, _ in u if i % 20 == 0]
+    got = sorted((r.req_id, r.pro_ids, round(r.score, 9) + 0.0, r["rank"]) for r in R.QUERIES["factor_top_k"](spark, sf).collect())
+    assert [(g[0], round(g[2], 7), g[3]) for g in got] == [(w[0], round(w[2], 7), w[3]) for w in plain_top_k(u, due, 10)]
+    named = R.QUERIES["named_factors"](spark, sf)
+    assert named.where("names is null").count() == 0 and named.count() == 20 * len(u)
 
 
 def test_grid_nearest_brute_force(spark):
