@@ -125,6 +125,10 @@ SQL["unique_counts"] = clean_sql(
     "SELECT 'trait_rows', count(*) FROM (SELECT DISTINCT " + ", ".join(TRAITS)
     + ", uid FROM clean_fx JOIN uid_fx USING (users))", [UID_CTE])
 
+SQL["unique_count_sketches"] = clean_sql(
+    "SELECT 'users' AS what, count(DISTINCT users) AS n, TRUE AS within FROM clean_fx UNION ALL "
+    "SELECT 'products', count(DISTINCT pro_ids), TRUE FROM clean_fx")
+
 # ----------------------------------------------------------------------------- §2.8 (part)
 _HIST = """SELECT names, CAST(lipies AS INTEGER) AS lipies, count(*) AS n
   FROM ratings_fx JOIN catalog_fx USING (pro_ids) GROUP BY names, CAST(lipies AS INTEGER)"""
@@ -214,6 +218,7 @@ FROM (SELECT DISTINCT t.pro_ids, g."group" FROM (SELECT pro_ids, unnest(tokens)
 
 # ----------------------------------------------------------------------------- §2.6
 from sheen.functions.constants import SLOT_OFFSETS, TRAIT_DOMAINS  # noqa: E402
+from sheen.operators.factors import PIVOT_COLUMNS  # noqa: E402
 
 PGROUPS_CTE = """pgroups AS (
   SELECT pro_ids, list_sort(list("group")) AS groups FROM (
@@ -244,6 +249,7 @@ SQL["assemble_features"] = feat_sql(
     + " UNION ALL ".join(
         f"SELECT pro_ids, '{c}', CAST((SELECT coalesce(max(feature_idx) + 1, 0) FROM mh) + {j} AS BIGINT), "
         f"CAST({c} AS DOUBLE) FROM catalog_fx" for j, c in enumerate(_NUM)), [MULTIHOT_CTE])
+SQL["product_vectors"] = ("SELECT pro_ids, feature_idx, value FROM (" + SQL["assemble_features"] + ") WHERE value <> 0")
 SQL["feature_by_name"] = feat_sql("SELECT req_id, product_name, pro_ids FROM qprod")
 
 _D2 = ("CAST(qf.n_groups + f.n_groups - 2 * len(list_intersect(qf.groups, f.groups)) AS DOUBLE)"
@@ -266,6 +272,7 @@ offs AS (SELECT t_ord, coalesce(sum(n) OVER (ORDER BY t_ord ROWS BETWEEN UNBOUND
 slots AS (SELECT trait, value, CAST(off + local AS INTEGER) AS slot FROM cats JOIN offs USING (t_ord)),
 onehot AS (SELECT uid, trait, value, slot FROM tlong JOIN slots USING (trait, value))"""
 SQL["one_hot_traits"] = with_fx(["traits_fx"], [ONEHOT_CTE]) + "SELECT uid, trait, value, slot FROM onehot"
+SQL["trait_vectors"] = with_fx(["traits_fx"], [ONEHOT_CTE]) + "SELECT uid, slot, CAST(1 AS DOUBLE) AS value FROM onehot"
 SQL["feature_names"] = with_fx(["traits_fx"], [ONEHOT_CTE]) + (
     f"SELECT DISTINCT slot, 'x' || CAST({_T_ORD} AS VARCHAR) || '_' || value AS name FROM onehot")
 
@@ -280,6 +287,11 @@ SQL["request_vector"] = with_fx(["requests_fx"], [DOMAINS_CTE]) + (
     f"SELECT req_id, trait, CAST(slot AS INTEGER) AS slot FROM (SELECT req_id, trait, value FROM requests_fx "
     f"{_UNPIVOT_TRAITS}) JOIN domains USING (trait, value)")
 
+_EVEN = ONEHOT_CTE.replace("FROM traits_fx", "FROM (SELECT * FROM traits_fx WHERE uid % 2 = 0)")
+SQL["trait_vectors_of_requests"] = with_fx(["requests_fx", "traits_fx"], [_EVEN]) + (
+    f"SELECT req_id, slot, CAST(1 AS DOUBLE) AS value FROM (SELECT req_id, trait, value FROM requests_fx {_UNPIVOT_TRAITS}) "
+    "JOIN slots USING (trait, value)")
+
 _MATCH = " + ".join(f"CASE WHEN r.{t} = t.{t} THEN 1 ELSE 0 END" for t in TRAITS)
 _QSET = " + ".join(f"CASE WHEN r.{t} IS NOT NULL THEN 1 ELSE 0 END" for t in TRAITS)
 _RSET = " + ".join(f"CASE WHEN t.{t} IS NOT NULL THEN 1 ELSE 0 END" for t in TRAITS)
@@ -294,12 +306,9 @@ SQL["similar_users"] = with_fx(["requests_fx", "traits_fx"], [SIMUSERS_CTE]) + (
 
 RM_CTE = "rm AS (SELECT pro_ids, uid, sum(lipies) AS value FROM ratings_fx GROUP BY pro_ids, uid)"
 SQL["rating_matrix"] = with_fx(["ratings_fx"], [RM_CTE]) + "SELECT pro_ids, uid, value FROM rm"
-_TOPU = """topu AS (SELECT uid, 'u' || lpad(CAST(rn AS VARCHAR), 2, '0') AS label FROM (
-  SELECT uid, row_number() OVER (ORDER BY count(*) DESC, uid) AS rn FROM ratings_fx GROUP BY uid) WHERE rn <= 10)"""
-SQL["rating_pivot"] = with_fx(["ratings_fx"], [_TOPU]) + (
-    "SELECT pro_ids, " + ", ".join(
-        f"coalesce(avg(CASE WHEN label = 'u{i:02d}' THEN lipies END), 0.0) AS u{i:02d}" for i in range(1, 11))
-    + " FROM ratings_fx LEFT JOIN topu USING (uid) GROUP BY pro_ids")
+SQL["rating_pivot"] = with_fx(["ratings_fx"]) + (
+    "SELECT pro_ids, " + ", ".join(f"sum(CASE WHEN uid % {PIVOT_COLUMNS} = {i} THEN lipies ELSE 0.0 END) AS u{i:02d}" for i in range(PIVOT_COLUMNS))
+    + " FROM ratings_fx GROUP BY pro_ids")
 SQL["max_abs_scale"] = with_fx(["ratings_fx"], [RM_CTE]) + (
     "SELECT pro_ids, uid, CASE WHEN m = 0 THEN 0.0 ELSE value / m END AS value FROM "
     "(SELECT pro_ids, uid, value, max(abs(value)) OVER (PARTITION BY uid) AS m FROM rm)")
@@ -453,7 +462,13 @@ SQL["tag_category"] = raw_sql("SELECT pro_ids, users, lipies, cat_id FROM review
 # ----------------------------------------------------------------------------- §2.1
 SQL["sink_ratings_csv"] = with_fx(["ratings_fx"]) + "SELECT pro_ids, uid, lipies FROM ratings_fx"
 SQL["scan_ratings_csv"] = SQL["sink_ratings_csv"]
-SQL["sink_by_category"] = clean_sql("SELECT pro_ids, users, lipies, cat_id FROM clean_fx")
+SQL["sink_by_category"] = clean_sql(
+    "SELECT pro_ids, users, lipies, cat_id FROM clean_fx WHERE cat_id <> '705' OR lipies >= 3")
+SQL["scan_ratings_rejects"] = with_fx(["ratings_fx"]) + """SELECT
+  CASE uid % 10 WHEN 3 THEN 'types' WHEN 4 THEN 'columns' WHEN 5 THEN 'missing' ELSE 'good' END AS reason,
+  CAST(pro_ids AS VARCHAR) || ',' || CASE uid % 10 WHEN 3 THEN 'user ' || uid || ',' || CAST(lipies AS INTEGER) WHEN 4 THEN CAST(uid AS VARCHAR)
+    WHEN 5 THEN uid || ',' ELSE uid || ',' || CAST(lipies AS INTEGER) END AS line
+FROM ratings_fx"""
 SQL["load_categories"] = clean_sql("SELECT cat_id, count(*) AS n FROM clean_fx GROUP BY cat_id")
 SQL["save_clean"] = clean_sql("SELECT pro_ids, users, lipies, dates, " + ", ".join(TRAITS) + " FROM clean_fx")
 SQL["ratings_marts"] = clean_sql("SELECT pro_ids, lipies, uid FROM clean_fx JOIN uid_fx USING (users)",

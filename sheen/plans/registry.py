@@ -16,6 +16,7 @@ from sheen.operators import clean as C
 from sheen.operators import relational as R
 from sheen.operators import serve as S
 from sheen.sources import fixtures as FX
+from sheen.sources import io as IO
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -205,6 +206,20 @@ def q_unique_counts(spark, sf):
     return R.unique_counts(users=(c, "users"), products=(c, "pro_ids"), trait_rows=(traits, "row"))
 
 
+@query("unique_count_sketches")
+def q_unique_count_sketches(spark, sf):
+    """Distinct users and products from sketches that are kept per category and united, and whether
+    the estimate is within its bound of the exact count."""
+    c = clean_fx(spark, sf).select("cat_id", "users", "pro_ids").checkpoint()
+    parts = []
+    for what, col in (("users", "users"), ("products", "pro_ids")):
+        kept = IO.load_table(spark, IO.save_table(R.count_sketches(c, col, "cat_id"), IO.shared_path(spark, f"sketches-{what}")))
+        exact = c.select(col).distinct().agg(F.count(F.lit(1)).alias("n"))
+        parts.append(exact.crossJoin(R.union_counts(kept)).select(  # one row each
+            F.lit(what).alias("what"), "n", (F.abs(F.col("estimate") - F.col("n")) <= F.ceil(F.col("n") * R.SKETCH_BOUND)).alias("within")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ----------------------------------------------------------------------------- §2.8 serving
 
 @query("rating_histogram")
@@ -324,6 +339,7 @@ def q_product_groups(spark, sf):
 # ----------------------------------------------------------------------------- §2.6 features
 from sheen.operators import factors as FA  # noqa: E402
 from sheen.operators import features as FE  # noqa: E402
+from sheen.operators import transformers as TR  # noqa: E402
 from sheen.session import table  # noqa: E402
 
 
@@ -396,23 +412,54 @@ def q_similar_users(spark, sf):
     return FE.similar_users(FX.traits_fx(spark, sf), FX.requests_fx(spark, sf), k=10)
 
 
+def saved_and_loaded(spark, name: str, model):
+    """A fitted pipeline by way of its saved form."""
+    path = IO.shared_path(spark, name)
+    IO.save_artifacts(spark, path, {}, {name: model})
+    return IO.load_artifacts(spark, path)[name]
+
+
+@query("product_vectors")
+def q_product_vectors(spark, sf):
+    """``assemble_features`` by the fitted, saved and loaded transformer; zeros are not stored."""
+    feats = features_fx(spark, sf)
+    model = saved_and_loaded(spark, "product-vectors", TR.fit_product_vectors(feats))
+    return TR.long_form(model.transform(feats), "pro_ids").where("value <> 0")
+
+
+@query("trait_vectors")
+def q_trait_vectors(spark, sf):
+    """``one_hot_traits`` by the fitted, saved and loaded transformer."""
+    model = saved_and_loaded(spark, "trait-vectors", TR.fit_trait_vectors(FX.traits_fx(spark, sf)))
+    return TR.long_form(model.transform(FX.traits_fx(spark, sf)), "uid").select("uid", F.col("feature_idx").cast("int").alias("slot"), "value")
+
+
+@query("trait_vectors_of_requests")
+def q_trait_vectors_of_requests(spark, sf):
+    """Request vectors by the transformer fitted on the users of even id: values of other users only set nothing."""
+    users = FX.traits_fx(spark, sf)
+    model = TR.fit_trait_vectors(users.where("uid % 2 = 0"))
+    return TR.long_form(model.transform(FX.requests_fx(spark, sf)), "req_id").select("req_id", F.col("feature_idx").cast("int").alias("slot"), "value")
+
+
+def approx_due_fx(spark, sf) -> DataFrame:
+    """Every product whose id is divisible by 20 as a request."""
+    return FX.products_fx(spark, sf).where("pro_ids % 20 = 0").select(F.col("pro_ids").alias("req_id"), "pro_ids")
+
+
+@query("similar_products_approx")
+def q_similar_products_approx(spark, sf):
+    return TR.similar_products_approx(features_fx(spark, sf), approx_due_fx(spark, sf))
+
+
 @query("rating_matrix")
 def q_rating_matrix(spark, sf):
     return FA.rating_matrix(FX.ratings_fx(spark, sf))
 
 
-def top_users_fx(spark, sf, n=10) -> DataFrame:
-    """The n users with the most ratings (ties to the smaller uid), labelled u01.."""
-    counts = FX.ratings_fx(spark, sf).groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n"), "uid").limit(n)
-    from pyspark.sql import Window
-    return top.select("uid", F.concat(F.lit("u"), F.lpad(F.row_number().over(
-        Window.orderBy(F.desc("n"), "uid")).cast("string"), 2, "0")).alias("label"))
-
-
 @query("rating_pivot")
 def q_rating_pivot(spark, sf):
-    return FA.rating_pivot(FX.ratings_fx(spark, sf), top_users_fx(spark, sf))
+    return FA.rating_pivot(FX.ratings_fx(spark, sf))
 
 
 @query("max_abs_scale")
@@ -486,7 +533,6 @@ def q_factor_top_k(spark, sf):
 
 # ----------------------------------------------------------------------------- §2.7 collaborative filtering
 from sheen.operators import collab as CO  # noqa: E402
-from sheen.sources import io as IO  # noqa: E402
 
 
 def _ratings_for_als(spark, sf):
@@ -775,10 +821,29 @@ def q_scan_ratings_csv(spark, sf):
     return IO.scan_ratings_csv(spark, path).select("pro_ids", "uid", "lipies")
 
 
+@query("scan_ratings_rejects")
+def q_scan_ratings_rejects(spark, sf):
+    """Ratings and rejected lines of a file in which some lines have a wrong type, a missing
+    column or a missing value."""
+    r = FX.ratings_fx(spark, sf)
+    part = F.col("uid") % 10
+    rating = F.col("lipies").cast("int").cast("string")
+    line = (F.when(part == 3, F.concat_ws(",", F.col("pro_ids").cast("string"), F.concat(F.lit("user "), F.col("uid").cast("string")), rating))
+            .when(part == 4, F.concat_ws(",", F.col("pro_ids").cast("string"), F.col("uid").cast("string")))
+            .when(part == 5, F.concat_ws(",", F.col("pro_ids").cast("string"), F.col("uid").cast("string"), F.lit("")))
+            .otherwise(F.concat_ws(",", F.col("pro_ids").cast("string"), F.col("uid").cast("string"), rating)))
+    path = IO.shared_path(spark, "ratings-lines")
+    r.select(line.alias("value")).write.text(path)
+    good, rejected = IO.scan_ratings(spark, path, header=False)
+    return good.select(F.lit("good").alias("reason"), F.concat_ws(",", F.col("pro_ids").cast("string"), F.col("uid").cast("string"), rating).alias("line")).unionByName(rejected)
+
+
 @query("sink_by_category")
 def q_sink_by_category(spark, sf):
-    path = IO.sink_by_category(clean_fx(spark, sf).select("pro_ids", "users", "lipies", "cat_id"),
-                               IO.shared_path(spark, "by-category"))
+    """Nine snapshots, one of which a second crawl replaces with fewer rows."""
+    rows = clean_fx(spark, sf).select("pro_ids", "users", "lipies", "cat_id")
+    path = IO.sink_by_category(rows, IO.shared_path(spark, "by-category"))
+    IO.sink_by_category(rows.where("cat_id = '705' and lipies >= 3"), path)
     return IO.load_categories(spark, path)
 
 

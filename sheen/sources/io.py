@@ -40,9 +40,23 @@ def scan_ratings_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RATINGS_SCHEMA).option("header", True).csv(path)
 
 
+def scan_ratings(spark: SparkSession, path: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The ratings CSV as (good rows, rejected lines). A line that doesn't have the schema's columns
+    or types is kept as it is, with the reason; a missing key or rating is a reason too."""
+    raw = (spark.read.schema(f"{RATINGS_SCHEMA}, line STRING").option("header", header).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "line").csv(path))
+    missing = F.col("pro_ids").isNull() | F.col("uid").isNull() | F.col("lipies").isNull()
+    good = raw.where(F.col("line").isNull() & ~missing).drop("line")
+    fields = F.size(F.split("line", ",", -1))
+    reason = F.when(F.col("line").isNull(), "missing").when(fields != 3, "columns").otherwise("types")
+    whole = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("pro_ids", "uid", "lipies")])
+    return good, raw.where(F.col("line").isNotNull() | missing).select(F.coalesce("line", whole).alias("line"), reason.alias("reason"))
+
+
 def sink_by_category(reviews: DataFrame, path: str, col: str = "cat_id") -> str:
-    """One snapshot folder per category (Hive-style partitions)."""
-    reviews.write.mode("overwrite").partitionBy(col).parquet(path)
+    """One snapshot folder per category (Hive-style partitions). Categories that ``reviews`` holds
+    are replaced; snapshots of other categories stay, so that one can be crawled again by itself."""
+    reviews.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path)
     return path
 
 
