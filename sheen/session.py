@@ -27,6 +27,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "she
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="sheen-warehouse-"))
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
