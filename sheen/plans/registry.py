@@ -15,6 +15,7 @@ from sheen.functions.text import ustrip
 from sheen.operators import clean as C
 from sheen.operators import relational as R
 from sheen.operators import serve as S
+from sheen.session import ensure_checkpoint_dir
 from sheen.sources import fixtures as FX
 from sheen.sources import io as IO
 
@@ -244,7 +245,9 @@ from sheen.operators import ingredients as I  # noqa: E402
 
 
 def tokens_fx(spark, sf) -> DataFrame:
-    return I.product_tokens(FX.ingredient_texts_fx(spark, sf), products=FX.products_fx(spark, sf))
+    """Tokenised where the texts are read, from files that give every core some."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sheen-texts-{IO.input_key(spark, sf, ['documents'])}"
+    return I.product_tokens(IO.spread_files(FX.ingredient_texts_fx(spark, sf), path), products=FX.products_fx(spark, sf))
 
 
 def vocab_fx(spark, sf) -> DataFrame:
@@ -351,7 +354,6 @@ def features_fx(spark, sf, groups: DataFrame | None = None) -> DataFrame:
     """Catalog features, materialised once: the token table is reused by the
     vocabulary and the product groups, and the features by both sides of the
     neighbour search (request products and candidates)."""
-    from sheen.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     tokens = tokens_fx(spark, sf).checkpoint(eager=True)
     if groups is None:

@@ -95,6 +95,21 @@ def ratings_marts(reviews_uid: DataFrame, path: str) -> dict[str, str]:
     return paths
 
 
+def spread_files(df: DataFrame, path: str) -> DataFrame:
+    """``df`` unless its files split into fewer tasks than the session has cores; then a copy in
+    several files a core, written as the rows are read (no shuffle), because work that is done
+    where rows are read runs in as many tasks as the files give. Large tables have many
+    row groups and are read as they are."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    if not _fs(spark, path)[0].exists(_fs(spark, f"{path}/_SUCCESS")[1]):
+        rows = max(1, -(-df.count() // (4 * cores)))
+        df.write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 # ----------------------------------------------------------------------------- artifacts
 # A set of artifacts is a folder with one sub-folder per version and one manifest per
 # complete version. The manifest is written last and renamed into place, so a set that was

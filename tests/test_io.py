@@ -84,3 +84,16 @@ def test_recommend_serves_saved_models(spark, sf):
     assert set(per) == {r.req_id for r in FX.requests_fx(spark, sf).where("product_name is not null").collect()}
     counts = {r.artifact: r.n_rows for r in R.QUERIES["save_artifacts"](spark, sf).collect()}
     assert counts["labels"] == counts["exemplar_members"] == tables["labels"].count() > 0
+
+
+def test_spread_files(spark, tmp_path):
+    """A file that one task reads is copied into several; the rows stay the same."""
+    src = str(tmp_path / "one")
+    spark.range(1000).coalesce(1).write.parquet(src)
+    df = spark.read.parquet(src)
+    got = IO.spread_files(df, str(tmp_path / "copy"))
+    assert got.rdd.getNumPartitions() > df.rdd.getNumPartitions() and got.exceptAll(df).count() == 0 and got.count() == 1000
+    assert IO.spread_files(df, str(tmp_path / "copy")).count() == 1000
+    wide = spark.range(1000).repartition(64)
+    assert IO.spread_files(wide, str(tmp_path / "none")) is wide
+    assert IO.spread_files(df.limit(0), str(tmp_path / "empty")).count() == 0
