@@ -13,9 +13,10 @@ from sheen.llm.hashing import BYTE_VALUE, LOWER, Sequence, mix, pieces, text_buf
 #: Rows of each weak label, at most, that the scorer is fitted on: those with a given label
 #: first, then by hashed id, however many documents there are. All documents are scored.
 SAMPLE = 10_000
-#: With as many given good labels, only these are examples of good ones: a document of which no
-#: labeller says anything bad may still be bad in a way that they don't know.
-LEAST_GIVEN = 100
+#: A document of which no labeller says anything bad may still be bad in a way that they don't
+#: know. So the more good labels are given, the less such weak ones weigh: with n given ones, a
+#: weak one weighs HALF / (HALF + n) of a given one.
+HALF = 5.0
 #: Rows of the sample, and their share of it, that a word must occur in to be a feature.
 LEAST_ROWS, LEAST_SHARE = 5, 0.0005
 #: Of the scorer's fit: lasso, ridge, step size, passes over the sample.
@@ -209,12 +210,9 @@ def fit_scorer(docs: DataFrame, weak: DataFrame):
     """(ids, weights, bias) of a sparse logistic regression on hashed features, or None if
     the weak labels know one class only."""
     parts = []
-    enough = weak.where("given and p_bad < 0.5").limit(LEAST_GIVEN).count() >= LEAST_GIVEN
     for bad in (True, False):
         side = weak.where((F.col("p_bad") >= 0.5) if bad else (F.col("p_bad") < 0.5))
-        if enough and not bad:
-            side = side.where("given")
-        parts.append(side.orderBy(F.desc("given"), F.xxhash64("rid"), "rid").limit(SAMPLE).select("rid", "p_bad"))
+        parts.append(side.orderBy(F.desc("given"), F.xxhash64("rid"), "rid").limit(SAMPLE).select("rid", "p_bad", "given"))
     sample = frozen(parts[0].union(parts[1]), "sample")
     if sample.agg(F.countDistinct(F.col("p_bad") >= 0.5)).first()[0] < 2:
         return None
@@ -227,12 +225,16 @@ def fit_scorer(docs: DataFrame, weak: DataFrame):
                 f, d = _features(*_statistics(buf[off[i]:off[j]], off[i:j + 1] - off[i]))
                 order = np.argsort(d, kind="stable")
                 ids += [x.view(np.int32) for x in np.split(f[order], np.cumsum(np.bincount(d, minlength=j - i))[:-1])]
-            yield pa.RecordBatch.from_pydict({"rid": batch.column(0), "ids": pa.array(ids, pa.list_(pa.int32())), "p_bad": batch.column(2)})
+            yield pa.RecordBatch.from_pydict({"rid": batch.column(0), "ids": pa.array(ids, pa.list_(pa.int32())), "p_bad": batch.column(2),
+                                              "given": batch.column(3)})
 
     rows = docs.select(F.col(RID).alias("rid"), "t").join(F.broadcast(sample), "rid").mapInArrow(
-        run, "rid long, ids array<int>, p_bad double")
-    n_bad, n = sample.agg(F.sum((F.col("p_bad") >= 0.5).cast("long")), F.count(F.lit(1))).first()
-    even = F.when(F.col("p_bad") >= 0.5, n / (2 * n_bad)).otherwise(n / (2 * (n - n_bad)))  # both classes weigh alike
+        run, "rid long, ids array<int>, p_bad double, given boolean")
+    is_bad = F.col("p_bad") >= 0.5
+    n_told = sample.where(F.col("given") & ~is_bad).count()
+    share = F.when(is_bad | F.col("given"), 1.0).otherwise(HALF / (HALF + n_told))
+    n_bad, n_good = sample.agg(F.sum(F.when(is_bad, share)), F.sum(F.when(~is_bad, share))).first()
+    even = share * F.when(is_bad, (n_bad + n_good) / (2 * n_bad)).otherwise((n_bad + n_good) / (2 * n_good))  # both classes weigh alike
     rows = frozen(rows.select((F.col("p_bad") < 0.5).cast("double").alias("good"),
                               (even * F.abs(2 * F.col("p_bad") - 1)).alias("weight"), "ids"), "features")
 
