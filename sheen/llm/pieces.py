@@ -20,8 +20,16 @@ CHUNK = 1 << 18
 INDEXED = 1 << 15
 
 
-def default_model() -> str:
-    """The public 32k model of this machine."""
+#: Session setting that names the model file.
+MODEL = "spark.sheen.tokenizer.model"
+
+
+def default_model(spark=None) -> str:
+    """The model file that the session's ``MODEL`` setting names, else the public 32k model of
+    this machine's tokenizer package. Only the driver reads the file."""
+    path = spark.conf.get(MODEL, None) if spark is not None else None
+    if path:
+        return path
     import public_tokenizers
     return public_tokenizers.path("piece_bpe_32k.model")
 
@@ -290,15 +298,15 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
 
     Rows stay in their partition: nothing is shuffled. Null or empty text: no tokens. Characters
     that the model doesn't know become its byte tokens. U+2581 in a text is the model's own sign
-    for a space and decodes to one. Repeated rows and null keys are rows like others. Empty
+    for a space and decodes to one, so round_trip is false there. Very long texts are cut into
+    segments chunk by chunk; a task holds one text and its tokens. Repeated rows and null keys are rows like others. Empty
     table: empty result. Extra columns are not read.
     """
-    values = read_model(model or default_model())
+    values = read_model(model or default_model(docs.sparkSession))
     docs = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
 
     def run(batches):
         encoder = Encoder(values)
-        sign = SPACE.encode()
         for batch in batches:
             buf, off = text_buffer(batch.column(1))
             for i, j, tokens, counts in encoder.encode(buf, off):
@@ -308,7 +316,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
                 ok = np.ones(j - i, bool)
                 if not same:
                     back, source = back.tobytes(), source.tobytes()
-                    ok[:] = [back[a:b] == source[c:d].replace(sign, b" ") for a, b, c, d in zip(
+                    ok[:] = [back[a:b] == source[c:d] for a, b, c, d in zip(
                         at[:-1].tolist(), at[1:].tolist(), source_at[:-1].tolist(), source_at[1:].tolist())]
                 yield pa.RecordBatch.from_pydict({
                     "id": batch.column(0).slice(i, j - i), "ids": _lists(counts, tokens),
@@ -321,7 +329,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
 def decode(rows: DataFrame, ids: str = "ids", text: str = "text", model: str | None = None) -> DataFrame:
     """``rows`` with column ``text``: the text of the tokens. Null ids: null text; ids beyond the
     vocabulary stop the job."""
-    values = read_model(model or default_model())
+    values = read_model(model or default_model(rows.sparkSession))
     schema = rows.drop(text).schema.add(text, "string")
     names = rows.drop(text).columns
 
