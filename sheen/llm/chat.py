@@ -7,7 +7,7 @@ roles are fixed names; any other role is written URL-encoded behind ``=``, a nul
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 KNOWN = {"user": "User", "assistant": "Assistant", "system": "System"}
@@ -73,29 +73,37 @@ def render_turns(turns: DataFrame, role: str = "role", text: str = "text") -> Da
 
 
 def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
-                 text: str = "text") -> DataFrame:
-    """One row per conversation: ``conv``, formatted, turns (the parse of formatted).
+                 text: str = "text", learn: str = "assistant") -> DataFrame:
+    """One row per conversation: ``conv``, formatted, turns (the parse of formatted), loss_spans
+    (start and end, in code points, of the texts of role ``learn`` as they stand in formatted).
 
     Rows are ordered by turn, ties by role and text, nulls first. Turns are rendered, parsed
     and escaped row by row; the rows of a conversation then meet once, its output being one
     string, and that string is parsed again and compared to the source turns. Null text:
     empty; null role: kept as null; null conversation id: one conversation. Repeated rows
-    are repeated turns. Empty table: empty result. Extra columns are not read.
+    are repeated turns. Empty table: empty result. Extra columns are not read. Very long texts
+    are kept whole; a conversation must fit in a cell, as its output is one string.
     """
     t = turns.select(F.col(conv).alias("c"), F.col(turn).alias("n"), F.col(role).alias("r"),
                      F.coalesce(F.col(text), F.lit("")).alias("t"))
-    t = render_turns(t, "r", "t").groupBy("c").agg(
-        F.sort_array(F.collect_list(F.struct("n", "r", "t", "rendered"))).alias("src"))
-    t = t.withColumn("formatted", F.array_join(F.col("src.rendered"), ""))
+    before = Window.partitionBy("c").orderBy("n", "r", "t").rowsBetween(Window.unboundedPreceding, -1)
+    t = render_turns(t, "r", "t").withColumn("at", F.coalesce(F.sum(F.char_length("rendered")).over(before), F.lit(0)))
+    t = t.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("n", "r", "t", "rendered", "at"))).alias("src"))
+    spans = F.transform(F.filter("src", lambda x: x["r"] == learn), lambda x: F.struct(
+        (x["at"] + F.char_length(F.concat(F.lit("### "), _header(x["r"]), F.lit(": ")))).alias("start"),
+        (x["at"] + F.char_length(x["rendered"]) - len(END)).alias("end")))
+    t = t.withColumn("formatted", F.array_join(F.col("src.rendered"), "")).withColumn("loss_spans", spans)
     t = t.withColumn("turns", parse(F.col("formatted")))
     same = F.transform("src", lambda x: F.struct(x["r"].alias("role"), x["t"].alias("text"), F.lit(True).alias("strict")))
     return t.select(F.col("c").alias(conv), "formatted", F.when(F.to_json("turns") == F.to_json(same), F.col("turns"))
-                    .otherwise(F.raise_error(F.lit("a conversation does not survive the round trip"))).alias("turns"))
+                    .otherwise(F.raise_error(F.lit("a conversation does not survive the round trip"))).alias("turns"), "loss_spans")
 
 
 def digests(chats: DataFrame, conv: str = "conv_id") -> DataFrame:
-    """Digest columns read back from ``format_chats``; the loss mask covers assistant texts."""
-    masked = F.array_join(F.transform(F.filter("turns", lambda x: x["role"] == "assistant"), lambda x: x["text"]), "")
+    """Digest columns read back from ``format_chats``: the masked text is cut from ``formatted`` by
+    ``loss_spans`` and unescaped."""
+    cut = lambda s: F.substr("formatted", (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
+    masked = F.array_join(F.transform("loss_spans", lambda s: _unescape(cut(s))), "")
     told = F.array_join(F.transform("turns", lambda x: F.concat(
         F.coalesce(x["role"], F.lit("")), F.lit("\n"), x["text"], F.lit("\n"))), "")
     return (chats.withColumn("__masked__", masked).select(
