@@ -183,3 +183,30 @@ def test_components(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: root(x) for x in up}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_secret_ledger_read_once(spark):
+    """A blob that two runs appended gives one row for each path, and the query uses a filled ledger."""
+    ledger = scratch_path(spark, "ledger")
+    v = spark.createDataFrame([("a", "token=abcdefgh1"), ("b", "token=abcdefgh1"), (None, None)], "path string, text string")
+    first = sorted(map(str, secrets.scan_versions(spark, v, ledger).collect()))
+    spark.read.parquet(ledger).where("size(spans) > 0").write.mode("append").partitionBy("rule_version").parquet(ledger)
+    assert sorted(map(str, secrets.scan_versions(spark, v, ledger).collect())) == first and len(first) == 3
+    docs = docs_of(spark, [(i, f"secret: abcdefgh{i}", "s") for i in range(30)])
+    ledger = scratch_path(spark, "ledger")
+    got = secrets.secret_digests(spark, docs, ledger).collect()
+    assert len(got) == 30 and all(r.n_assign == 1 for r in got)
+    assert spark.read.parquet(ledger).count() == spark.read.parquet(ledger).select("blob").distinct().count() == 30
+
+
+def test_loss_spans_cut_the_assistant_texts(spark):
+    """Spans count code points of formatted and hold the escaped assistant texts, in order."""
+    said = r"\### Assistant: </turn> ok"
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "é🙂 ok"), (1, 2, "user", said), (1, 3, "assistant", said), (1, 4, "assistant", None),
+            (2, 0, None, "x"), (3, 0, "assistant", "a"), (3, 0, "assistant", "a")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    got = {r.conv_id: r for r in chat.format_chats(turns).collect()}
+    cut = {c: [r.formatted[s.start:s.end] for s in r.loss_spans] for c, r in got.items()}
+    plain = turns.sparkSession.createDataFrame([(x,) for x in cut[1]], "t string").select(chat._unescape(F.col("t")).alias("t"))
+    assert [r.t for r in plain.collect()] == ["é🙂 ok", said, ""]
+    assert cut[2] == [] and cut[3] == ["a", "a"]

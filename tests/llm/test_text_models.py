@@ -37,6 +37,49 @@ def test_labellers_by_hand():
     assert (p[:3] > 0.5).all() and (p[3:] < 0.1).all() and len(right) == 4 and (right < 1).all()
 
 
+def test_labellers_equal_a_plain_em():
+    """Posteriors and accuracies of expectation-maximisation, pattern by pattern and row by row."""
+    rng = np.random.default_rng(5)
+    votes = rng.integers(0, 2, (30, 4))
+    says, given = ["bad", "bad", "good", "good"], rng.integers(0, 3, 30)
+    counts = rng.integers(1, 50, 30).astype(float)
+    got, right = quality.fit_labellers(votes, says, given, counts)
+    kinds = [*says, "given"]
+    acc, prior, p = [sum(quality.BOUNDS[k]) / 2 for k in kinds], 0.2, [0.0] * 30
+    for _ in range(1000):
+        new = []
+        for v, g in zip(votes, given):
+            said = [(1 if k == "bad" else -1) if x else 0 for x, k in zip(v, says)] + [{0: 0, 1: -1, 2: 1}[int(g)]]
+            bad, good = prior, 1 - prior
+            for x, a in zip(said, acc):
+                bad *= {1: a, -1: 1 - a, 0: 1}[x]
+                good *= {1: 1 - a, -1: a, 0: 1}[x]
+            new.append((bad / (bad + good), said))
+        done = max(abs(x - y) for (x, _), y in zip(new, p)) < 1e-9
+        if done:
+            break
+        p = [x for x, _ in new]
+        prior = min(max(sum(x * c for x, c in zip(p, counts)) / counts.sum(), 0.01), 0.5)
+        for j, k in enumerate(kinds):
+            low, high = quality.BOUNDS[k]
+            n = sum(c for (_, said), c in zip(new, counts) if said[j])
+            hit = sum(c * (x if said[j] > 0 else 1 - x) for (x, said), c in zip(new, counts) if said[j])
+            acc[j] = min(max((hit + low) / (n + 1), low), high)
+    assert np.allclose(got, p, atol=1e-7) and np.allclose(right, acc, atol=1e-7)
+
+
+def test_weak_good_labels_weigh_less_the_more_are_given(spark):
+    """No number of given labels changes how rows are treated at once: scores move little by little."""
+    rng = random.Random(2)
+    rows = [(i, prose(rng)) for i in range(60)] + [(100 + i, "spam " * (30 + i)) for i in range(20)]
+    docs = docs_of(spark, rows)
+    kept = []
+    for n in (0, 1, 30, 60):
+        labels = spark.createDataFrame([(i, 1, 0) for i in range(n)] + [(100, 0, 0)], "doc_id long, quality int, toxic int")
+        kept.append({r.doc_id for r in quality.quality_scores(docs, labels).where("kept").collect()})
+    assert all(k == set(range(60)) for k in kept)
+
+
 PROSE = ["The river went past the old mill.", "Nobody in the house had heard the rain.", "She wrote three letters before noon,",
          "and then walked slowly to the harbour.", "A small boat waited there for the evening tide."]
 
@@ -83,7 +126,8 @@ def test_tokens_like_the_library(spark, library, sf):
         pieces.CHUNK = before
         assert out == library.encode([t or "" for _, t in rows])
     got = pieces.encode(docs_of(spark, rows).repartition(3))
-    assert all(r.round_trip and r.n_tokens == len(r.ids) for r in got.collect()) and got.count() == len(rows)
+    # U+2581 decodes to a space, which is not the text
+    assert all(r.round_trip == (r.doc_id != 1006) and r.n_tokens == len(r.ids) for r in got.collect()) and got.count() == len(rows)
     back = pieces.decode(got).collect()
     want = sorted(((i is not None, i or 0, (t or "").replace("▁", " ")) for i, t in rows))
     assert sorted((r.doc_id is not None, r.doc_id or 0, r.text) for r in back) == want
