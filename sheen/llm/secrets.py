@@ -82,15 +82,10 @@ def scan_versions(spark: SparkSession, versions: DataFrame, ledger: str, version
 
 
 def secret_digests(spark: SparkSession, docs: DataFrame, ledger: str | None = None) -> DataFrame:
-    """Per document: counts of the base kinds and the span lists (see ``scan_versions``).
-
-    Half of the rows, by a hash of their ids, is scanned first, as an earlier version of the
-    corpus; the whole corpus then scans what that left, and takes the rest from the ledger.
-    """
+    """Per document: counts of the base kinds and the span lists (see ``scan_versions``); without
+    a ``ledger`` of earlier runs, a new one is filled."""
     docs = with_row_id(docs)
-    ledger = ledger or scratch_path(spark, "ledger")
-    scan_versions(spark, docs.where(F.xxhash64(RID) % 2 == 0), ledger, LATEST, RID)
-    found = scan_versions(spark, docs, ledger, LATEST, RID)
+    found = scan_versions(spark, docs, ledger or scratch_path(spark, "ledger"), LATEST, RID)
     kinds = F.array(*[F.lit(r[0]) for r in RULES[LATEST]])
     n_base = len(BASE_KINDS)
 

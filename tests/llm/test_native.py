@@ -186,7 +186,7 @@ def test_components(spark):
 
 
 def test_secret_ledger_read_once(spark):
-    """A blob that two runs appended gives one row for each path, and the query uses a filled ledger."""
+    """A blob that two runs appended gives one row for each path; digests use a ledger that is partly filled."""
     ledger = scratch_path(spark, "ledger")
     v = spark.createDataFrame([("a", "token=abcdefgh1"), ("b", "token=abcdefgh1"), (None, None)], "path string, text string")
     first = sorted(map(str, secrets.scan_versions(spark, v, ledger).collect()))
@@ -194,6 +194,8 @@ def test_secret_ledger_read_once(spark):
     assert sorted(map(str, secrets.scan_versions(spark, v, ledger).collect())) == first and len(first) == 3
     docs = docs_of(spark, [(i, f"secret: abcdefgh{i}", "s") for i in range(30)])
     ledger = scratch_path(spark, "ledger")
+    secrets.secret_digests(spark, docs.where("doc_id < 12"), ledger)
+    assert spark.read.parquet(ledger).count() == 12
     got = secrets.secret_digests(spark, docs, ledger).collect()
     assert len(got) == 30 and all(r.n_assign == 1 for r in got)
     assert spark.read.parquet(ledger).count() == spark.read.parquet(ledger).select("blob").distinct().count() == 30
