@@ -197,7 +197,7 @@ SQL["token_edit_distance"] = tok_sql(f"""SELECT token_a, token_b, dist, -dist AS
   SELECT least(a.token, b.token) AS token_a, greatest(a.token, b.token) AS token_b, b.k,
          CAST(levenshtein(a.bt, b.bt) AS INTEGER) AS dist
   FROM v a JOIN (SELECT *, unnest(range(n - k, n + 1)) AS m FROM v) b ON a.n = b.m
-  WHERE (b.n > a.n OR a.token < b.token) AND {_DIFFER} <= 4 * b.k) WHERE dist <= k""", [VOCAB_CTE, f"""w AS (
+  WHERE (b.n > a.n OR a.token < b.token) AND {_DIFFER} <= 4 * b.k) WHERE dist <= k""", [VOCAB_CTE, f"""w AS MATERIALIZED (
   SELECT token, translate(token, '{_WIDE}', {_NARROW}) AS bt, length(token) AS n,
          greatest({EDITS}, length(token) // {PER_EDIT}) AS k FROM vocab)""", f"""sketch AS (
   SELECT token, {_SKETCH} FROM (
