@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sheen.llm import oracle
 from sheen.llm.chat import digests, format_chats
 from sheen.llm.common import documents
 from sheen.llm.embedding_dedup import embedding_dedup
@@ -161,4 +162,10 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(chars)::BIGINT AS formatted_chars
 FROM r GROUP BY conv_id""",
+    "op2_suffix_dedup": oracle.SUFFIX_DEDUP,
+    "op3_minhash_dedup": oracle.MINHASH_DEDUP,
+    "op7_embedding_dedup": oracle.EMBEDDING_DEDUP,
+    "op9_secret_scan": oracle.SECRET_SCAN,
+    "op10_substring_dedup": oracle.SUBSTRING_DEDUP,
+    "op12_periodic_runs": oracle.PERIODIC_RUNS,
 }
