@@ -12,6 +12,10 @@ are shuffled:
    seen before settles its windows; q-grams whose regions differ go on as open anchors.
 3. ``contexts``: the open anchors' regions are cut out of the documents and meet by q-gram
    again, where the operator compares their windows by its own method.
+
+The contexts of one q-gram are a shard, compared in one task. A shard of too many units is cut
+into smaller ones by a longer q-gram (twice as long each time, up to the whole window): its
+windows get new anchors and pass 2 and 3 again. At the whole window a shard is one text.
 """
 
 from __future__ import annotations
@@ -29,8 +33,6 @@ from sheen.llm.hashing import BYTE_VALUE, PIECE, anchors, mix, pieces, text_buff
 ROWS = "g long, e long, rid long, pos int, lo int, hi int, n int"
 COLS = ("g", "e", "rid", "pos", "lo", "hi", "n")
 OPEN = "open boolean, " + ROWS
-#: Contexts of one q-gram up to which one task compares them together.
-LARGEST_GROUP = 100_000
 #: Contexts that a task compares at a time.
 CONTEXTS = 20_000
 
@@ -156,7 +158,7 @@ def settle(rows: DataFrame, both: bool, partitions: int) -> DataFrame:
             yield from emit(*split(x, False))
         yield from emit(*split({k: np.zeros(0, np.int64) for k in COLS}, True))
 
-    rows = rows.repartition(partitions, "g").sortWithinPartitions("g", "e", "rid", "pos")
+    rows = rows.repartition(partitions, "g").sortWithinPartitions("g", "e", "rid", "pos", "lo")
     return rows.mapInArrow(run, OPEN)
 
 
@@ -223,39 +225,52 @@ def compare(ctx: DataFrame, repeated: Callable, partitions: int) -> DataFrame:
             .mapInArrow(run, "rid long, lo int, hi int"))
 
 
-def window_rows(ctx: DataFrame, window: int, size: int, both: bool) -> DataFrame:
-    """The same windows for q-grams with very many contexts: every window of theirs is a row
-    keyed by two 64-bit hashes, Spark counts the rows of a key (partly before the shuffle),
-    and each row learns the count and the first place of its key."""
-    step = window * size
-    rows = ctx.select("rid", "n", F.col("lo"), F.explode(F.sequence(F.lit(0), F.col("hi") - F.col("lo"))).alias("i"),
-                      "data")
-    bits = F.expr(f"substring(data, cast(i * {size} + 1 as int), {step})")
-    rows = frozen(rows.select("rid", "n", (F.col("lo") + F.col("i")).alias("p"),
-                              F.xxhash64(F.lit(1), bits).alias("h1"), F.xxhash64(F.lit(2), bits).alias("h2")), "windows")
-    keys = frozen(rows.groupBy("h1", "h2").agg(F.sum("n").alias("m"), F.min(F.struct("rid", "p")).alias("first"))
-                  .where("m > 1"), "keys")
-    hit = rows.join(keys, ["h1", "h2"])
-    if not both:
-        hit = hit.where((F.col("rid") != F.col("first.rid")) | (F.col("p") != F.col("first.p")))
-    return hit.select("rid", F.col("p").alias("lo"), F.col("p").alias("hi"))
-
-
-def repeated_windows(docs: DataFrame, kind: str, window: int, q: int, both: bool, repeated: Callable) -> DataFrame:
+def longer_anchors(ctx: DataFrame, kind: str, window: int, q: int) -> DataFrame:
+    """Anchors of the contexts' windows by q-grams of another length; ``pos`` is the context's ``lo``."""
+    def run(batches):
+        for batch in batches:
+            rid, start, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            raw, off = text_buffer(batch.column(3))
+            if kind == "words":
+                units, off = np.frombuffer(raw.tobytes(), np.uint64), off // 8
+            else:
+                units = BYTE_VALUE[raw]
+            for i, j in pieces(off, PIECE):
+                doc, _, lo, hi, g, e = anchors(units[off[i]:off[j]], off[i:j + 1] - off[i], window, q)
+                row = i + doc
+                yield _batch(dict(zip(COLS, (g, e, rid[row], start[row], start[row] + lo, start[row] + hi, n[row]))))
+
+    return ctx.select("rid", "lo", "n", "data").mapInArrow(run, ROWS)
+
+
+def repeated_windows(docs: DataFrame, kind: str, window: int, q: int, both: bool, repeated: Callable,
+                     shard: int) -> DataFrame:
     """(rid, lo, hi): runs of starts of the windows that occur elsewhere (``both``), or that
     also start earlier (smaller row id, or same row and earlier place). ``docs`` has RID and
-    t, the text without nulls."""
+    t, the text without nulls. ``shard``: units (bytes or words) that one task compares together."""
     conf = docs.sparkSession.conf
     parts = max(1, int(conf.get("spark.sql.shuffle.partitions")))
+    size = 8 if kind == "words" else 1
     state = frozen(settle(anchor_rows(docs, kind, window, q, both), both, parts), "anchors")
-    opened = state.where("open")
-    crowded = frozen(opened.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where(f"m > {LARGEST_GROUP}"), "crowded")
     out = state.where("not open").select("rid", "lo", "hi")
+    opened = state.where("open")
     ctx = contexts(docs, opened, kind, window)
-    if crowded.limit(1).count():
+    while q < window:
+        units = F.sum(F.col("hi") - F.col("lo") + window)
+        large = frozen(opened.groupBy("g").agg(units.alias("units")).where(f"units > {shard}").select("g"), "large")
+        if not large.limit(1).count():
+            break
         ctx = frozen(ctx, "contexts")
-        out = out.union(window_rows(ctx.join(crowded, "g", "left_semi"), window, 8 if kind == "words" else 1, both))
-        ctx = ctx.join(crowded, "g", "left_anti")
+        out = out.union(compare(ctx.join(large, "g", "left_anti"), repeated, parts))
+        ctx = frozen(ctx.join(large, "g", "left_semi"), "contexts")
+        q = min(2 * q, window)
+        state = frozen(settle(longer_anchors(ctx, kind, window, q), both, parts), "anchors")
+        out = out.union(state.where("not open").select("rid", "lo", "hi"))
+        opened = state.where("open")
+        region = F.expr(f"substring(data, (lo - pos) * {size} + 1, (hi - lo + {window}) * {size})")
+        ctx = (opened.select("g", "rid", "pos", "lo", "hi", "n")
+               .join(ctx.select("rid", F.col("lo").alias("pos"), "data"), ["rid", "pos"])
+               .select("g", "rid", "lo", "hi", "n", region.alias("data")))
     return out.union(compare(ctx, repeated, parts))
 
 

@@ -15,6 +15,8 @@ from sheen.llm.repeats import covered, repeated_windows, run_lists, spans_of
 WORDS = 35
 #: Words of an anchor.
 GRAM = 8
+#: Words of a reference shard; a q-gram with more is cut by a longer one.
+SHARD = 200_000
 
 
 class Automaton:
@@ -118,7 +120,7 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     not read.
     """
     docs = with_row_id(docs, key, text).select(RID, F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    runs = repeated_windows(docs, "words", width, gram, True, _elsewhere(width))
+    runs = repeated_windows(docs, "words", width, gram, True, _elsewhere(width), SHARD)
     both = docs.join(spans_of(runs).withColumnRenamed("rid", RID), RID, "left")
 
     def cut(batches):

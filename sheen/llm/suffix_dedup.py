@@ -15,6 +15,8 @@ from sheen.llm.repeats import covered, repeated_windows, run_lists, spans_of
 LENGTH = 100
 #: Length of an anchor's q-gram, in bytes.
 GRAM = 24
+#: Bytes that one task refines together; a q-gram with more is cut by a longer one.
+SHARD = 2_000_000
 
 
 def refine(buf: np.ndarray, ends: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> np.ndarray:
@@ -80,7 +82,7 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
     not read.
     """
     docs = with_row_id(docs, key, text).select(RID, F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    runs = repeated_windows(docs, "bytes", length, gram, False, _later(length))
+    runs = repeated_windows(docs, "bytes", length, gram, False, _later(length), SHARD)
     both = docs.join(spans_of(runs).withColumnRenamed("rid", RID), RID, "left")
 
     def cut(batches):

@@ -7,6 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import sheen.llm.substring_dedup as substring_dedup_module
+import sheen.llm.suffix_dedup as suffix_dedup_module
 from sheen.llm import hashing, repeats
 from sheen.llm.substring_dedup import Automaton, substring_dedup
 from sheen.llm.suffix_dedup import refine, suffix_dedup
@@ -79,9 +81,10 @@ def corpus(seed):
 
 @pytest.fixture(params=[False, True])
 def crowded(request, monkeypatch):
-    """Once with the path for q-grams of very many contexts."""
+    """Once with shards so small that longer q-grams cut them, up to the whole window."""
     if request.param:
-        monkeypatch.setattr(repeats, "LARGEST_GROUP", 2)
+        monkeypatch.setattr(suffix_dedup_module, "SHARD", 300)
+        monkeypatch.setattr(substring_dedup_module, "SHARD", 100)
     return request.param
 
 
