@@ -21,7 +21,8 @@ def test_sql(spark, sf, name):
     con = duckdb.connect()
     for f in os.listdir(sf):
         con.sql(f"CREATE VIEW {f.split('.')[0]} AS SELECT * FROM '{sf}/{f}'")
-    got = queries.QUERIES[name](spark, sf).toPandas()
-    want = con.sql(queries.SQL[name]).df()[list(got.columns)]
-    rows = [sorted(x.round(6).astype(str).itertuples(index=False, name=None)) for x in (got, want)]
+    got = queries.QUERIES[name](spark, sf)
+    want = con.sql(queries.SQL[name]).select(*got.columns)
+    rows = [sorted([tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in x], key=str)
+            for x in (got.collect(), want.fetchall())]
     assert rows[0] == rows[1]
