@@ -2,8 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as
 Parquet in the shared folder and rereads it as the next stage's docs. All stages but the
-last return the columns of documents. Nulls, empty texts, repeated rows, empty tables and
-extra columns are handled as the operators' docstrings say.
+last return the columns of documents.
+
+In every stage: null or empty texts, or texts of white space only, are rejected by the quality
+stage, and are rows like others to a stage that is called alone. Null doc_ids are rows like
+others, with labels for none. Repeated rows are copies, of which the dedup stages keep one. Ties go
+as the operators' docstrings say. Very long texts are taken whole. Empty table: empty result of
+the same columns. Extra columns are carried along; ``__rid__`` and ``__times__`` are reserved names.
 """
 
 from __future__ import annotations

@@ -96,7 +96,8 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     Null text: like an empty one; all empty texts form one group. Null key: sorts after
     every other key within its group. Repeated rows: each keeps its own result row, one of
-    them stays. Empty table: empty result. Extra columns are not read.
+    them stays. Empty table: empty result. Extra columns are not read. Very long texts are
+    named block by block, each block a row. The key must be a number.
     """
     docs = with_row_id(docs, key, text)
     ids = frozen(docs.select(RID, F.col(key).alias("id")).join(identities(docs, text), RID), "identities")

@@ -242,7 +242,7 @@ def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     No words or null text: an empty set, linked with nothing. Fewer words than ``width``: the
     sequence is the only shingle. Repeated rows link like others. Null keys sort first and are
     not a component's id unless all are null. Empty table: empty result. Extra columns are not
-    read.
+    read. Very long texts are taken whole; a set lies in one row (2 GB, some 250 million shingles).
     """
     bands = bands_for(percent)
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -55,7 +55,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
     size: number of words; null or empty text: 0 words, taken 0. Null source: a source of
     its own, last in order. Ties (repeated rows) are ordered by row id. Empty table: empty
-    result. Extra columns are not read. The same input gives the same mix.
+    result. Extra columns are not read. Very long texts are counted whole, and cut like others
+    where their source's budget ends. The same input gives the same mix.
     """
     docs = with_row_id(docs, key, text)
     hashed = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("id").cast("string"))), 1, 15),

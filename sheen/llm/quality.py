@@ -316,6 +316,10 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(RID, F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
 
 
+def _has_words(text: str):
+    return F.coalesce(F.rlike(F.col(text), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: RID, ``key``, p_weak, score, kept.
 
@@ -327,9 +331,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame | None = None, key: str =
     (``SAMPLE`` of each) and scores every document: score is its chance of being good, and
     documents of 0.5 or more are kept.
 
-    Null or empty text, or only white space: p_weak near 0, score 0, not kept. Repeated rows
+    Null or empty text, or only white space: score 0, not kept. Repeated rows
     get equal scores. Null keys have no given label. Where the weak labels know one class
-    only, they are the score. Empty table: empty result. Extra columns are not read.
+    only, they are the score. Empty table: empty result. Extra columns are not read. Very long
+    texts are scored whole.
     """
     docs = _texts(with_row_id(docs, key, text), key, text)
     weak, scorer = _fitted(docs, labels)
@@ -340,7 +345,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame | None = None, key: str =
 
     out = docs.select(F.col(RID).alias("rid"), "id").join(weak.drop("given"), "rid")
     if scorer is None:
-        out = out.withColumn("score", 1 - F.col("p_bad"))
+        out = out.join(docs.select(F.col(RID).alias("rid"), _has_words("t").alias("words")), "rid").withColumn(
+            "score", F.when(F.col("words"), 1 - F.col("p_bad")).otherwise(0.0)).drop("words")
     else:
         out = out.join(docs.select(F.col(RID).alias("rid"), "t").mapInArrow(run, "rid long, score double"), "rid")
     return out.select(F.col("rid").alias(RID), F.col("id").alias(key), (1 - F.col("p_bad")).alias("p_weak"), "score",
@@ -353,7 +359,8 @@ def good_documents(docs: DataFrame, labels: DataFrame | None = None, key: str =
     docs = with_row_id(docs, key, text)
     weak, scorer = _fitted(_texts(docs, key, text), labels)
     if scorer is None:
-        return docs.join(weak.where("p_bad <= 0.5").select(F.col("rid").alias(RID)), RID, "left_semi").drop(RID)
+        return docs.where(_has_words(text)).join(
+            weak.where("p_bad <= 0.5").select(F.col("rid").alias(RID)), RID, "left_semi").drop(RID)
     rows = docs.drop(RID)
     at = rows.columns.index(text)
 

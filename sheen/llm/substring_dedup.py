@@ -117,7 +117,8 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
     Null text: no words. Texts of fewer words keep all. Repeated rows repeat each other's
     windows. Null keys are rows like others. Empty table: empty result. Extra columns are
-    not read.
+    not read. Very long texts are read whole, each in one task, which also holds the text's
+    words, anchors and removed runs.
     """
     docs = with_row_id(docs, key, text).select(RID, F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     runs = repeated_windows(docs, "words", width, gram, True, _elsewhere(width), SHARD)

@@ -79,7 +79,8 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
     id, which is the order of ``key``; or same row, earlier start) is removed; strings are
     judged on the input. Null text: empty. Shorter texts keep all bytes. Repeated keys are
     ordered by their rows. Null keys sort first. Empty table: empty result. Extra columns are
-    not read.
+    not read. Very long texts are read whole, each in one task, which also holds the text's
+    anchors and removed runs.
     """
     docs = with_row_id(docs, key, text).select(RID, F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     runs = repeated_windows(docs, "bytes", length, gram, False, _later(length), SHARD)

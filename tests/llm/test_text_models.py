@@ -173,3 +173,33 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     assert ids["sentencepiece"] == ids["mix_sources"] and all(r.round_trip for r in seen["sentencepiece"])
     whole = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted(whole) == sorted(seen["sentencepiece"])
+
+
+def test_pipeline_odd_tables(spark, tmp_path):
+    """An empty table, and one with null keys and texts, a very long text, and its near copy."""
+    rng = random.Random(5)
+    vocab = [f"term{k}" for k in range(500)]
+    long = " ".join(rng.choice(vocab) for _ in range(150_000)) + "."
+    rows = [(i, " ".join(rng.choice(vocab) for _ in range(50)) + ".", "ab"[i % 2]) for i in range(40)]
+    odd = [(None, "A text without a key, " + rows[0][1], "a"), (None, None, None), (70, None, "a"), (71, " \n", None),
+           (80, long, "a"), (81, long + " more", "a"), rows[3], rows[3]]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, n long, key string, component int"
+    for k, table in enumerate(([], rows + odd)):
+        at = f"{tmp_path}/{k}"
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+        spark.createDataFrame([(i, t, None, s, None, 7, "x", 3) for i, t, s in table], schema).write.parquet(
+            f"{at}/documents.parquet")
+        docs = spark.read.parquet(f"{at}/documents.parquet")
+        for name, stage in corpus_pipeline.STAGES[:3]:
+            out = stage(spark, docs, at)
+            assert out.columns == docs.columns
+            out.write.parquet(f"{at}/{name}")
+            docs = spark.read.parquet(f"{at}/{name}")
+        kept = [r.doc_id for r in docs.collect()]
+        # the row without a key is a near copy of row 0 and sorts before it
+        assert sorted(i for i in kept if i is not None) == ([*range(1, 40), 80] if table else [])
+        assert kept.count(None) == (1 if table else 0)
+        got = corpus_pipeline.run(spark, at).collect()
+        assert all(r.round_trip for r in got) and bool(got) == bool(table)
+        assert all(stage(spark, spark.read.parquet(f"{at}/documents.parquet").limit(0), at).count() == 0
+                   for _, stage in corpus_pipeline.STAGES)
