@@ -18,6 +18,9 @@ WS = (r"[\t\n\x{0b}\f\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
       r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 
 STRIP_RE = f"^{WS}+|{WS}+$"
+#: The characters of ``WS``.
+WS_CHARS = ("\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b)))
+            + "\u2028\u2029\u202f\u205f\u3000")
 
 
 def _portable(py_regex: str) -> str:
@@ -28,10 +31,25 @@ def _portable(py_regex: str) -> str:
 INGREDIENT_SPLIT_RE = "|".join(_portable(d) for d in INGREDIENT_DELIMITERS)
 
 
+def _by_first() -> str:
+    """The alternation with its alternatives gathered by their first character, each kind in the given
+    order: it matches the same, and most places of a text fail on one look at their character."""
+    kinds: dict[str, list[str]] = {}
+    for d in INGREDIENT_DELIMITERS:
+        first = WS if d.startswith((r"\s", r"\n", r"\t")) else d[:2] if d.startswith("\\") else d[0]
+        kinds.setdefault(first, []).append(_portable(d))
+    firsts = "".join(f.strip("[]") if f == WS else f.replace("-", r"\-") for f in kinds)
+    return f"(?=[{firsts}])(?:" + "|".join(f"(?={f})(?:{'|'.join(some)})" for f, some in kinds.items()) + ")"
+
+
+#: For Java only: RE2 knows no lookahead.
+FAST_SPLIT_RE = _by_first()
+
+
 
 def ustrip(c: Column) -> Column:
     """Strip leading/trailing Unicode whitespace (Python ``str.strip()``)."""
-    return F.regexp_replace(c, STRIP_RE, "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def water_rule(t: Column) -> Column:
@@ -47,8 +65,9 @@ def extract_rule(t: Column) -> Column:
 
 
 def split_ingredients(c: Column) -> Column:
-    """Lower-case and split on the ordered delimiter alternation (empties kept)."""
-    return F.split(F.lower(c), INGREDIENT_SPLIT_RE, -1)
+    """Lower-case and split on the ordered delimiter alternation (empties kept). Every delimiter
+    becomes a comma, one of them, first: Spark reads the pattern of a split anew for each row."""
+    return F.split(F.regexp_replace(F.lower(c), FAST_SPLIT_RE, ","), ",", -1)
 
 
 def strip_tokens(arr: Column) -> Column:

@@ -13,14 +13,22 @@ def blank_to_null(df: DataFrame, col: str = "ingredients") -> DataFrame:
     return df.withColumn(col, F.nullif(F.col(col), F.lit("")))
 
 
+OUT = ["pro_ids", "names", "ratings", "repurchases", "pkg_quals", "prices", "ingredients", "brands", "brand_ids", "users",
+       "chars", "reviews", "lipies", "dates", "age", "skin", "hair", "eyes", "skin_type", "skin_tone", "skin_undertone",
+       "hair_color", "hair_type", "hair_texture"]
+
+
 def clean_reviews(raw: DataFrame, safe: bool = False) -> DataFrame:
     """Type every column of the raw review table, in the cleaning script's order.
 
-    ``safe`` turns unparsable numbers into nulls instead of failing the job.
+    ``safe`` turns unparsable numbers into nulls instead of failing the job. The characteristics are
+    split once for a row, in projections of their own: Spark computes an expression with
+    lambdas anew for each column that uses it.
     """
-    chars = P.split_traits(F.col("chars"))
-    skin = P.split_strip(F.get(chars, 1))
-    hair = P.split_strip(F.get(chars, 2))
+    extra = [c for c in raw.columns if c not in OUT]
+    raw = raw.withColumn("_chars", P.split_traits(F.col("chars")))
+    raw = raw.withColumns({"_skin": P.split_strip(F.get("_chars", 1)), "_hair": P.split_strip(F.get("_chars", 2))})
+    chars, skin, hair = F.col("_chars"), F.col("_skin"), F.col("_hair")
     cols = {
         "pro_ids": F.col("pro_ids"),
         "names": F.col("names"),
@@ -47,7 +55,6 @@ def clean_reviews(raw: DataFrame, safe: bool = False) -> DataFrame:
         "hair_type": F.get(hair, 1),
         "hair_texture": F.get(hair, 2),
     }
-    extra = [c for c in raw.columns if c not in cols]
     return raw.select(*[v.alias(k) for k, v in cols.items()], *extra)
 
 

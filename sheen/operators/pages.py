@@ -167,15 +167,22 @@ def tag_category(pages: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------------------- rendering
 
-def render_review_pages(raw: DataFrame, per_page: int = REVIEWS_PER_PAGE) -> DataFrame:
+#: Columns of a page that are its product's.
+PRODUCT = ["names", "ratings", "repurchases", "pkg_quals", "prices", "ingredients", "brands", "brand_ids", "cat_id"]
+
+
+def render_review_pages(raw: DataFrame, per_page: int = REVIEWS_PER_PAGE, products: DataFrame | None = None) -> DataFrame:
     """Lay raw review rows out as review-site pages (the inverse of
     ``extract_reviews``): (page_id, url, html, cat_id).
 
     Reviews of a product are spread over ceil(n / per_page) pages by a hash of
     the review; the per-product count is a partial aggregate and each page
     gathers only its own reviews, so a very popular product is spread over
-    many tasks.
+    many tasks. The columns of the product come from ``products`` (pro_ids, PRODUCT), of which a row per
+    product is joined to its finished pages, so that its text is not carried with every
+    review; without it, from the reviews.
     """
+    products = (raw if products is None else products).select("pro_ids", *PRODUCT).dropDuplicates(["pro_ids"])
     counts = raw.groupBy("pro_ids").agg(F.count(F.lit(1)).alias("_n"))
     key = F.xxhash64("users", "dates", "reviews", "chars", "lipies")
     paged = raw.join(counts, "pro_ids").withColumn(
@@ -188,12 +195,7 @@ def render_review_pages(raw: DataFrame, per_page: int = REVIEWS_PER_PAGE) -> Dat
         F.lit('</div><div class="comment-content">'), escape(F.col("reviews")),
         F.lit("</div></div>"))
     pages = paged.groupBy("pro_ids", "page").agg(
-        F.first("names").alias("names"), F.first("ratings").alias("ratings"),
-        F.first("repurchases").alias("repurchases"), F.first("pkg_quals").alias("pkg_quals"),
-        F.first("prices").alias("prices"), F.first("ingredients").alias("ingredients"),
-        F.first("brands").alias("brands"), F.first("brand_ids").alias("brand_ids"),
-        F.first("cat_id").alias("cat_id"),
-        F.array_sort(F.collect_list(F.struct(key.alias("k"), review.alias("r")))).alias("rv"))
+        F.array_sort(F.collect_list(F.struct(key.alias("k"), review.alias("r")))).alias("rv")).join(products, "pro_ids")
     html = F.concat(
         F.lit("<!DOCTYPE html><html><head><title>"), escape(F.col("names")),
         F.lit("</title></head><body><h1>Reviews</h1><h1>"), escape(F.col("names")),
