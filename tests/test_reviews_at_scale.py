@@ -60,3 +60,22 @@ def test_plain_pages_read_as_by_the_parser(spark, monkeypatch):
     got = [M.page_fields(h) for h in pages]
     monkeypatch.setattr(M.ReviewPage, "feed_plain", lambda self, html: False)
     assert got == [M.page_fields(h) for h in pages]
+
+
+def test_customers_without_a_nation_have_the_last_characteristics(spark, tmp_path):
+    from sheen.plans import registry as RG
+    tables = {
+        "lineitem": ([(1, 1, 3.0), (2, 1, 4.0)], "l_orderkey long, l_partkey long, l_quantity double"),
+        "orders": ([(1, 1, "1996-01-02"), (2, 2, "1996-01-03")], "o_orderkey long, o_custkey long, o_orderdate string"),
+        "customer": ([(1, "Customer 1", None), (2, "Customer 2", 3)], "c_custkey long, c_name string, c_nationkey int"),
+        "part": ([(1, "rose", "Brand#1", 7)], "p_partkey long, p_name string, p_brand string, p_size int"),
+        "documents": ([(1, "water, oil")], "doc_id long, text string")}
+    for name, (rows, schema) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        if name == "orders":
+            df = df.withColumn("o_orderdate", F.to_date("o_orderdate"))
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = {r.users: r for r in RG.QUERIES["clean_reviews"](spark, str(tmp_path)).collect()}
+    assert (got["Customer 1"].age, got["Customer 1"].eyes, got["Customer 1"].hair_texture) == ("Unknown", "Violet", "Other")
+    assert got["Customer 2"].age == "19-24"
+    assert {r.ingredients for r in RG.clean_fx(spark, str(tmp_path)).collect()} == {"water, oil"}
