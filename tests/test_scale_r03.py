@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sheen.operators import factors as FA
 from sheen.operators import ingredients as I
+from sheen.operators import transformers as TR
 from sheen.plans import registry as RG
 from sheen.sources import io as IO
 
@@ -68,3 +69,31 @@ def test_cosine_scores_shuffle_few_pairs_of_blocks(spark, monkeypatch):
     vec = dict(rows)
     assert len(got) == 65 * 1300 == len({(r.req_id, r.pro_ids) for r in got})
     assert all(abs(r.score - sum(x * y for x, y in zip(vec[r.req_id], vec[r.pro_ids]))) < 1e-12 for r in got)
+
+
+def test_product_vocabulary_stays_off_the_driver(spark, tmp_path, monkeypatch):
+    """Neither the fit nor the search collects the groups; results are those of the definition."""
+    rows = [(p % 97, f"n{p}", 1.0 + p % 3, 0.5, 2.0, p % 4 if p % 10 else None, sorted({f"g{p * j % 501}" for j in range(p % 6)})) for p in range(200)]
+    feats = spark.createDataFrame(rows, "pro_ids int, names string, ratings double, repurchases double, pkg_quals double, prices int, groups array<string>")
+    feats = feats.withColumn("n_groups", F.size("groups"))
+    collect, most = type(feats).collect, []
+    monkeypatch.setattr(type(feats), "collect", lambda df: most.append(len(r := collect(df))) or r)
+    IO.save_artifacts(spark, str(tmp_path), {}, {"m": TR.fit_product_vectors(feats)})
+    vectors = IO.load_artifacts(spark, str(tmp_path))["m"].transform(feats)
+    near = TR.similar_products_approx(feats, feats.where("pro_ids % 20 = 0").select(F.col("pro_ids").alias("req_id"), "pro_ids").distinct(), 3)
+    assert max(most, default=0) <= 8
+    monkeypatch.undo()
+    groups = sorted({g for r in rows for g in r[6]})
+    want = sorted((r[0], groups.index(g), 1.0) for r in rows for g in r[6])
+    want += [(r[0], len(groups) + j, float(r[2 + j])) for r in rows for j in range(4) if r[2 + j]]
+    got = TR.long_form(vectors, "pro_ids").where("value <> 0 and not isnan(value)").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert TR.long_form(vectors, "pro_ids").where("isnan(value)").count() == 20
+    plain = {}
+    for r in near.collect():
+        plain.setdefault(r.req_id, []).append(r.dist2)
+    sound = [r for r in rows if r[5] is not None]
+    for q, found in plain.items():
+        far = sorted(min(len(set(a[6]) ^ set(b[6])) + sum((x - y) ** 2 for x, y in zip(a[2:6], b[2:6])) for a in sound if a[0] == q)
+                     for b in sound if b[0] != q)
+        assert len(found) == 3 and max(found) >= far[0]
