@@ -2,8 +2,10 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from sheen.operators import collab as CO
 from sheen.operators import factors as FA
 from sheen.operators import ingredients as I
 from sheen.operators import transformers as TR
@@ -97,3 +99,38 @@ def test_product_vocabulary_stays_off_the_driver(spark, tmp_path, monkeypatch):
         far = sorted(min(len(set(a[6]) ^ set(b[6])) + sum((x - y) ** 2 for x, y in zip(a[2:6], b[2:6])) for a in sound if a[0] == q)
                      for b in sound if b[0] != q)
         assert len(found) == 3 and max(found) >= far[0]
+
+
+def test_best_rows_of_a_query_are_merged_without_sorting_all():
+    rnd = np.random.default_rng(3)
+    score, ids = np.round(rnd.normal(size=(7, 90)), 1), rnd.permutation(90)
+    score[2, :] = -np.inf
+    score[3, 5:] = -np.inf
+    got, sorted_rows, lexsort = None, [], np.lexsort
+    np.lexsort = lambda keys, **how: sorted_rows.append(len(keys[0])) or lexsort(keys, **how)
+    try:
+        for a, z in ((0, 4), (4, 40), (40, 41), (41, 90)):
+            got = FA._best(score[:, a:z], ids[a:z], 6, *(got or ()))
+    finally:
+        np.lexsort = lexsort
+    assert sum(sorted_rows) < score.size
+    for r in range(7):
+        want = sorted((-s, i) for s, i in zip(score[r], ids) if s > -np.inf)[:6]
+        assert [(-s, i) for s, i in zip(got[0][r], got[1][r]) if s > -np.inf] == want
+
+
+def test_als_grid_keeps_the_shuffles_of_few_iterations(spark, sf, monkeypatch):
+    """Ratings are made once, and each fit checkpoints often; the error is that of a plain fit."""
+    seen, fit = [], type(CO.als_estimator()).fit
+    ratings = RG._ratings_for_als
+    monkeypatch.setattr(RG, "_ratings_for_als", lambda *a: ratings(*a).withColumn("lipies", F.udf(lambda x: made_once.add(1) or x, "double")("lipies")))
+    made_once = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(CO, "als_grid", lambda als: [{als.rank: 2, als.regParam: p} for p in (0.1, 0.2)])
+    monkeypatch.setattr(type(CO.als_estimator()), "fit", lambda als, r, pm: seen.append(als.getCheckpointInterval()) or fit(als, r, pm))
+    got = RG.QUERIES["als_grid"](spark, sf).collect()
+    monkeypatch.undo()
+    r = RG._ratings_for_als(spark, sf).checkpoint()
+    assert seen == [CO.KEPT_ITERATIONS] * 2 and made_once.value == r.count()
+    for x in got:
+        model = CO.als_estimator().setRank(2).setRegParam(x.reg_param).fit(r)
+        assert abs(CO.rmse_evaluator().evaluate(model.transform(r)) - x.train_rmse) < 1e-4
