@@ -5,6 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+from sheen.operators import affinity as AF
 from sheen.operators import collab as CO
 from sheen.operators import factors as FA
 from sheen.operators import ingredients as I
@@ -134,3 +135,17 @@ def test_als_grid_keeps_the_shuffles_of_few_iterations(spark, sf, monkeypatch):
     for x in got:
         model = CO.als_estimator().setRank(2).setRegParam(x.reg_param).fit(r)
         assert abs(CO.rmse_evaluator().evaluate(model.transform(r)) - x.train_rmse) < 1e-4
+
+
+def test_component_of_a_million_edges_needs_no_rounds_of_shuffles(spark, monkeypatch):
+    """It runs in one task; Spark rows are for larger ones only."""
+    def rows(*a, **k):
+        raise AssertionError("rounds of Spark rows")
+
+    monkeypatch.setattr(AF, "affinity_propagation", rows)
+    n = 1050
+    edges = spark.range(n).withColumnRenamed("id", "i").crossJoin(spark.range(n).withColumnRenamed("id", "k")).where("i <> k")
+    edges = edges.withColumn("s", -(F.abs(F.col("i") - F.col("k")) % 7 + 1).cast("double"))
+    got = AF.affinity_groups(edges, spark.range(n + 1).withColumnRenamed("id", "i"), max_iter=10)
+    out = {r.i: r for r in got.collect()}
+    assert len(out) == n + 1 and out[0].iterations == 10 and out[n].iterations == 0 and out[n].exemplar == n
