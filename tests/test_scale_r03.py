@@ -3,6 +3,8 @@
 import random
 
 import numpy as np
+from pyspark.ml.recommendation import ALS
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from sheen.operators import affinity as AF
@@ -149,3 +151,19 @@ def test_component_of_a_million_edges_needs_no_rounds_of_shuffles(spark, monkeyp
     got = AF.affinity_groups(edges, spark.range(n + 1).withColumnRenamed("id", "i"), max_iter=10)
     out = {r.i: r for r in got.collect()}
     assert len(out) == n + 1 and out[0].iterations == 10 and out[n].iterations == 0 and out[n].exemplar == n
+
+
+def test_fits_of_all_folds_are_one_queue(spark, monkeypatch):
+    """Longest first, with the folds and metrics of Spark's own validator."""
+    rnd = random.Random(7)
+    rows = [(rnd.randrange(30), rnd.randrange(20), float(rnd.randrange(1, 6))) for _ in range(400)]
+    ratings = spark.createDataFrame(rows, "uid int, pro_ids int, lipies double").coalesce(1)
+    als = CO.als_estimator(max_iter=2, blocks=2)
+    want = CrossValidator(estimator=als, estimatorParamMaps=CO.als_grid(als, [2, 4], [.1, .2]), evaluator=CO.rmse_evaluator(),
+                          numFolds=3, seed=42).fit(ratings)
+    ranks, fit = [], ALS._fit
+    monkeypatch.setattr(ALS, "_fit", lambda self, df: ranks.append(self.getRank()) or fit(self, df))
+    got = CO.als_cross_validate(ratings, folds=3, parallelism=1, ranks=[2, 4], regs=[.1, .2], max_iter=2, blocks=2)
+    assert ranks == 6 * [4] + 6 * [2] + [got.bestModel.rank]
+    assert np.allclose(got.avgMetrics, want.avgMetrics, rtol=1e-6) and np.allclose(got.stdMetrics, want.stdMetrics, rtol=1e-4, atol=1e-6)
+    assert got.bestModel.rank == want.bestModel.rank
