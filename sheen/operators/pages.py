@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
@@ -95,15 +97,35 @@ PARSED_ARROW = pa.struct([("has_title", pa.bool_()), *[(c, pa.string()) for c in
                           *[(c, pa.list_(pa.string())) for c in _LISTS]])
 
 
-def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
-    """``pages`` with column ``parsed``: the review fields of each page, parsed once."""
-    schema = StructType([*pages.schema.fields, StructField("parsed", PARSED)])
+#: Bytes of HTML that are parsed at a time: a batch that reaches a task holds up to 64 MB, of which the
+#: strings, the fields and their Arrow form would be held all at once.
+PARSE_BYTES = 1 << 20
+
+
+def _slices(html: pa.Array):
+    """(start, rows) of consecutive slices of about ``PARSE_BYTES``, a row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(html), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(html):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + PARSE_BYTES, "right")))
+        yield start, stop - start
+        start = stop
+
+
+def parse_pages(pages: DataFrame, html: str = "html", keep: bool = True) -> DataFrame:
+    """``pages`` with column ``parsed``: the review fields of each page, parsed once. Without
+    ``keep`` the HTML itself, which nothing reads any more, is left out."""
+    names = [c for c in pages.columns if keep or c != html]
+    schema = StructType([*[f for f in pages.schema.fields if f.name in names], StructField("parsed", PARSED)])
     at = pages.columns.index(html)
 
     def run(batches):
         for batch in batches:
-            fields = pa.array([page_fields(h) for h in batch.column(at).to_pylist()], PARSED_ARROW)
-            yield pa.RecordBatch.from_arrays([*batch.columns, fields], names=[*batch.schema.names, "parsed"])
+            for start, rows in _slices(batch.column(at)):
+                part = batch.slice(start, rows)
+                fields = pa.array([page_fields(h) for h in part.column(at).to_pylist()], PARSED_ARROW)
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], fields], names=[*names, "parsed"])
 
     return pages.mapInArrow(run, schema)
 
@@ -155,7 +177,7 @@ def explode_reviews(good: DataFrame) -> DataFrame:
 def extract_reviews(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """pages -> (raw review rows with empty ingredients as null, rejected pages)."""
     from sheen.operators.clean import blank_to_null
-    good, rejected = quarantine_pages(page_review_arrays(page_text_fields(parse_pages(title_guard(pages)))))
+    good, rejected = quarantine_pages(page_review_arrays(page_text_fields(parse_pages(title_guard(pages), keep=False))))
     return blank_to_null(explode_reviews(good)), rejected
 
 
@@ -176,16 +198,15 @@ def render_review_pages(raw: DataFrame, per_page: int = REVIEWS_PER_PAGE, produc
     ``extract_reviews``): (page_id, url, html, cat_id).
 
     Reviews of a product are spread over ceil(n / per_page) pages by a hash of
-    the review; the per-product count is a partial aggregate and each page
-    gathers only its own reviews, so a very popular product is spread over
-    many tasks. The columns of the product come from ``products`` (pro_ids, PRODUCT), of which a row per
+    the review, whose number is counted where the product's reviews already are, so that they are
+    read and shuffled once. The columns of the product come from ``products`` (pro_ids, PRODUCT), of which a row per
     product is joined to its finished pages, so that its text is not carried with every
     review; without it, from the reviews.
     """
     products = (raw if products is None else products).select("pro_ids", *PRODUCT).dropDuplicates(["pro_ids"])
-    counts = raw.groupBy("pro_ids").agg(F.count(F.lit(1)).alias("_n"))
+    counted = raw.where(F.col("pro_ids").isNotNull()).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("pro_ids")))
     key = F.xxhash64("users", "dates", "reviews", "chars", "lipies")
-    paged = raw.join(counts, "pro_ids").withColumn(
+    paged = counted.withColumn(
         "page", (F.pmod(key, F.ceil(F.col("_n") / per_page)) + 1).cast("int"))
     review = F.concat(
         F.lit('<div class="review"><span class="user-name">'), escape(F.col("users")),
