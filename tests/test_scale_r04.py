@@ -4,9 +4,11 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from sheen.operators import factors as FA
+from sheen.operators import ingredients as I
 from sheen.operators import pages as PG
 from sheen.plans import registry as RG
 from sheen.sources import fixtures as FX
+from sheen.sources import io as IO
 
 
 def test_pivot_has_a_column_for_each_user_and_means(spark):
@@ -43,3 +45,24 @@ def test_rendered_pages_read_line_items_and_texts_once(spark, sf):
     cols = ["pro_ids", *PG.PRODUCT]
     assert products.select(cols).exceptAll(FX.products_raw_fx(spark, sf).select(cols)).isEmpty()
     assert products.count() == FX.products_raw_fx(spark, sf).count()
+
+
+def test_groups_without_exemplars_move_the_vocabulary_once(spark):
+    vocab = spark.createDataFrame([("retinol",), ("retinal",), ("zinc",), (None,)], "token string")
+    groups = I.stand_in_groups(vocab)
+    assert sorted(map(tuple, groups.select("token", "group", "exemplar").collect())) == [
+        ("retinal", "rtnl", "retinal"), ("retinol", "rtnl", "retinal"), ("zinc", "znc", "zinc")]
+    plan = groups.select("token", "group")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_kept_rows_are_compressed_and_go(spark, tmp_path):
+    rows = spark.range(20_000).select("id", F.array(F.lit("a long name of a group"), F.lit(None).cast("string")).alias("groups"))
+    out = IO.kept(rows, "test-kept")
+    assert out.schema["groups"].dataType.elementType.typeName() == "string"
+    assert out.count() == 20_000 and out.exceptAll(rows).isEmpty()
+    folder = out.inputFiles()[0].rsplit("/", 1)[0]
+    fs, path = IO._fs(spark, folder)
+    assert fs.getContentSummary(path).getLength() < 20_000 * 22
+    IO.drop_kept(out)
+    assert not fs.exists(path)
