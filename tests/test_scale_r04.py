@@ -3,6 +3,7 @@
 import threading
 from types import SimpleNamespace
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
@@ -96,3 +97,13 @@ def test_blocks_of_a_fit_follow_the_ratings(spark, sf, monkeypatch):
     monkeypatch.setattr(CO, "als_fit", lambda r, **kw: seen.append(kw["blocks"]) or fit(r, max_iter=1, **kw))
     n = RG.QUERIES["als_fit"](spark, sf).count()
     assert n == RG._ratings_for_als(spark, sf).count() and seen == [-(-n // 500)] and n > 5000
+
+
+def test_gram_needs_no_shuffle(spark, monkeypatch):
+    rows = [(i, [float(i % 3), float(i % 5)]) for i in range(50)]
+    df = spark.createDataFrame(rows, "id int, f array<double>").repartition(4)
+    empty = df.where("id < 0")
+    monkeypatch.setattr(type(df), "groupBy", lambda *a: 1 / 0)
+    f = np.array([x for _, x in rows])
+    assert np.allclose(FA._gram(df, 2), f.T @ f)
+    assert (FA._gram(empty, 2) == np.zeros((2, 2))).all()
